@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +9,8 @@ from pyspark.sql import functions as F
 def stream_path(path: str) -> str:
     """A pattern matching just ``path``: a file stream then accepts a single
     file as well as a folder of files."""
-    return re.sub(r"(\w)(/*)$", r"[\1]", path)
+    bare = path.rstrip("/")
+    return f"{bare[:-1]}[{bare[-1]}]"
 
 
 def text_stream(
