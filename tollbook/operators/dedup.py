@@ -55,10 +55,10 @@ def deduplicate_stream(
     """One row per key within the lateness allowed by the watermark.
 
     The key contains the event time, so state older than the watermark goes.
-    Streams have no reduction before the shuffle; with ``salts`` set, copies
-    first meet in that many groups per key and then in one. Use it where one
-    key may fill a large part of a micro-batch. Two stateful steps need append
-    mode, which gives the same rows as update mode here.
+    A stream is not reduced before its shuffle, so all copies of a record meet
+    in one task. With ``salts`` they first meet in that many groups per key,
+    which leaves at most one copy per group for the second step. Two stateful
+    steps need append mode, which gives the same rows as update mode here.
     """
     watermarked = rows.withWatermark(time, delay)
     added = []

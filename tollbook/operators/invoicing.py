@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollbook.functions import fields
-from tollbook.operators.joins import salted_join
 
 
 def invoice_headers(rated: DataFrame) -> DataFrame:
@@ -37,8 +36,9 @@ def line_items(rated: DataFrame) -> DataFrame:
 def line_items_of(invoices: DataFrame, rated: DataFrame) -> DataFrame:
     """(invoice, event) pairs for invoices that carry keys of another origin.
 
-    An equi-join on subscriber and month, salted by event because one
-    subscriber may own a large part of all events.
+    An equi-join on subscriber and month. Where one subscriber owns a large
+    part of all events, adaptive execution splits that partition and repeats
+    its few invoices.
     """
     events = rated.select(
         "event_id",
@@ -47,4 +47,4 @@ def line_items_of(invoices: DataFrame, rated: DataFrame) -> DataFrame:
     )
     keys = ["user_id", "billing_period_start"]
     headers = invoices.select("invoice_id", *keys)
-    return salted_join(events, headers, keys, F.col("event_id")).select("invoice_id", "event_id")
+    return events.join(headers, keys).select("invoice_id", "event_id")

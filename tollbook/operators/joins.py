@@ -1,43 +1,27 @@
-"""Equi-joins that stay balanced when one key holds a large part of the rows."""
+"""Joins of events to small tables."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 
 
-def salted_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    spread: Column,
-    how: str = "inner",
-    salts: int = 32,
-) -> DataFrame:
-    """Join rows to a lookup with one row per key.
-
-    Each lookup row is repeated once per salt and each left row picks its salt
-    from ``spread``, so the rows of one key go to ``salts`` tasks.
-    """
-    left = rows.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    right = lookup.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "salt"], how).drop("salt")
-
-
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
     on: Sequence[str],
-    spread: Column,
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Broadcast the lookup if it is counted to be small, else join salted."""
-    size = lookup.limit(max_rows + 1).count()
-    if size <= max_rows:
-        return rows.join(F.broadcast(lookup), list(on), how)
-    return salted_join(rows, lookup, on, spread, how)
+    """Broadcast the lookup if it is counted to be small.
+
+    Beyond that it is a shuffled join, in which adaptive execution splits the
+    partitions of keys that many rows share.
+    """
+    if lookup.limit(max_rows + 1).count() <= max_rows:
+        lookup = F.broadcast(lookup)
+    return rows.join(lookup, list(on), how)

@@ -119,20 +119,31 @@ def referential_report(items: DataFrame, invoices: DataFrame, events: DataFrame)
     return line("invoice", invoices, "invoice_id").unionByName(line("event", events, "event_id"))
 
 
+def block_width(rows: DataFrame, arrival: str, rows_per_block: int) -> int:
+    """Width of arrival ranges that hold about ``rows_per_block`` rows each."""
+    low, high, count = rows.agg(F.min(arrival), F.max(arrival), F.count(arrival)).first()
+    if not count:
+        return 1
+    blocks = -(-count // rows_per_block)
+    return max(1, -(-(high - low + 1) // blocks))
+
+
 def out_of_order(
-    rows: DataFrame, owner: Column, arrival: Column, time: Column, block: int = 1 << 22
+    rows: DataFrame, owner: Column, arrival: str, time: Column, rows_per_block: int = 1 << 22
 ) -> DataFrame:
     """Rows of (owner, arrival, time) with ``late``: an earlier arrival of the
     same owner carries a later time.
 
-    A running maximum per owner, cut into blocks of arrival numbers so that an
-    owner with very many rows is spread over tasks: each block starts from the
-    maximum of the owner's blocks before it.
+    A running maximum per owner, cut into ranges of arrival numbers so that an
+    owner with very many rows is spread over tasks: each range starts from the
+    maximum of the owner's ranges before it. Ranges get equal widths, so the
+    arrival numbers should be spread evenly, as sequence numbers are.
     """
+    width = block_width(rows, arrival, rows_per_block)
     narrow = rows.select(
-        owner.alias("owner"), arrival.alias("arrival"), time.alias("time")
+        owner.alias("owner"), F.col(arrival).alias("arrival"), time.alias("time")
     ).filter("owner is not null and time is not null")
-    blocked = narrow.withColumn("block", F.floor(F.col("arrival") / F.lit(block)))
+    blocked = narrow.withColumn("block", F.expr(f"arrival div {width}"))
     before = Window.partitionBy("owner").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -209,7 +220,7 @@ def anomaly_report(
     arrival: str,
     raw: str | None = None,
     key: Sequence[str] = dedup.SUBSCRIBER_KEY,
-    block: int = 1 << 22,
+    rows_per_block: int = 1 << 22,
 ) -> DataFrame:
     """Number of records per anomaly kind; a record may count for several.
 
@@ -229,6 +240,6 @@ def anomaly_report(
         F.coalesce(F.sum("surplus"), F.lit(0)).cast("bigint").alias("records"),
     )
     late = out_of_order(
-        records, fields.subscriber(), F.col(arrival), F.col("timestamp"), block
+        records, fields.subscriber(), arrival, F.col("timestamp"), rows_per_block
     ).agg(F.lit("out_of_order").alias("anomaly"), F.count_if(F.col("late")).alias("records"))
     return _long(counts, records, "anomaly", "records").unionByName(surplus).unionByName(late)

@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tollbook.functions import fields, pricing, validity
 from tollbook.operators import billing, dedup, invoicing, mediation, quality, rating
 from tollbook.plans import chains
-from tollbook.schemas import CDR_COLUMNS, PERIOD_COLUMNS, SUMMARY_COLUMNS
-from tollbook.session import pin_utc, shared_folder
+from tollbook.schemas import CDR_COLUMNS, PERIOD_COLUMNS, RATED_TABLE, SUMMARY_COLUMNS
+from tollbook.session import prepare, shared_folder, state_partitions
 from tollbook.sinks import tables as table_sinks
+from tollbook.sinks.streams import start_text_sink
 from tollbook.sources import event_log, streams
 from tollbook.sources import tables as table_sources
 from tollbook.streaming import billing as billing_job
@@ -47,7 +49,7 @@ def reasons_text() -> Column:
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{folder}/events.parquet")
+    return prepare(spark).read.parquet(f"{folder}/events.parquet")
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,6 +60,13 @@ def rated(spark: SparkSession, folder: str) -> DataFrame:
     return chains.rated_events(records(spark, folder))
 
 
+def stored_rated(spark: SparkSession, folder: str) -> DataFrame:
+    """The rated-events table written out, for queries that read it repeatedly."""
+    path = f"{shared_folder(spark)}/rated"
+    table_sinks.write_rated(rated(spark, folder), path)
+    return spark.read.schema(RATED_TABLE).parquet(path)
+
+
 # --- mediation -------------------------------------------------------------
 
 
@@ -273,7 +282,7 @@ def invoice_line_items(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def invoice_line_items_joined(spark: SparkSession, folder: str) -> DataFrame:
-    loaded = rated(spark, folder)
+    loaded = stored_rated(spark, folder)
     return invoicing.line_items_of(invoicing.invoice_headers(loaded), loaded)
 
 
@@ -282,7 +291,7 @@ def invoice_line_items_joined(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def constraint_report(spark: SparkSession, folder: str) -> DataFrame:
-    loaded = rated(spark, folder)
+    loaded = stored_rated(spark, folder)
     return (
         quality.constraint_report(loaded, "rated_events")
         .unionByName(
@@ -306,7 +315,7 @@ def constraint_report_unchecked(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def referential_check(spark: SparkSession, folder: str) -> DataFrame:
-    loaded = rated(spark, folder)
+    loaded = stored_rated(spark, folder)
     return quality.referential_report(
         invoicing.line_items(loaded), invoicing.invoice_headers(loaded), loaded
     )
@@ -319,7 +328,7 @@ def referential_check_unloaded(spark: SparkSession, folder: str) -> DataFrame:
     priced = chains.priced_events(records(spark, folder)).withColumn(
         "event_id", fields.event_key()
     )
-    loaded = rated(spark, folder)
+    loaded = stored_rated(spark, folder)
     return quality.referential_report(
         invoicing.line_items(priced), invoicing.invoice_headers(loaded), loaded
     )
@@ -333,7 +342,7 @@ def anomaly_report(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def out_of_order_by_subscriber(spark: SparkSession, folder: str) -> DataFrame:
     flagged = quality.out_of_order(
-        records(spark, folder), fields.subscriber(), F.col("event_id"), F.col("timestamp"), 512
+        records(spark, folder), fields.subscriber(), "event_id", F.col("timestamp"), 4096
     )
     return flagged.groupBy(F.col("owner").alias("subscriber")).agg(
         F.count("*").alias("records"), F.count_if("late").alias("late_records")
@@ -345,7 +354,7 @@ def out_of_order_by_subscriber(spark: SparkSession, folder: str) -> DataFrame:
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return (
-        pin_utc(spark)
+        prepare(spark)
         .readStream.schema(event_log.EVENTS)
         .parquet(streams.stream_path(f"{folder}/events.parquet"))
     )
@@ -355,62 +364,82 @@ def _wire_stream(spark: SparkSession, folder: str) -> DataFrame:
     return event_log.to_wire(event_log.to_records(_event_stream(spark, folder)))
 
 
-def _mediated(spark: SparkSession, folder: str) -> str:
-    """Run mediation over the event table; returns the folder of its outputs."""
-    work = shared_folder(spark)
-    run_to_end(
-        *mediation_job.start_mediation(
-            _wire_stream(spark, folder),
-            f"{work}/clean",
-            f"{work}/dead-letter",
-            f"{work}/checkpoint",
-            once=True,
-        )
+def _start_clean(spark: SparkSession, folder: str, work: str, **options) -> StreamingQuery:
+    return start_text_sink(
+        mediation_job.clean_stream(_wire_stream(spark, folder), **options),
+        f"{work}/clean",
+        f"{work}/checkpoint/clean",
+        once=True,
+        state_partitions=_partitions(spark, folder),
     )
-    return work
+
+
+def _partitions(spark: SparkSession, folder: str) -> int:
+    return state_partitions(spark, f"{folder}/events.parquet")
+
+
+def _rated_rows(spark: SparkSession, path: str) -> DataFrame:
+    table = table_sources.rated_events(spark, path)
+    return plain_times(table.drop("writer", "batch_id", *PERIOD_COLUMNS))
 
 
 @query
 def stream_mediation_clean(spark: SparkSession, folder: str) -> DataFrame:
-    work = _mediated(spark, folder)
+    work = shared_folder(spark)
+    run_to_end(_start_clean(spark, folder, work))
     return plain_times(mediation.parse_clean(spark.read.text(f"{work}/clean")))
 
 
 @query
 def stream_mediation_dead_letter(spark: SparkSession, folder: str) -> DataFrame:
-    work = _mediated(spark, folder)
+    work = shared_folder(spark)
+    lost = mediation_job.dead_letter_stream(_wire_stream(spark, folder))
+    run_to_end(start_text_sink(lost, f"{work}/dead-letter", f"{work}/checkpoint", once=True))
     letters = mediation_job.dead_letters(spark.read.text(f"{work}/dead-letter"))
     return letters.select("record_type", F.array_join("reject_reasons", ",").alias("reasons"))
 
 
 @query
 def stream_rating(spark: SparkSession, folder: str) -> DataFrame:
-    work = _mediated(spark, folder)
+    """Mediation to a clean folder, then rating from it, each to its end."""
+    work = shared_folder(spark)
+    run_to_end(_start_clean(spark, folder, work))
     run_to_end(
         rating_job.start_rating(
             streams.text_stream(spark, f"{work}/clean", ignore_missing_files=True),
             f"{work}/rated",
             f"{work}/checkpoint/rating",
             once=True,
+            state_partitions=_partitions(spark, folder),
         )
     )
-    table = table_sources.rated_events(spark, f"{work}/rated")
-    return plain_times(table.drop("writer", "batch_id", *PERIOD_COLUMNS))
+    return _rated_rows(spark, f"{work}/rated")
 
 
 @query
-def stream_salted_dedup(spark: SparkSession, folder: str) -> DataFrame:
+def stream_rating_update_mode(spark: SparkSession, folder: str) -> DataFrame:
+    """Accepted records straight from the table, without salts, in update mode."""
     work = shared_folder(spark)
-    clean, dead = mediation_job.start_mediation(
-        _wire_stream(spark, folder),
-        f"{work}/clean",
-        f"{work}/dead-letter",
-        f"{work}/checkpoint",
-        key=dedup.CALLER_KEY,
-        salts=4,
-        once=True,
+    wire = event_log.to_wire(mediation.accepted(mediation.flag_valid(records(spark, folder))))
+    wire.write.text(f"{work}/clean")
+    run_to_end(
+        rating_job.start_rating(
+            streams.text_stream(spark, f"{work}/clean"),
+            f"{work}/rated",
+            f"{work}/checkpoint",
+            salts=0,
+            output_mode="update",
+            once=True,
+            state_partitions=_partitions(spark, folder),
+        )
     )
-    run_to_end(clean, dead)
+    return _rated_rows(spark, f"{work}/rated")
+
+
+@query
+def stream_caller_key(spark: SparkSession, folder: str) -> DataFrame:
+    work = shared_folder(spark)
+    run_to_end(_start_clean(spark, folder, work, key=dedup.CALLER_KEY))
     unique = mediation.parse_clean(spark.read.text(f"{work}/clean"))
     return plain_times(unique.select(*dedup.CALLER_KEY))
 
@@ -423,18 +452,19 @@ def stream_late_data(spark: SparkSession, folder: str) -> DataFrame:
     """The month arrives in deliveries of eight days, a tenth of the records
     one delivery late; most of those are behind the watermark by then."""
     work = shared_folder(spark)
+    partitions = _partitions(spark, folder)
     day = F.dayofmonth("ts")
     delivery = F.floor((day - 1) / 8) + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
     for number in range(DELIVERIES):
         arrived = events(spark, folder).filter(delivery == number)
         event_log.to_wire(event_log.to_records(arrived)).write.mode("append").text(f"{work}/in")
         run_to_end(
-            *mediation_job.start_mediation(
-                streams.text_stream(spark, f"{work}/in"),
+            start_text_sink(
+                mediation_job.clean_stream(streams.text_stream(spark, f"{work}/in")),
                 f"{work}/clean",
-                f"{work}/dead-letter",
                 f"{work}/checkpoint",
                 once=True,
+                state_partitions=partitions,
             )
         )
     kept = mediation.parse_clean(spark.read.text(f"{work}/clean"))

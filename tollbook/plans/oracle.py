@@ -431,7 +431,8 @@ where is_valid and (seen is null or "timestamp" > seen - interval 5 minute)""",
 SQL |= {
     "stream_mediation_clean": SQL["cdr_clean"],
     "stream_rating": SQL["rated_events"],
-    "stream_salted_dedup": SQL["dedup_caller_key"],
+    "stream_rating_update_mode": SQL["rated_events"],
+    "stream_caller_key": SQL["dedup_caller_key"],
     "idempotent_period_write": SQL["billing_summary"],
     "incremental_rebilling": SQL["billing_summary"],
     "invoice_document_files": SQL["invoice_documents"],

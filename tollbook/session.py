@@ -7,15 +7,19 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+ZONE = "spark.sql.session.timeZone"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 SETTINGS = {
     # Event times carry no zone of their own; every job reads them as UTC.
-    "spark.sql.session.timeZone": "UTC",
+    ZONE: "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Deduplication state lives on local disk, not on the executor heap.
-    "spark.sql.streaming.stateStore.providerClass": (
+    STATE_STORE: (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -32,16 +36,32 @@ def shuffle_partitions(input_bytes: int, cores: int, target_bytes: int = 128 <<
     return math.ceil(wanted / cores) * cores
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files below a path, from the file listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+def state_partitions(spark: SparkSession, path: str, waves: int = 10) -> int:
+    """State partitions for a stream over a folder: by its size, but at least
+    one per core and at most ``waves``, as each has a store of its own."""
+    cores = spark.sparkContext.defaultParallelism
+    return min(shuffle_partitions(folder_bytes(spark, path), cores), waves * cores)
+
+
 def apply_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     return builder
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """Make an existing session read event times as UTC."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Give an existing session the UTC zone, which results depend on, and a state
+    store that keeps deduplication state off the heap."""
+    if spark.conf.get(ZONE) != "UTC":
+        spark.conf.set(ZONE, "UTC")
+    if "RocksDB" not in spark.conf.get(STATE_STORE):
+        spark.conf.set(STATE_STORE, SETTINGS[STATE_STORE])
     return spark
 
 
@@ -56,5 +76,4 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tollbook-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tollbook-{uuid.uuid4().hex}"

@@ -1,55 +1,67 @@
-"""Stream sinks for JSON text."""
+"""Stream sinks. A query's number of state partitions is fixed when it first starts."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+
 
-def _start(
-    writer: DataStreamWriter, name: str | None, once: bool, target: str | None = None
+def start(
+    rows: DataFrame,
+    writer: DataStreamWriter,
+    checkpoint: str,
+    once: bool = False,
+    state_partitions: int | None = None,
+    path: str | None = None,
 ) -> StreamingQuery:
-    if name:
-        writer = writer.queryName(name)
+    """Start a query with its own checkpoint; ``once`` stops when caught up.
+
+    Without ``state_partitions`` the session's shuffle partitions apply. The
+    query takes the session settings with it, so they can be put back at once.
+    """
+    writer = writer.option("checkpointLocation", checkpoint)
     if once:
         writer = writer.trigger(availableNow=True)
-    return writer.start(target) if target else writer.start()
+    conf = rows.sparkSession.conf
+    before = conf.get(PARTITIONS)
+    try:
+        if state_partitions:
+            conf.set(PARTITIONS, state_partitions)
+        return writer.start(path) if path else writer.start()
+    finally:
+        conf.set(PARTITIONS, before)
 
 
-def start_text_sink(
-    values: DataFrame, path: str, checkpoint: str, name: str | None = None, once: bool = False
-) -> StreamingQuery:
-    """Append a ``value`` column to text files; ``once`` stops when caught up."""
-    writer = values.writeStream.format("text").option("checkpointLocation", checkpoint)
-    return _start(writer.outputMode("append"), name, once, path)
+def start_text_sink(values: DataFrame, path: str, checkpoint: str, **run) -> StreamingQuery:
+    """Append a ``value`` column to text files."""
+    writer = values.writeStream.format("text").outputMode("append")
+    return start(values, writer, checkpoint, path=path, **run)
 
 
 def start_topic_sink(
-    values: DataFrame,
-    servers: str,
-    topic: str,
-    checkpoint: str,
-    name: str | None = None,
-    once: bool = False,
+    values: DataFrame, servers: str, topic: str, checkpoint: str, **run
 ) -> StreamingQuery:
     """Append a ``value`` column to a topic; needs the Kafka connector."""
     writer = (
         values.writeStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
-        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
     )
-    return _start(writer.outputMode("append"), name, once)
+    return start(values, writer, checkpoint, **run)
 
 
 def start_batch_sink(
     rows: DataFrame,
-    load,
+    load: Callable[[DataFrame, int], None],
     checkpoint: str,
-    name: str | None = None,
-    once: bool = False,
     output_mode: str = "append",
+    **run,
 ) -> StreamingQuery:
     """Hand every micro-batch to ``load(batch, batch_id)``."""
-    writer = rows.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-    return _start(writer.outputMode(output_mode), name, once)
+    writer = rows.writeStream.foreachBatch(load).outputMode(output_mode)
+    return start(rows, writer, checkpoint, **run)

@@ -12,13 +12,14 @@ from tollbook.operators import dedup, mediation
 from tollbook.sinks.streams import start_text_sink
 
 DELAY = "5 minutes"
+SALTS = 16
 
 
 def clean_stream(
     values: DataFrame,
     key: Sequence[str] = dedup.SUBSCRIBER_KEY,
     delay: str = DELAY,
-    salts: int = 0,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Accepted records, each once, as JSON text."""
     records = mediation.clean_records(mediation.mediate(values))
@@ -43,19 +44,16 @@ def start_mediation(
     checkpoint: str,
     key: Sequence[str] = dedup.SUBSCRIBER_KEY,
     delay: str = DELAY,
-    salts: int = 0,
-    once: bool = False,
+    salts: int = SALTS,
+    **run,
 ) -> list[StreamingQuery]:
     """Both outputs, each as a query with a checkpoint of its own."""
     return [
         start_text_sink(
-            clean_stream(values, key, delay, salts),
-            clean_path,
-            f"{checkpoint}/clean",
-            once=once,
+            clean_stream(values, key, delay, salts), clean_path, f"{checkpoint}/clean", **run
         ),
         start_text_sink(
-            dead_letter_stream(values), dead_letter_path, f"{checkpoint}/dead-letter", once=once
+            dead_letter_stream(values), dead_letter_path, f"{checkpoint}/dead-letter", **run
         ),
     ]
 

@@ -13,6 +13,7 @@ from tollbook.sinks.tables import rated_batch_writer
 from tollbook.tariff import DEFAULT_TARIFF, Tariff
 
 DELAY = "10 minutes"
+SALTS = 16
 
 
 def rated_stream(
@@ -20,7 +21,7 @@ def rated_stream(
     tariff: Tariff = DEFAULT_TARIFF,
     key: Sequence[str] = dedup.USAGE_KEY,
     delay: str = DELAY,
-    salts: int = 0,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Priced events, each once. The clean stream is read back from storage:
     one query cannot carry a second watermark."""
@@ -37,17 +38,17 @@ def start_rating(
     writer: str = "rating",
     tariff: Tariff = DEFAULT_TARIFF,
     delay: str = DELAY,
-    salts: int = 0,
-    once: bool = False,
-    output_mode: str = "update",
+    salts: int = SALTS,
+    output_mode: str = "append",
     report_path: str | None = None,
+    **run,
 ) -> StreamingQuery:
     """Load the stream into a table. Both output modes give the same rows;
-    salted deduplication needs ``append``."""
+    ``update`` needs ``salts=0``."""
     return start_batch_sink(
         rated_stream(values, tariff, delay=delay, salts=salts),
         rated_batch_writer(table_path, writer, report_path),
         checkpoint,
-        once=once,
-        output_mode="append" if salts else output_mode,
+        output_mode,
+        **run,
     )
