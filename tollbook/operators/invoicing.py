@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollbook.functions import fields
+from tollbook.operators.joins import balanced_join
 
 
 def invoice_headers(rated: DataFrame) -> DataFrame:
@@ -36,9 +37,8 @@ def line_items(rated: DataFrame) -> DataFrame:
 def line_items_of(invoices: DataFrame, rated: DataFrame) -> DataFrame:
     """(invoice, event) pairs for invoices that carry keys of another origin.
 
-    An equi-join on subscriber and month. Where one subscriber owns a large
-    part of all events, adaptive execution splits that partition and repeats
-    its few invoices.
+    An equi-join on subscriber and month, balanced because one subscriber may
+    own a large part of all events.
     """
     events = rated.select(
         "event_id",
@@ -47,4 +47,5 @@ def line_items_of(invoices: DataFrame, rated: DataFrame) -> DataFrame:
     )
     keys = ["user_id", "billing_period_start"]
     headers = invoices.select("invoice_id", *keys)
-    return events.join(headers, keys).select("invoice_id", "event_id")
+    joined = balanced_join(events, headers, keys, F.col("event_id"))
+    return joined.select("invoice_id", "event_id")

@@ -1,27 +1,59 @@
-"""Joins of events to small tables."""
+"""Joins of many rows to a table with one row per key."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+ROWS_PER_TASK = 5_000_000
 
 
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
     on: Sequence[str],
+    spread: Column,
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Broadcast the lookup if it is counted to be small.
+    """Broadcast the lookup if it is counted to be small, else join balanced."""
+    if lookup.limit(max_rows + 1).count() <= max_rows:
+        return rows.join(F.broadcast(lookup), list(on), how)
+    return balanced_join(rows, lookup, on, spread, how)
+
+
+def balanced_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    spread: Column,
+    how: str = "inner",
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Shuffled join in which no key puts more than about ``rows_per_task``
+    rows on one task, however many rows share it.
 
-    Beyond that it is a shuffled join, in which adaptive execution splits the
-    partitions of keys that many rows share.
+    Keys are counted first. A key above the limit is divided into numbered
+    parts: its rows choose theirs by a hash of ``spread``, and its lookup row is
+    repeated once per part. All other keys have the single part 0. With N rows
+    there are at most N / limit divided keys, and the limit grows with N so
+    that this list never exceeds what may be broadcast.
     """
-    if lookup.limit(max_rows + 1).count() <= max_rows:
-        lookup = F.broadcast(lookup)
-    return rows.join(lookup, list(on), how)
+    limit = max(rows_per_task, rows.count() // BROADCAST_ROWS + 1)
+    divided = (
+        rows.groupBy(*on)
+        .agg(F.count("*").alias("size"))
+        .filter(F.col("size") > limit)
+        .select(*on, F.ceil(F.col("size") / limit).cast("int").alias("parts"))
+    )
+    parts = F.coalesce(F.col("parts"), F.lit(1))
+    left = rows.join(F.broadcast(divided), list(on), "left").withColumn(
+        "part", F.pmod(F.xxhash64(spread), parts).cast("int")
+    )
+    right = lookup.join(F.broadcast(divided), list(on), "left").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), parts - 1))
+    )
+    return left.drop("parts").join(right.drop("parts"), [*on, "part"], how).drop("part")

@@ -72,7 +72,8 @@ def price_by_card(
     if doubled:
         raise ValueError("the rate card has more than one price for a rate_key")
     keyed = usage.withColumn("rate_key", rate_key(tariff))
-    priced = lookup_join(keyed, card, ["rate_key"], max_rows=max_broadcast_rows)
+    spread = F.xxhash64(*USAGE_COLUMNS)
+    priced = lookup_join(keyed, card, ["rate_key"], spread, max_rows=max_broadcast_rows)
     above = F.col("data_volume_mb") > F.col("threshold_mb")
     chosen = F.when((F.col("record_type") == "data") & above, F.col("price_above")).otherwise(
         F.col("price")
