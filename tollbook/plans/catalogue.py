@@ -487,10 +487,11 @@ def idempotent_period_write(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def incremental_rebilling(spark: SparkSession, folder: str) -> DataFrame:
-    """Events loaded in two parts, billing run after each and once more."""
+    """Two halves of a month loaded, billing run after each and once more."""
     work = shared_folder(spark)
     loaded = rated(spark, folder)
-    parts = [F.col("event_id") < "8", F.col("event_id") >= "8", None]
+    day = F.dayofmonth("event_time")
+    parts = [day <= 15, day > 15, None]
     for number, part in enumerate(parts):
         if part is not None:
             table_sinks.write_rated(

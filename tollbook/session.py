@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 ZONE = "spark.sql.session.timeZone"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 SETTINGS = {
     # Event times carry no zone of their own; every job reads them as UTC.
@@ -22,7 +23,7 @@ SETTINGS = {
     STATE_STORE: (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    CHANGELOG: "true",
 }
 
 
@@ -62,6 +63,7 @@ def prepare(spark: SparkSession) -> SparkSession:
         spark.conf.set(ZONE, "UTC")
     if "RocksDB" not in spark.conf.get(STATE_STORE):
         spark.conf.set(STATE_STORE, SETTINGS[STATE_STORE])
+        spark.conf.set(CHANGELOG, SETTINGS[CHANGELOG])
     return spark
 
 

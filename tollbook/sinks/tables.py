@@ -20,7 +20,10 @@ def with_period(rated: DataFrame) -> DataFrame:
 
 def sized_for_write(rows: DataFrame) -> DataFrame:
     """Rebalance by period, so that each folder gets few files of good size;
-    a month too large for one task is split by adaptive execution."""
+    a month too large for one task is split by adaptive execution. Where that
+    is off, as inside a micro-batch, every task writes what it has."""
+    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        return rows
     return rows.hint("rebalance", *[F.col(c) for c in PERIOD_COLUMNS])
 
 

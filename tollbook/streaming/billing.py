@@ -42,7 +42,8 @@ def start_rebilling(
     def load(batch: DataFrame, _: int) -> None:
         touched = [tuple(row) for row in batch.select(*PERIOD_COLUMNS).distinct().collect()]
         if touched:
-            rebill(batch.sparkSession, table_path, summary_path, touched, terms)
+            # In the caller's session: the micro-batch's has adaptive execution off.
+            rebill(spark, table_path, summary_path, touched, terms)
 
     arrivals = spark.readStream.schema(RATED_TABLE_ON_DISK).parquet(table_path)
     return start_batch_sink(arrivals, load, checkpoint, once=True)
