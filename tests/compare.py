@@ -15,7 +15,8 @@ def connect(folder: str):
     con.execute("set timezone = 'UTC'")
     for path in glob.glob(f"{folder}/*.parquet"):
         name = os.path.basename(path).removesuffix(".parquet")
-        con.execute(f"create view {name} as select * from read_parquet('{path}')")
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"create view {name} as select * from read_parquet('{files}')")
     return con
 
 
@@ -62,4 +63,5 @@ def spark_types(frame):
 
 
 def sql_types(con, sql):
-    return {r[0]: r[1].replace(",", ", ").replace(",  ", ", ") for r in con.execute(f"describe {sql}").fetchall()}
+    described = con.execute(f"describe {sql}").fetchall()
+    return {row[0]: row[1].replace(", ", ",").replace(",", ", ") for row in described}

@@ -10,7 +10,7 @@ VOICE = {
     "caller_id": "212600000001",
     "callee_id": "212600000002",
     "duration_sec": 60,
-    "cell_id": "NADOR_1",
+    "cell_id": "CELL_1",
     "technology": "4G",
 }
 SMS = {
@@ -18,7 +18,7 @@ SMS = {
     "timestamp": "2024-01-10T09:30:00.000Z",
     "sender_id": "212600000001",
     "receiver_id": "212600000002",
-    "cell_id": "NADOR_1",
+    "cell_id": "CELL_1",
     "technology": "3G",
 }
 DATA = {
@@ -27,7 +27,7 @@ DATA = {
     "user_id": "212600000001",
     "session_duration_sec": 30,
     "data_volume_mb": 12.5,
-    "cell_id": "NADOR_1",
+    "cell_id": "CELL_1",
     "technology": "5G",
 }
 

@@ -60,6 +60,12 @@ def test_money_rounds_half_away_from_zero(spark, amount, expected):
     assert cost == (Decimal(expected) if expected else None)
 
 
+def test_a_value_just_below_a_half_cent_is_rounded_down(spark):
+    """379.375 * 0.9 - 20 = 321.4375; times 1.2 the double is 385.72499999999997."""
+    row = bill(spark, ("u", "data", JAN, "379.375", 0, "0"))
+    assert row.final_cost == Decimal("385.72")
+
+
 def test_a_bill_beyond_the_declared_column_is_still_a_figure(spark):
     events = [("u", "data", JAN, "999999.9999", 0, "0")] * 400
     assert bill(spark, *events).final_cost > Decimal("99999999.99")

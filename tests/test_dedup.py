@@ -12,10 +12,10 @@ def test_caller_key_merges_messages_of_one_moment(spark):
     records = [
         SMS,
         changed(SMS, sender_id="212600000009"),
-        changed(SMS, cell_id="TANGER_2"),
+        changed(SMS, cell_id="CELL_2"),
         DATA,
         VOICE,
-        changed(VOICE, cell_id="TANGER_2"),
+        changed(VOICE, cell_id="CELL_2"),
     ]
     rows = clean(spark, *records)
     assert dedup.deduplicate(rows, dedup.CALLER_KEY).count() == 3

@@ -42,7 +42,7 @@ def test_a_wrong_type_loses_only_its_field(spark):
         )
     ).collect()
     assert [r.duration_sec for r in rows] == [None, None, None, 60, None]
-    assert [r.cell_id for r in rows] == ["NADOR_1"] * 3 + ["17", None]
+    assert [r.cell_id for r in rows] == ["CELL_1"] * 3 + ["17", None]
     assert [r.record_type for r in rows] == ["voice"] * 4 + [None]
     assert rows[4].raw == "not json"
 

@@ -84,7 +84,7 @@ def table(spark, *changes):
         "record_type": "voice",
         "event_time": START,
         "user_identifier": "212600000001",
-        "cell_id": "NADOR_1",
+        "cell_id": "CELL_1",
         "technology": "4G",
         "cost": Decimal("1.0"),
         "duration_sec": 60,

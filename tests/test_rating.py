@@ -1,5 +1,6 @@
+import random
 from datetime import datetime
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -148,6 +149,41 @@ def test_a_changed_card_changes_prices(spark):
     assert priced.first().cost == Decimal("0.1000")
 
 
+def expected_cost(kind, time, tech, seconds, mb):
+    """The tariff, restated with Python decimals."""
+    if kind == "sms":
+        amount = Decimal("0.05")
+    elif kind == "voice" and seconds and seconds > 0:
+        peak = time.hour in (8, 9, 10, 11, 17, 18, 19)
+        amount = seconds * Decimal("0.015" if peak else "0.01")
+    elif kind == "data" and mb and mb > 0:
+        rates = {"3G": "0.08", "4G": "0.10", "5G": "0.12", "LTE": "0.09"}
+        if tech not in rates:
+            return None
+        amount = Decimal(repr(mb)) * Decimal(rates[tech])
+        if mb > 1000:
+            amount *= Decimal("0.85")
+    else:
+        amount = Decimal(0)
+    return amount.quantize(Decimal("0.0001"), ROUND_HALF_UP)
+
+
+def test_prices_match_brute_force(spark):
+    rng = random.Random(5)
+    rows = [
+        event(
+            rng.choice(["voice", "sms", "data", "data", "mms"]),
+            datetime(2024, 1, rng.randint(1, 31), rng.randrange(24), rng.randrange(60)),
+            rng.choice(["2G", "3G", "4G", "5G", "LTE"]),
+            rng.choice([None, -3, 0, rng.randrange(10**6)]),
+            rng.choice([None, 0.0, round(rng.uniform(0, 2000), rng.choice([2, 6])), 1000.0]),
+        )
+        for _ in range(2000)
+    ]
+    expected = [expected_cost(kind, time, tech, s, mb) for kind, time, _, _, tech, s, mb in rows]
+    assert costs(spark, *rows) == expected
+
+
 def test_an_ambiguous_card_is_refused(spark):
     card = rating.rate_card(spark)
     with pytest.raises(ValueError):

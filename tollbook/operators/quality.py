@@ -142,7 +142,7 @@ def out_of_order(
     width = block_width(rows, arrival, rows_per_block)
     narrow = rows.select(
         owner.alias("owner"), F.col(arrival).alias("arrival"), time.alias("time")
-    ).filter("owner is not null and time is not null")
+    ).filter("owner is not null and arrival is not null and time is not null")
     blocked = narrow.withColumn("block", F.expr(f"arrival div {width}"))
     before = Window.partitionBy("owner").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1

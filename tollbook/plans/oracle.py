@@ -146,6 +146,8 @@ adjusted as (
 
 
 def bills(reduced: str) -> str:
+    """Bills are rounded by their decimal text, as a cast to decimal does it:
+    rounding the binary number moves values just below a half cent up."""
     return f"""
 reduced as (
   select *, adjusted_cost * cast(0.9 as double) - cast(20 as double) as full_reduction
@@ -154,7 +156,8 @@ discounted as (select *, {reduced} as discounted_cost from reduced),
 summary as (
   select user_identifier as customer_id, billing_year, billing_month, record_type as service,
     event_count, total_cost, adjusted_cost, discounted_cost,
-    cast(round(discounted_cost * cast(1.2 as double), 2) as decimal(18, 2)) as final_cost
+    cast(round(cast(cast(discounted_cost * cast(1.2 as double) as varchar) as decimal(38, 20)), 2)
+      as decimal(18, 2)) as final_cost
   from discounted)"""
 
 
