@@ -131,35 +131,45 @@ def block_width(rows: DataFrame, arrival: str, rows_per_block: int) -> int:
 def out_of_order(
     rows: DataFrame, owner: Column, arrival: str, time: Column, rows_per_block: int = 1 << 22
 ) -> DataFrame:
-    """Rows of (owner, arrival, time) with ``late``: an earlier arrival of the
-    same owner carries a later time.
+    """Distinct (owner, arrival, time) with the number of their ``copies`` and
+    ``late``: an earlier arrival of the same owner carries a later time.
 
     A running maximum per owner, cut into ranges of arrival numbers so that an
     owner with very many rows is spread over tasks: each range starts from the
-    maximum of the owner's ranges before it. Ranges get equal widths, so the
-    arrival numbers should be spread evenly, as sequence numbers are.
+    maximum of the owner's ranges before it. Copies are counted before that.
+    Ranges get equal widths, so the arrival numbers should be spread evenly, as
+    sequence numbers are.
     """
     width = block_width(rows, arrival, rows_per_block)
     narrow = rows.select(
-        owner.alias("owner"), F.col(arrival).alias("arrival"), time.alias("time")
+        owner.alias("owner"),
+        F.expr(f"{arrival} div {width}").alias("block"),
+        F.col(arrival).alias("arrival"),
+        time.alias("time"),
     ).filter("owner is not null and arrival is not null and time is not null")
-    blocked = narrow.withColumn("block", F.expr(f"arrival div {width}"))
+    distinct = narrow.groupBy(*narrow.columns).agg(F.count("*").alias("copies"))
     before = Window.partitionBy("owner").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
     carried = (
-        blocked.groupBy("owner", "block")
+        narrow.groupBy("owner", "block")
         .agg(F.max("time").alias("block_max"))
         .select("owner", "block", F.max("block_max").over(before).alias("carried"))
     )
     running = (
         Window.partitionBy("owner", "block")
-        .orderBy("arrival")
+        .orderBy("arrival", "time")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    seen = F.greatest(F.max("time").over(running), F.col("carried"))
-    return blocked.join(carried, ["owner", "block"]).select(
-        "owner", "arrival", "time", (F.col("time") < seen).alias("late")
+    # The window comes before the join, which then finds its rows already
+    # distributed and sorted.
+    within = distinct.withColumn("running", F.max("time").over(running))
+    return within.join(carried, ["owner", "block"]).select(
+        "owner",
+        "arrival",
+        "time",
+        "copies",
+        (F.col("time") < F.greatest("running", "carried")).alias("late"),
     )
 
 
@@ -241,5 +251,10 @@ def anomaly_report(
     )
     late = out_of_order(
         records, fields.subscriber(), arrival, F.col("timestamp"), rows_per_block
-    ).agg(F.lit("out_of_order").alias("anomaly"), F.count_if(F.col("late")).alias("records"))
+    ).agg(
+        F.lit("out_of_order").alias("anomaly"),
+        F.coalesce(F.sum(F.when(F.col("late"), F.col("copies"))), F.lit(0))
+        .cast("bigint")
+        .alias("records"),
+    )
     return _long(counts, records, "anomaly", "records").unionByName(surplus).unionByName(late)
