@@ -43,7 +43,7 @@ def text_of(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
-def with_row(docs: DataFrame, key: str, *columns: str) -> DataFrame:
+def with_row(docs: DataFrame, key: str, *columns: str | Column) -> DataFrame:
     """``_row`` (a long, unique), the key and the columns.
 
     Where the key has neither nulls nor repeats it serves as the row's number;

@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from tollbook.llm import bpe, id_files, packing, quality_model, quality_rules, token_counts, warc
+from pyspark.sql import functions as F
+
+from tollbook.llm import (
+    bpe,
+    id_files,
+    ngram_join,
+    packing,
+    quality_model,
+    quality_rules,
+    substring_dedup,
+    token_counts,
+    vector_join,
+    warc,
+)
 from tollbook.llm.common import reachable, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +39,12 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query
 def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -62,8 +80,18 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer, work_folder(spark, "token-cache"))
 
 
+@query
+def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op9_id_files(spark: SparkSession, folder: str) -> DataFrame:
     shards = work_folder(spark, "ids")
     manifest = id_files.write_shards(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), shards)
     return id_files.read_documents(manifest, shards)
+
+
+@query
+def op10_vector_join(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_join.near_vectors(table(spark, folder, "embeddings"))
