@@ -20,18 +20,18 @@ def late_by_brute_force(rows):
     return late
 
 
-@pytest.mark.parametrize("rows_per_block", [1, 7, 50, 10_000])
-def test_out_of_order_matches_brute_force(spark, rows_per_block):
-    rng = random.Random(rows_per_block)
+@pytest.mark.parametrize("blocks", [1, 3, 60, None])
+def test_out_of_order_matches_brute_force(spark, blocks):
+    rng = random.Random(blocks or 0)
     rows = [
-        # one owner with most of the rows, arrivals with gaps
-        ("hot" if rng.random() < 0.6 else f"u{rng.randrange(4)}", n * 3, START + timedelta(
+        # one owner with most of the rows, arrivals numbered by partition and row
+        ("hot" if rng.random() < 0.6 else f"u{rng.randrange(4)}", (n // 40 << 33) + n * 3, START + timedelta(
             seconds=n + rng.choice([0, 0, 0, -40, 15])))
         for n in range(300)
     ]
     rows += rows[100:103] * 40
     frame = spark.createDataFrame(rows, "who string, n bigint, t timestamp")
-    flagged = quality.out_of_order(frame, F.col("who"), "n", F.col("t"), rows_per_block)
+    flagged = quality.out_of_order(frame, F.col("who"), "n", F.col("t"), blocks)
     assert flagged.agg(F.sum("copies")).first()[0] == len(rows)
     assert flagged.count() == 300
     got = {(r.owner, r.arrival) for r in flagged.filter("late").collect()}
@@ -43,6 +43,16 @@ def test_out_of_order_of_nothing(spark):
     assert quality.out_of_order(empty, F.col("who"), "n", F.col("t")).isEmpty()
 
 
+def test_a_field_that_is_there_but_unreadable_is_not_missing(spark):
+    """A record may lack one field and have another of the wrong type."""
+    record = changed(VOICE, duration_sec=-5, cell_id=...)
+    typed = mediation.type_event_time(mediation.parse_raw(values(spark, record)))
+    frame = typed.withColumn("n", F.lit(1).cast("bigint"))
+    for raw in (None, "raw"):
+        report = {r.anomaly: r.records for r in quality.anomaly_report(frame, "n", raw).collect()}
+        assert report["missing_field"] == 1 and report["corrupt_value"] == 1
+
+
 def test_each_anomaly_is_counted(spark):
     records = [
         VOICE,

@@ -197,3 +197,19 @@ def test_status_counts(spark):
 
 def test_usage_layout(spark):
     assert tuple(usage(spark, event()).columns) == USAGE_COLUMNS
+
+
+def test_what_rounds_to_nothing_is_still_rated(spark):
+    """0.00004 is charged and shown as 0.0000; what has no price or no volume is not."""
+    rows = rating.price(usage(
+        spark, event("data", tech="3G", mb=0.0005), event("data", tech="2G", mb=0.0005),
+        event("data", tech="3G", mb=0.0), event("data", tech="3G", mb=1e12),
+    )).collect()
+    assert [(r.cost, r.rating_status) for r in rows] == [
+        (Decimal("0.0000"), "rated"), (None, "unrated"), (Decimal("0.0000"), "unrated"), (None, "unrated"),
+    ]
+
+
+def test_volumes_too_wide_for_their_column_are_counted(spark):
+    rows = rating.price(usage(spark, event("data", mb=1e12), event("data", mb=5.0), event()))
+    assert rating.load_report(rows).first().volume_too_wide == 1

@@ -2,16 +2,18 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from samples import SMS, VOICE, changed, values
 from tollbook.operators import dedup, mediation
-from tollbook.session import folder_bytes, shuffle_partitions, state_partitions
-from tollbook.sinks.streams import start_text_sink
+from tollbook.plans import catalogue
+from tollbook.session import folder_bytes, shared_folder, shuffle_partitions, state_partitions
+from tollbook.sinks.streams import start_batch_sink, start_text_sink
 from tollbook.sources import streams, tables
 from tollbook.streaming import mediation as mediation_job
 from tollbook.streaming import rating as rating_job
-from tollbook.streaming.lifecycle import late_rows, run_forever, run_to_end
+from tollbook.streaming.lifecycle import counting_late_rows, run_forever, run_to_end
 
 NOON = datetime(2024, 1, 10, 12)
 
@@ -38,6 +40,13 @@ def mediate(spark, work, **options):
     return queries
 
 
+def late_rows(spark, work, **options):
+    """Runs the mediation and counts what its clean output dropped."""
+    with counting_late_rows(spark) as late:
+        clean, _ = mediate(spark, work, **options)
+        return late.of(clean)
+
+
 def minutes(spark, work):
     clean = mediation.parse_clean(spark.read.text(f"{work}/clean"))
     return sorted(
@@ -49,14 +58,11 @@ def minutes(spark, work):
 @pytest.mark.parametrize("salts", [0, 3])
 def test_late_records_are_dropped_and_counted(spark, tmp_path, salts):
     deliver(spark, tmp_path / "in", call(0), call(0), call(-60))
-    first, _ = mediate(spark, tmp_path, salts=salts)
-    assert late_rows(first) == 0 and minutes(spark, tmp_path) == [-60, 0]
+    assert late_rows(spark, tmp_path, salts=salts) == 0 and minutes(spark, tmp_path) == [-60, 0]
     deliver(spark, tmp_path / "in", call(-60), call(-3), call(0), call(30))
-    second, _ = mediate(spark, tmp_path, salts=salts)
-    assert late_rows(second) == 1 and minutes(spark, tmp_path) == [-60, -3, 0, 30]
+    assert late_rows(spark, tmp_path, salts=salts) == 1 and minutes(spark, tmp_path) == [-60, -3, 0, 30]
     deliver(spark, tmp_path / "in", call(24), call(26), call(30))
-    third, _ = mediate(spark, tmp_path, salts=salts)
-    assert late_rows(third) == 1 and minutes(spark, tmp_path) == [-60, -3, 0, 26, 30]
+    assert late_rows(spark, tmp_path, salts=salts) == 1 and minutes(spark, tmp_path) == [-60, -3, 0, 26, 30]
 
 
 def test_a_longer_delay_keeps_more(spark, tmp_path):
@@ -147,7 +153,58 @@ def test_partition_sizing(spark, tmp_path):
     assert shuffle_partitions(100 << 40, 4000) == 820000
     deliver(spark, tmp_path / "in", call(0))
     assert folder_bytes(spark, f"{tmp_path}/in") > 0
-    assert state_partitions(spark, f"{tmp_path}/in") == spark.sparkContext.defaultParallelism
+    assert state_partitions(0) == 1 and state_partitions(10 << 40) == 81920
+
+
+def test_late_rows_are_counted_beyond_the_reports_a_query_keeps(spark, tmp_path):
+    """One report is kept; the rows of all micro-batches are counted."""
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, 1)
+    try:
+        deliver(spark, tmp_path / "in", call(600))
+        mediate(spark, tmp_path)
+        for minute in range(4):
+            deliver(spark, tmp_path / "in", call(minute))
+        with counting_late_rows(spark) as late:
+            query = start_text_sink(
+                mediation_job.clean_stream(streams.text_stream(spark, f"{tmp_path}/in", 1)),
+                f"{tmp_path}/clean",
+                f"{tmp_path}/checkpoint/clean",
+                once=True,
+            )
+            run_to_end(query)
+            assert late.of(query) == 4 and len(query.recentProgress) < 4
+    finally:
+        spark.conf.unset(key)
+
+
+def test_state_is_evicted_as_the_stream_goes(spark):
+    """Ten deliveries in the order of their times hold far fewer keys than there are."""
+    folder = "/root/testdata/sf0.001"
+    work = shared_folder(spark)
+    query = catalogue._start_clean(spark, folder, work, salts=0)
+    run_to_end(query)
+    batches = [p for p in query.recentProgress if p["numInputRows"]]
+    peak = max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"])
+    distinct = spark.read.text(f"{work}/clean").count()
+    assert len(batches) >= 10 and peak < distinct / 4
+
+
+def test_the_first_failure_ends_all(spark, tmp_path):
+    """A failing query beside one that never ends."""
+    deliver(spark, tmp_path / "in", call(0))
+
+    def fail(batch, number):
+        raise RuntimeError("no table")
+
+    endless = start_text_sink(
+        streams.text_stream(spark, f"{tmp_path}/in"), f"{tmp_path}/a", f"{tmp_path}/ca"
+    )
+    failing = start_batch_sink(streams.text_stream(spark, f"{tmp_path}/in"), fail, f"{tmp_path}/cb", once=True)
+    with pytest.raises(StreamingQueryException):
+        run_to_end(endless, failing)
+    assert not endless.isActive
+    spark.streams.resetTerminated()
 
 
 def test_run_forever_ends_with_the_first_query(spark, tmp_path):

@@ -93,5 +93,8 @@ def cost(tariff: Tariff = DEFAULT_TARIFF) -> Column:
     return charge(unit_price(tariff))
 
 
-def rating_status() -> Column:
-    return F.when(F.col("cost") > 0, F.lit("rated")).otherwise(F.lit("unrated"))
+def rating_status(price: Column) -> Column:
+    """Rated if something is charged before the amount is rounded to the cost
+    column: a very small volume costs 0.0000 and still counts as billed."""
+    charged = F.col("cost").isNotNull() & is_billable() & (units() * price > 0)
+    return F.when(charged, F.lit("rated")).otherwise(F.lit("unrated"))

@@ -1,7 +1,7 @@
 """The acceptance rules of a usage record, stated once.
 
-The flag, the reject reasons and the anomaly counts are all derived from the
-same table of (reason, condition) pairs.
+The flag and the reject reasons are derived from the same (reason, condition)
+pairs, and these, like the anomaly counts, from the same table of required fields.
 """
 
 from __future__ import annotations
@@ -38,22 +38,32 @@ def common_rules(per_service_technology: bool = False) -> list[Rule]:
     ]
 
 
+# The fields every record and each service must carry, and the
+# reason given for a record whose field is absent or, for a quantity, not positive.
+ALWAYS_REQUIRED = ("record_type", "timestamp", "cell_id", "technology")
+SERVICE_REQUIRED = {
+    "voice": {
+        "caller_id": "caller_missing",
+        "callee_id": "callee_missing",
+        "duration_sec": "duration_not_positive",
+    },
+    "sms": {"sender_id": "sender_missing", "receiver_id": "receiver_missing"},
+    "data": {
+        "user_id": "user_missing",
+        "data_volume_mb": "volume_not_positive",
+        "session_duration_sec": "session_not_positive",
+    },
+}
+QUANTITIES = ("duration_sec", "session_duration_sec", "data_volume_mb")
+
+
 def service_rules() -> dict[str, list[Rule]]:
+    def ok(column: str) -> Column:
+        return F.col(column) > 0 if column in QUANTITIES else F.col(column).isNotNull()
+
     return {
-        "voice": [
-            ("caller_missing", F.col("caller_id").isNotNull()),
-            ("callee_missing", F.col("callee_id").isNotNull()),
-            ("duration_not_positive", F.col("duration_sec") > 0),
-        ],
-        "sms": [
-            ("sender_missing", F.col("sender_id").isNotNull()),
-            ("receiver_missing", F.col("receiver_id").isNotNull()),
-        ],
-        "data": [
-            ("user_missing", F.col("user_id").isNotNull()),
-            ("volume_not_positive", F.col("data_volume_mb") > 0),
-            ("session_not_positive", F.col("session_duration_sec") > 0),
-        ],
+        service: [(reason, ok(column)) for column, reason in required.items()]
+        for service, required in SERVICE_REQUIRED.items()
     }
 
 

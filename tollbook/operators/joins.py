@@ -3,12 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 ROWS_PER_TASK = 5_000_000
+#: Joins that keep no lookup row for its own sake; a repeated one does no harm there.
+KINDS = ("inner", "left", "left_semi", "left_anti")
+
+
+def is_small(table: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """Counted and measured, by its rows as text, up to one row past the limit."""
+    text = F.to_json(F.struct(*table.columns))
+    seen = table.limit(max_rows + 1).agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes")
+    ).first()
+    return seen["rows"] <= max_rows and seen["bytes"] <= max_bytes
 
 
 def lookup_join(
@@ -18,9 +32,10 @@ def lookup_join(
     spread: Column,
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Broadcast the lookup if it is counted to be small, else join balanced."""
-    if lookup.limit(max_rows + 1).count() <= max_rows:
+    """Broadcast the lookup if it is found to be small, else join balanced."""
+    if is_small(lookup, max_rows, max_bytes):
         return rows.join(F.broadcast(lookup), list(on), how)
     return balanced_join(rows, lookup, on, spread, how)
 
@@ -40,14 +55,46 @@ def balanced_join(
     parts: its rows choose theirs by a hash of ``spread``, and its lookup row is
     repeated once per part. All other keys have the single part 0. With N rows
     there are at most N / limit divided keys, and the limit grows with N so
-    that this list never exceeds what may be broadcast.
+    that this list never exceeds what may be broadcast. Rows with a NULL in
+    their key match nothing and go round the join.
     """
-    limit = max(rows_per_task, rows.count() // BROADCAST_ROWS + 1)
-    divided = (
-        rows.groupBy(*on)
-        .agg(F.count("*").alias("size"))
-        .filter(F.col("size") > limit)
-        .select(*on, F.ceil(F.col("size") / limit).cast("int").alias("parts"))
+    if how not in KINDS:
+        raise ValueError(f"a balanced join is one of {', '.join(KINDS)}, not {how}")
+    keyed = rows.dropna(subset=list(on))
+    sizes = keyed.groupBy(*on).agg(F.count("*").alias("size"))
+    seen = sizes.agg(
+        F.coalesce(F.sum("size"), F.lit(0)).alias("total"),
+        F.count_if(F.col("size") > rows_per_task).alias("heavy"),
+    ).first()
+    if seen["heavy"]:
+        limit = rows_per_task
+        if seen["heavy"] > BROADCAST_ROWS:
+            limit = max(limit, seen["total"] // BROADCAST_ROWS + 1)
+        joined = _divided_join(keyed, lookup, on, spread, how, sizes, limit)
+    else:
+        joined = keyed.join(lookup, list(on), how)
+    if how in ("inner", "left_semi"):
+        return joined
+    without_key = rows.filter(reduce(or_, [F.col(c).isNull() for c in on]))
+    added = [
+        F.lit(None).cast(field.dataType).alias(field.name)
+        for field in joined.schema.fields
+        if field.name not in rows.columns
+    ]
+    return joined.union(without_key.select("*", *added).select(*joined.columns))
+
+
+def _divided_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    spread: Column,
+    how: str,
+    sizes: DataFrame,
+    limit: int,
+) -> DataFrame:
+    divided = sizes.filter(F.col("size") > limit).select(
+        *on, F.ceil(F.col("size") / limit).cast("int").alias("parts")
     )
     parts = F.coalesce(F.col("parts"), F.lit(1))
     left = rows.join(F.broadcast(divided), list(on), "left").withColumn(

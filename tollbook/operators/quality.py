@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tollbook.functions import fields, validity
 from tollbook.operators import dedup
 from tollbook.schemas import COST, VOLUME
+from tollbook.session import shared_folder
 from tollbook.tariff import SERVICES
 
 # The declared widths of text columns.
@@ -119,40 +120,34 @@ def referential_report(items: DataFrame, invoices: DataFrame, events: DataFrame)
     return line("invoice", invoices, "invoice_id").unionByName(line("event", events, "event_id"))
 
 
-def block_width(rows: DataFrame, arrival: str, rows_per_block: int) -> int:
-    """Width of arrival ranges that hold about ``rows_per_block`` rows each."""
-    low, high, count = rows.agg(F.min(arrival), F.max(arrival), F.count(arrival)).first()
-    if not count:
-        return 1
-    blocks = -(-count // rows_per_block)
-    return max(1, -(-(high - low + 1) // blocks))
-
-
 def out_of_order(
-    rows: DataFrame, owner: Column, arrival: str, time: Column, rows_per_block: int = 1 << 22
+    rows: DataFrame, owner: Column, arrival: str, time: Column, blocks: int | None = None
 ) -> DataFrame:
     """Distinct (owner, arrival, time) with the number of their ``copies`` and
     ``late``: an earlier arrival of the same owner carries a later time.
 
-    A running maximum per owner, cut into ranges of arrival numbers so that an
-    owner with very many rows is spread over tasks: each range starts from the
-    maximum of the owner's ranges before it. Copies are counted before that.
-    Ranges get equal widths, so the arrival numbers should be spread evenly, as
-    sequence numbers are.
+    A running maximum per owner, cut into ranges of owner and arrival that hold
+    about as many rows each, whatever numbers the arrivals have: an owner with very
+    many rows is spread over ranges, and each starts from the maximum of the owner's
+    ranges before it. There are as many ranges as shuffle partitions, or ``blocks``.
+    Copies are counted before that, and the ranges are stored, as drawing them
+    again could draw them elsewhere.
     """
-    width = block_width(rows, arrival, rows_per_block)
     narrow = rows.select(
-        owner.alias("owner"),
-        F.expr(f"{arrival} div {width}").alias("block"),
-        F.col(arrival).alias("arrival"),
-        time.alias("time"),
+        owner.alias("owner"), F.col(arrival).alias("arrival"), time.alias("time")
     ).filter("owner is not null and arrival is not null and time is not null")
     distinct = narrow.groupBy(*narrow.columns).agg(F.count("*").alias("copies"))
+    ranged = distinct.repartitionByRange(*([blocks] if blocks else []), "owner", "arrival")
+    path = f"{shared_folder(rows.sparkSession)}/ranges"
+    placed = ranged.withColumn("block", F.spark_partition_id())
+    placed.write.parquet(path)
+    placed = rows.sparkSession.read.schema(placed.schema).parquet(path)
     before = Window.partitionBy("owner").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1
     )
+    # At most one row per owner and range, whatever the rows.
     carried = (
-        narrow.groupBy("owner", "block")
+        placed.groupBy("owner", "block")
         .agg(F.max("time").alias("block_max"))
         .select("owner", "block", F.max("block_max").over(before).alias("carried"))
     )
@@ -163,7 +158,7 @@ def out_of_order(
     )
     # The window comes before the join, which then finds its rows already
     # distributed and sorted.
-    within = distinct.withColumn("running", F.max("time").over(running))
+    within = placed.withColumn("running", F.max("time").over(running))
     return within.join(carried, ["owner", "block"]).select(
         "owner",
         "arrival",
@@ -173,28 +168,30 @@ def out_of_order(
     )
 
 
-# The fields every record and each service must carry.
-ALWAYS_REQUIRED = ("record_type", "timestamp", "cell_id", "technology")
-SERVICE_REQUIRED = {
-    "voice": ("caller_id", "callee_id", "duration_sec"),
-    "sms": ("sender_id", "receiver_id"),
-    "data": ("user_id", "data_volume_mb", "session_duration_sec"),
-}
-
-
 def _any(conditions: list[Column]) -> Column:
     return reduce(or_, [F.coalesce(c, F.lit(False)) for c in conditions])
 
 
-def _missing() -> Column:
-    """A field its service needs is absent."""
-    checks = [F.col(c).isNull() for c in ALWAYS_REQUIRED]
-    for service, columns in SERVICE_REQUIRED.items():
-        checks += [(F.col("record_type") == service) & F.col(c).isNull() for c in columns]
+def _present(raw: Column) -> Column:
+    """The fields that a record's text has, whatever their types."""
+    return F.from_json(raw, "map<string,string>")
+
+
+def _missing(raw: str | None) -> Column:
+    """A field its service needs is absent; where the raw text is at hand, one that
+    is there but unreadable is not absent."""
+
+    def absent(column: str) -> Column:
+        if not raw:
+            return F.col(column).isNull()
+        return F.col(column).isNull() & _present(F.col(raw))[column].isNull()
+
+    checks = [absent(c) for c in validity.ALWAYS_REQUIRED]
+    for service, columns in validity.SERVICE_REQUIRED.items():
+        checks += [(F.col("record_type") == service) & absent(c) for c in columns]
     return _any(checks)
 
 
-QUANTITIES = ("duration_sec", "session_duration_sec", "data_volume_mb")
 IDENTIFIERS = (
     "caller_id",
     "callee_id",
@@ -209,16 +206,15 @@ INVALID_TEXT = "INVALID"
 
 def wrong_type(raw: Column) -> Column:
     """A field is present in the raw text but could not be read as its type."""
-    present = F.from_json(raw, "map<string,string>")
-    return _any(
-        [present[c].isNotNull() & F.col(c).isNull() for c in (*QUANTITIES, "timestamp")]
-    )
+    present = _present(raw)
+    checked = (*validity.QUANTITIES, "timestamp")
+    return _any([present[c].isNotNull() & F.col(c).isNull() for c in checked])
 
 
 def _corrupt(raw: str | None) -> Column:
     """A negative quantity, the text the source writes over a bad value, or,
     where the raw text is at hand, a field of the wrong type."""
-    checks = [F.col(c) < 0 for c in QUANTITIES]
+    checks = [F.col(c) < 0 for c in validity.QUANTITIES]
     checks += [F.col(c) == INVALID_TEXT for c in IDENTIFIERS]
     if raw:
         checks.append(wrong_type(F.col(raw)))
@@ -230,17 +226,14 @@ def anomaly_report(
     arrival: str,
     raw: str | None = None,
     key: Sequence[str] = dedup.SUBSCRIBER_KEY,
-    rows_per_block: int = 1 << 22,
 ) -> DataFrame:
     """Number of records per anomaly kind; a record may count for several.
 
     ``arrival`` numbers the records in the order they came in.
     """
-    corrupt = _corrupt(raw)
-    missing = _missing() & ~corrupt if raw else _missing()
     counts = {
-        "missing_field": F.count_if(missing),
-        "corrupt_value": F.count_if(corrupt),
+        "missing_field": F.count_if(_missing(raw)),
+        "corrupt_value": F.count_if(_corrupt(raw)),
         "invalid_service": F.count_if(
             ~F.coalesce(F.col("record_type").isin(*SERVICES), F.lit(True))
         ),
@@ -249,9 +242,7 @@ def anomaly_report(
         F.lit("duplicate").alias("anomaly"),
         F.coalesce(F.sum("surplus"), F.lit(0)).cast("bigint").alias("records"),
     )
-    late = out_of_order(
-        records, fields.subscriber(), arrival, F.col("timestamp"), rows_per_block
-    ).agg(
+    late = out_of_order(records, fields.subscriber(), arrival, F.col("timestamp")).agg(
         F.lit("out_of_order").alias("anomaly"),
         F.coalesce(F.sum(F.when(F.col("late"), F.col("copies"))), F.lit(0))
         .cast("bigint")

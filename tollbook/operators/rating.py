@@ -28,7 +28,7 @@ def price(usage: DataFrame, tariff: Tariff = DEFAULT_TARIFF) -> DataFrame:
     """Add cost and rating status."""
     return (
         usage.withColumn("cost", pricing.cost(tariff))
-        .withColumn("rating_status", pricing.rating_status())
+        .withColumn("rating_status", pricing.rating_status(pricing.unit_price(tariff)))
         .select(*RATED_COLUMNS)
     )
 
@@ -80,13 +80,14 @@ def price_by_card(
     )
     return (
         priced.withColumn("cost", pricing.charge(chosen))
-        .withColumn("rating_status", pricing.rating_status())
+        .withColumn("rating_status", pricing.rating_status(chosen))
         .select(*RATED_COLUMNS)
     )
 
 
 def fill_and_clamp(rated: DataFrame) -> DataFrame:
-    """No NULL and no negative quantities; volume as the table stores it."""
+    """No NULL and no negative quantities; volume as the table stores it, NULL
+    only where it does not fit, which ``load_report`` counts."""
     return rated.withColumns(
         {
             "duration_sec": fields.not_negative(F.col("duration_sec"), F.lit(0)),
@@ -120,6 +121,9 @@ def load_report(rated: DataFrame) -> DataFrame:
         F.count_if(missing_user).alias("without_subscriber"),
         F.count_if(F.col("cost").isNull()).alias("without_price"),
         F.count_if(F.col("cost") < 0).alias("negative_cost"),
+        F.count_if(
+            F.col("data_volume_mb").isNotNull() & F.col("data_volume_mb").try_cast(VOLUME).isNull()
+        ).alias("volume_too_wide"),
     )
 
 

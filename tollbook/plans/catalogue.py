@@ -3,25 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tollbook import jobs
 from tollbook.functions import fields, pricing, validity
 from tollbook.operators import billing, dedup, invoicing, mediation, quality, rating
-from tollbook.plans import chains
-from tollbook.schemas import CDR_COLUMNS, PERIOD_COLUMNS, RATED_TABLE, SUMMARY_COLUMNS
-from tollbook.session import prepare, shared_folder, state_partitions
+from tollbook.plans import chains, event_log
+from tollbook.schemas import (
+    CDR_COLUMNS,
+    PERIOD_COLUMNS,
+    RATED_TABLE,
+    RAW_CDR,
+    SUMMARY_COLUMNS,
+)
+from tollbook.session import folder_bytes, prepare, shared_folder, state_partitions
 from tollbook.sinks import tables as table_sinks
 from tollbook.sinks.streams import start_text_sink
-from tollbook.sources import event_log, streams
+from tollbook.sources import streams
 from tollbook.sources import tables as table_sources
 from tollbook.streaming import billing as billing_job
 from tollbook.streaming import mediation as mediation_job
 from tollbook.streaming import rating as rating_job
-from tollbook.streaming.lifecycle import run_to_end
+from tollbook.streaming.lifecycle import counting_late_rows, run_to_end
 from tollbook.tariff import BillingTerms
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,27 +143,27 @@ def event_time_formats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def damaged_wire(spark: SparkSession, folder: str) -> DataFrame:
+    """Wire text with ``event_id``, in which every eleventh line is no JSON and the
+    call durations of the others take turns in being badly typed."""
+    wire = event_log.to_wire(records(spark, folder), "event_id")
+    shapes = [F.lit("60"), F.lit('"INVALID"'), F.lit("5.5"), F.lit('"5"'), F.lit("null")]
+    shape = F.get(F.array(*shapes), (F.col("event_id") % 5).cast("int"))
+    damaged = F.regexp_replace(
+        "value", F.lit(r'"duration_sec":-?\d+'), F.concat(F.lit('"duration_sec":'), shape)
+    )
+    text = F.when(F.col("event_id") % 11 == 0, F.lit("not json")).otherwise(damaged)
+    return wire.select("event_id", text.alias("value"))
+
+
 @query
 def json_wrong_types(spark: SparkSession, folder: str) -> DataFrame:
     """Records with a badly typed field, or that are no JSON at all."""
-    duration = F.get(
-        F.array(F.lit("60"), F.lit('"INVALID"'), F.lit("5.5"), F.lit('"5"'), F.lit("null")),
-        (F.col("event_id") % 5).cast("int"),
-    )
-    line = F.format_string(
-        '{"record_type":"voice","caller_id":%d,"duration_sec":%s,"data_volume_mb":1.5}',
-        F.col("event_id"),
-        duration,
-    )
-    text = F.when(F.col("event_id") % 11 == 0, F.lit("not json")).otherwise(line)
-    parsed = mediation.mediate(events(spark, folder).select(text.alias("value")))
-    return parsed.select(
-        "record_type",
-        "caller_id",
-        "duration_sec",
-        "data_volume_mb",
-        "is_valid",
-        quality.wrong_type(F.col("raw")).alias("wrong_type"),
+    parsed = mediation.mediate(damaged_wire(spark, folder))
+    return plain_times(
+        parsed.select(
+            *CDR_COLUMNS, "is_valid", quality.wrong_type(F.col("raw")).alias("wrong_type")
+        )
     )
 
 
@@ -168,9 +176,9 @@ def _valid(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dedup_subscriber_key(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _valid(spark, folder).withColumn("subscriber", fields.subscriber())
-    keys = rows.select(*dedup.SUBSCRIBER_KEY)
-    return plain_times(keys.distinct())
+    unique = dedup.deduplicate(_valid(spark, folder), dedup.SUBSCRIBER_KEY)
+    keyed = unique.withColumn("subscriber", fields.subscriber())
+    return plain_times(keyed.select(*dedup.SUBSCRIBER_KEY))
 
 
 @query
@@ -199,6 +207,31 @@ def rated_via_rate_card(spark: SparkSession, folder: str) -> DataFrame:
     return plain_times(rating.sanitize(priced))
 
 
+@query
+def rated_via_shuffled_rate_card(spark: SparkSession, folder: str) -> DataFrame:
+    """The same through the shuffled join, over all records: those of unknown
+    services have no line in the rate card and no key."""
+    usage = rating.to_usage(records(spark, folder))
+    priced = rating.price_by_card(usage, rating.rate_card(spark), max_broadcast_rows=0)
+    return plain_times(rating.fill_and_clamp(priced))
+
+
+@query
+def tiny_volumes(spark: SparkSession, folder: str) -> DataFrame:
+    """Volumes a two-millionth of the records', many of which cost less than the
+    cost column can show: they are billed all the same."""
+    usage = rating.to_usage(records(spark, folder)).filter(F.col("record_type") == "data")
+    tiny = usage.withColumn("data_volume_mb", F.col("data_volume_mb") / F.lit(2e6))
+    return (
+        rating.price(tiny)
+        .groupBy("technology", "rating_status")
+        .agg(
+            F.count("*").alias("events"),
+            F.count_if(F.col("cost") == 0).alias("shown_as_zero"),
+        )
+    )
+
+
 @query
 def rating_status_counts(spark: SparkSession, folder: str) -> DataFrame:
     return rating.status_counts(chains.priced_events(records(spark, folder)))
@@ -238,10 +271,14 @@ def volume_discount_effect(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- billing ---------------------------------------------------------------
 
+# Fixed stamps, so that stamped columns can be compared.
+INVOICE_DATE = date(2024, 2, 1)
+GENERATED_AT = datetime(2024, 2, 1, 8, 30, tzinfo=UTC)
+
 
 @query
 def service_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    return billing.service_pivot(rated(spark, folder)).drop("invoice_date")
+    return jobs.service_invoices(rated(spark, folder), INVOICE_DATE)
 
 
 @query
@@ -325,12 +362,14 @@ def referential_check(spark: SparkSession, folder: str) -> DataFrame:
 def referential_check_unloaded(spark: SparkSession, folder: str) -> DataFrame:
     """Line items of all priced events against the events that were loaded:
     the orphans are the events without a price."""
-    priced = chains.priced_events(records(spark, folder)).withColumn(
-        "event_id", fields.event_key()
-    )
-    loaded = stored_rated(spark, folder)
+    path = f"{shared_folder(spark)}/priced"
+    chains.priced_events(records(spark, folder)).write.parquet(path)
+    priced = spark.read.parquet(path)
+    loaded = rating.sanitize(priced)
     return quality.referential_report(
-        invoicing.line_items(priced), invoicing.invoice_headers(loaded), loaded
+        invoicing.line_items(priced.withColumn("event_id", fields.event_key())),
+        invoicing.invoice_headers(loaded),
+        loaded,
     )
 
 
@@ -339,10 +378,21 @@ def anomaly_report(spark: SparkSession, folder: str) -> DataFrame:
     return quality.anomaly_report(records(spark, folder), "event_id")
 
 
+@query
+def anomaly_report_wire(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from the text, where a field that is there but unreadable is corrupt
+    and not missing."""
+    lines = damaged_wire(spark, folder)
+    raw = F.col("value").alias("raw")
+    parsed = F.from_json("value", RAW_CDR).alias("data")
+    typed = mediation.type_event_time(lines.select("event_id", raw, parsed).select("event_id", "raw", "data.*"))
+    return quality.anomaly_report(typed, "event_id", "raw")
+
+
 @query
 def out_of_order_by_subscriber(spark: SparkSession, folder: str) -> DataFrame:
     flagged = quality.out_of_order(
-        records(spark, folder), fields.subscriber(), "event_id", F.col("timestamp"), 4096
+        records(spark, folder), fields.subscriber(), "event_id", F.col("timestamp")
     )
     return flagged.groupBy(F.col("owner").alias("subscriber")).agg(
         F.sum("copies").alias("records"),
@@ -353,21 +403,46 @@ def out_of_order_by_subscriber(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams, run to their end ---------------------------------------------
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        prepare(spark)
-        .readStream.schema(event_log.EVENTS)
-        .parquet(streams.stream_path(f"{folder}/events.parquet"))
-    )
+# Deliveries the records come in, in the order of their times; one micro-batch each.
+DELIVERIES = 10
+FILES = 1
+
+
+def deliver(wire: DataFrame, work: str) -> str:
+    """Write wire text once by its column ``delivery``, then hand the deliveries over
+    one after the other, each in ``FILES`` files, as a file stream takes files in the
+    order of their times. Returns the folder they arrive in."""
+    spark = wire.sparkSession
+    wire.write.partitionBy("delivery").text(f"{work}/staged")
+    staged = spark.read.text(f"{work}/staged")
+    for number in _delivered(staged):
+        arrived = staged.filter(F.col("delivery") == number).select("value")
+        arrived.coalesce(FILES).write.mode("append").text(f"{work}/in")
+    return f"{work}/in"
+
+
+def _delivered(staged: DataFrame) -> list[int]:
+    """The numbers of the deliveries there are, at most a few: from folder names."""
+    return sorted(row[0] for row in staged.select("delivery").distinct().collect())
 
 
-def _wire_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return event_log.to_wire(event_log.to_records(_event_stream(spark, folder)))
+def _ordered_wire(rows: DataFrame) -> DataFrame:
+    """The records as text with their delivery, equal spans of time each."""
+    time = F.unix_micros("timestamp")
+    first, last = rows.agg(F.min(time), F.max(time)).first()
+    width = ((last or 0) - (first or 0)) // DELIVERIES + 1
+    numbered = rows.withColumn("delivery", F.expr(f"int((unix_micros(timestamp) - {first or 0}) div {width})"))
+    return event_log.to_wire(numbered, "delivery")
+
+
+def _arrivals(spark: SparkSession, folder: str, work: str) -> DataFrame:
+    path = deliver(_ordered_wire(records(spark, folder)), work)
+    return streams.text_stream(spark, path, max_files_per_trigger=FILES)
 
 
 def _start_clean(spark: SparkSession, folder: str, work: str, **options) -> StreamingQuery:
     return start_text_sink(
-        mediation_job.clean_stream(_wire_stream(spark, folder), **options),
+        mediation_job.clean_stream(_arrivals(spark, folder, work), **options),
         f"{work}/clean",
         f"{work}/checkpoint/clean",
         once=True,
@@ -376,7 +451,9 @@ def _start_clean(spark: SparkSession, folder: str, work: str, **options) -> Stre
 
 
 def _partitions(spark: SparkSession, folder: str) -> int:
-    return state_partitions(spark, f"{folder}/events.parquet")
+    """The state holds a delivery at most, a tenth of the input; as rows it is about
+    ten times as large as in the columns of the table."""
+    return state_partitions(folder_bytes(spark, f"{folder}/events.parquet"))
 
 
 def _rated_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -393,87 +470,138 @@ def stream_mediation_clean(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_mediation_dead_letter(spark: SparkSession, folder: str) -> DataFrame:
+    """Both outputs of one mediation job; of the dead letters every field, and
+    whether their text, read again, says the same."""
     work = shared_folder(spark)
-    lost = mediation_job.dead_letter_stream(_wire_stream(spark, folder))
-    run_to_end(start_text_sink(lost, f"{work}/dead-letter", f"{work}/checkpoint", once=True))
+    run_to_end(
+        *mediation_job.start_mediation(
+            _arrivals(spark, folder, work),
+            f"{work}/clean",
+            f"{work}/dead-letter",
+            f"{work}/checkpoint",
+            once=True,
+            state_partitions=_partitions(spark, folder),
+        )
+    )
     letters = mediation_job.dead_letters(spark.read.text(f"{work}/dead-letter"))
-    return letters.select("record_type", F.array_join("reject_reasons", ",").alias("reasons"))
+    again = F.from_json("raw", RAW_CDR)
+    same = [
+        (fields.event_time(again[c]) if c == "timestamp" else again[c]).eqNullSafe(F.col(c))
+        for c in CDR_COLUMNS
+    ]
+    return plain_times(
+        letters.select(
+            *CDR_COLUMNS,
+            F.array_join("reject_reasons", ",").alias("reasons"),
+            F.array_min(F.array(*same)).alias("raw_says_the_same"),
+        )
+    )
 
 
 @query
-def stream_rating(spark: SparkSession, folder: str) -> DataFrame:
-    """Mediation to a clean folder, then rating from it, each to its end."""
+def stream_mediation_both(spark: SparkSession, folder: str) -> DataFrame:
+    """One mediation job, its two outputs counted per service."""
     work = shared_folder(spark)
-    run_to_end(_start_clean(spark, folder, work))
     run_to_end(
-        rating_job.start_rating(
-            streams.text_stream(spark, f"{work}/clean", ignore_missing_files=True),
-            f"{work}/rated",
-            f"{work}/checkpoint/rating",
+        *mediation_job.start_mediation(
+            _arrivals(spark, folder, work),
+            mediation_job.text_sink(f"{work}/clean"),
+            mediation_job.text_sink(f"{work}/dead-letter"),
+            f"{work}/checkpoint",
             once=True,
             state_partitions=_partitions(spark, folder),
         )
     )
-    return _rated_rows(spark, f"{work}/rated")
+    clean = mediation.parse_clean(spark.read.text(f"{work}/clean"))
+    dead = mediation_job.dead_letters(spark.read.text(f"{work}/dead-letter"))
+    both = clean.select("record_type", F.lit("clean").alias("output")).union(
+        dead.select("record_type", F.lit("dead letter"))
+    )
+    return both.groupBy("record_type", "output").agg(F.count("*").alias("records"))
 
 
-@query
-def stream_rating_update_mode(spark: SparkSession, folder: str) -> DataFrame:
-    """Accepted records straight from the table, without salts, in update mode."""
-    work = shared_folder(spark)
-    wire = event_log.to_wire(mediation.accepted(mediation.flag_valid(records(spark, folder))))
-    wire.write.text(f"{work}/clean")
+def _rate(spark: SparkSession, folder: str, work: str, source: str, **options) -> DataFrame:
     run_to_end(
         rating_job.start_rating(
-            streams.text_stream(spark, f"{work}/clean"),
+            streams.text_stream(spark, source, FILES, ignore_missing_files=True),
             f"{work}/rated",
-            f"{work}/checkpoint",
-            salts=0,
-            output_mode="update",
+            f"{work}/checkpoint/rating",
             once=True,
             state_partitions=_partitions(spark, folder),
+            **options,
         )
     )
     return _rated_rows(spark, f"{work}/rated")
 
 
 @query
-def stream_caller_key(spark: SparkSession, folder: str) -> DataFrame:
+def stream_rating(spark: SparkSession, folder: str) -> DataFrame:
+    """Mediation to a clean folder, then rating from it, each to its end."""
     work = shared_folder(spark)
-    run_to_end(_start_clean(spark, folder, work, key=dedup.CALLER_KEY))
-    unique = mediation.parse_clean(spark.read.text(f"{work}/clean"))
-    return plain_times(unique.select(*dedup.CALLER_KEY))
+    run_to_end(_start_clean(spark, folder, work))
+    return _rate(spark, folder, work, f"{work}/clean")
 
 
-DELIVERIES = 5
+@query
+def stream_rating_update_mode(spark: SparkSession, folder: str) -> DataFrame:
+    """Accepted records straight from the table, without salts, in update mode."""
+    work = shared_folder(spark)
+    valid = mediation.accepted(mediation.flag_valid(records(spark, folder)))
+    source = deliver(_ordered_wire(valid), work)
+    return _rate(spark, folder, work, source, salts=0, output_mode="update")
 
 
 @query
-def stream_late_data(spark: SparkSession, folder: str) -> DataFrame:
-    """The month arrives in deliveries of eight days, a tenth of the records
-    one delivery late; most of those are behind the watermark by then."""
+def stream_caller_key(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark)
-    partitions = _partitions(spark, folder)
-    day = F.dayofmonth("ts")
+    run_to_end(_start_clean(spark, folder, work, key=dedup.CALLER_KEY))
+    unique = mediation.parse_clean(spark.read.text(f"{work}/clean"))
+    return plain_times(unique.select(*dedup.CALLER_KEY))
+
+
+def _late_deliveries(spark: SparkSession, folder: str, work: str) -> list[tuple[int, int]]:
+    """The month arrives in deliveries of eight days, a tenth of the records one
+    delivery late; most of those are behind the watermark by then. Each delivery is a
+    run of its own; returns its number and how many rows were dropped as late."""
+    day = F.dayofmonth("timestamp")
     delivery = F.floor((day - 1) / 8) + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
-    for number in range(DELIVERIES):
-        arrived = events(spark, folder).filter(delivery == number)
-        event_log.to_wire(event_log.to_records(arrived)).write.mode("append").text(f"{work}/in")
-        run_to_end(
-            start_text_sink(
+    rows = records(spark, folder).withColumn("delivery", delivery.cast("int"))
+    event_log.to_wire(rows, "delivery").write.partitionBy("delivery").text(f"{work}/staged")
+    staged = spark.read.text(f"{work}/staged")
+    dropped = []
+    with counting_late_rows(spark) as late:
+        for number in _delivered(staged):
+            arrived = staged.filter(F.col("delivery") == number).select("value")
+            arrived.coalesce(FILES).write.mode("append").text(f"{work}/in")
+            query = start_text_sink(
                 mediation_job.clean_stream(streams.text_stream(spark, f"{work}/in")),
                 f"{work}/clean",
                 f"{work}/checkpoint",
                 once=True,
-                state_partitions=partitions,
+                state_partitions=_partitions(spark, folder),
             )
-        )
+            run_to_end(query)
+            dropped.append((number, late.of(query)))
+    return dropped
+
+
+@query
+def stream_late_data(spark: SparkSession, folder: str) -> DataFrame:
+    work = shared_folder(spark)
+    _late_deliveries(spark, folder, work)
     kept = mediation.parse_clean(spark.read.text(f"{work}/clean"))
     return plain_times(
         kept.withColumn("subscriber", fields.subscriber()).select(*dedup.SUBSCRIBER_KEY)
     )
 
 
+@query
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """How many accepted records each delivery brought too late."""
+    dropped = _late_deliveries(spark, folder, shared_folder(spark))
+    return spark.createDataFrame(dropped, "delivery int, late_rows bigint")
+
+
 # --- sinks -----------------------------------------------------------------
 
 
@@ -482,22 +610,20 @@ def idempotent_period_write(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_folder(spark)}/summary"
     summary = chains.billing_summary(records(spark, folder))
     for _ in range(2):
-        table_sinks.write_summary(summary, path)
-    return spark.read.parquet(path).select(*SUMMARY_COLUMNS)
+        table_sinks.write_summary(summary, path, GENERATED_AT)
+    return plain_times(spark.read.parquet(path).select(*SUMMARY_COLUMNS, "generated_at"))
 
 
 @query
 def incremental_rebilling(spark: SparkSession, folder: str) -> DataFrame:
     """Two halves of a month loaded, billing run after each and once more."""
     work = shared_folder(spark)
-    loaded = rated(spark, folder)
+    loaded = stored_rated(spark, folder)
     day = F.dayofmonth("event_time")
     parts = [day <= 15, day > 15, None]
     for number, part in enumerate(parts):
         if part is not None:
-            table_sinks.write_rated(
-                loaded.filter(part), table_sinks.batch_folder(f"{work}/rated", "load", number)
-            )
+            table_sinks.write_batch(loaded.filter(part), f"{work}/rated", "load", number)
         run_to_end(
             billing_job.start_rebilling(
                 spark, f"{work}/rated", f"{work}/summary", f"{work}/checkpoint"

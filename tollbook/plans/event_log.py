@@ -68,8 +68,9 @@ def to_records(events: DataFrame) -> DataFrame:
     )
 
 
-def to_wire(records: DataFrame) -> DataFrame:
-    """The records as JSON text, the way they arrive on a stream."""
+def to_wire(records: DataFrame, *beside: str) -> DataFrame:
+    """The records as JSON text, the way they arrive on a stream; columns named in
+    ``beside`` stay columns."""
     text = records.withColumn("timestamp", F.date_format("timestamp", WIRE_TIME))
-    fields = [c for c in text.columns if c != "event_id"]
-    return text.select(F.to_json(F.struct(*fields)).alias("value"))
+    fields = [c for c in text.columns if c not in ("event_id", *beside)]
+    return text.select(F.to_json(F.struct(*fields)).alias("value"), *beside)

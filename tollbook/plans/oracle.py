@@ -104,7 +104,8 @@ def priced(name: str, source: str) -> str:
 {name}_cost as (select *, cast({PRICE} as decimal(10, 4)) as cost from {source}),
 {name} as (
   select record_type, event_time, user_identifier, cell_id, technology, cost, duration_sec,
-    data_volume_mb, case when cost > 0 then 'rated' else 'unrated' end as rating_status
+    data_volume_mb, case when cost > 0 or (cost = 0 and record_type = 'data'
+      and data_volume_mb > 0) then 'rated' else 'unrated' end as rating_status
   from {name}_cost)"""
 
 
@@ -289,6 +290,38 @@ highest as (
     where d.is_valid and d.delivery < n.delivery) as seen
   from (select distinct delivery from delivered) n)"""
 
+# Call durations take turns in being badly typed; every eleventh line is no JSON.
+DAMAGED = RECORDS.replace("cdr as (", "whole as (") + """,
+cdr as (
+  select * replace (
+      case event_id % 5 when 0 then if(duration_sec is null, null, 60) end as duration_sec),
+    duration_sec is not null and event_id % 5 in (1, 2, 3) as wrong_type
+  from whole where event_id % 11 <> 0
+  union all by name
+  select cast(null as varchar) as record_type, cast(null as timestamp) as "timestamp",
+    event_id, false as wrong_type
+  from whole where event_id % 11 = 0)"""
+
+
+def anomalies(corrupt: str) -> str:
+    return f"""
+select 'missing_field' as anomaly, count(*) filter (where
+    record_type is null or "timestamp" is null or cell_id is null or technology is null
+    or (record_type = 'voice' and (caller_id is null or callee_id is null
+      or (duration_sec is null and not {corrupt})))
+    or (record_type = 'sms' and (sender_id is null or receiver_id is null))
+    or (record_type = 'data' and (user_id is null or data_volume_mb is null
+      or session_duration_sec is null))) as records from cdr
+union all select 'corrupt_value', count(*) filter (where duration_sec < 0
+    or session_duration_sec < 0 or data_volume_mb < 0 or {corrupt} or 'INVALID' in
+    (caller_id, callee_id, sender_id, receiver_id, user_id, cell_id, technology)) from cdr
+union all select 'invalid_service', count(*) filter (where
+    record_type not in ('voice', 'sms', 'data')) from cdr
+union all select 'duplicate', count(*) - (select count(*) from (
+    select distinct {SUBSCRIBER_KEY} from cdr)) from cdr
+union all select 'out_of_order', count(*) filter (where late) from arrivals"""
+
+
 SQL: dict[str, str] = {
     "cdr_from_events": f"{steps(RECORDS)} select * from cdr",
     "cdr_json_roundtrip": f"{steps(RECORDS)} select {WIRE_COLUMNS} from cdr",
@@ -325,14 +358,8 @@ select event_id, case event_id % 7
   when 2 then date_trunc('second', ts)
   when 3 then cast(cast(ts as date) as timestamp) end as parsed
 from events""",
-    "json_wrong_types": """
-select case when event_id % 11 <> 0 then 'voice' end as record_type,
-  case when event_id % 11 <> 0 then cast(event_id as varchar) end as caller_id,
-  cast(case when event_id % 11 <> 0 and event_id % 5 = 0 then 60 end as integer) as duration_sec,
-  cast(case when event_id % 11 <> 0 then 1.5 end as double) as data_volume_mb,
-  false as is_valid,
-  event_id % 11 <> 0 and event_id % 5 in (1, 2, 3) as wrong_type
-from events""",
+    "json_wrong_types": f"""{steps(DAMAGED, FLAGGED)}
+select {WIRE_COLUMNS}, is_valid, wrong_type from flagged""",
     "dedup_subscriber_key": f"""{steps(RECORDS, FLAGGED)}
 select distinct {SUBSCRIBER_KEY} from flagged where is_valid""",
     "dedup_caller_key": f"""{steps(RECORDS, FLAGGED)}
@@ -353,7 +380,8 @@ select count(*) as read_rows,
   count(*) filter (where cell_id is null) as without_cell,
   count(*) filter (where user_identifier is null) as without_subscriber,
   count(*) filter (where cost is null) as without_price,
-  count(*) filter (where cost < 0) as negative_cost
+  count(*) filter (where cost < 0) as negative_cost,
+  count(*) filter (where abs(data_volume_mb) >= 99999999.995) as volume_too_wide
 from unchecked""",
     "filled_and_clamped": f"""
 {steps(RECORDS, usage("use", "cdr", "true"), priced("unchecked", "use"))}
@@ -375,7 +403,7 @@ select user_identifier,
   cast(sum(cost) filter (where record_type = 'voice') as decimal(20, 4)) as voice_cost,
   cast(sum(cost) filter (where record_type = 'sms') as decimal(20, 4)) as sms_cost,
   cast(sum(cost) filter (where record_type = 'data') as decimal(20, 4)) as data_cost,
-  cast(sum(cost) as decimal(20, 4)) as total_cost
+  cast(sum(cost) as decimal(20, 4)) as total_cost, date '2024-02-01' as invoice_date
 from rated group by all""",
     "monthly_usage": f"{steps(*TO_RATED, MONTHLY)} select * from monthly",
     "adjusted_cost": f"{steps(*TO_RATED, MONTHLY, ADJUSTED)} select * from adjusted",
@@ -405,38 +433,49 @@ select i.invoice_id, r.event_id from rated r join invoices i
         f" keyed as (select *, {EVENT_KEY} as event_id from priced)",
         f" all_items as (select {INVOICE_OF_EVENT} as invoice_id, event_id from keyed)")}
 {referential("all_items")}""",
-    "anomaly_report": f"""{steps(RECORDS, RUNNING)}
-select 'missing_field' as anomaly, count(*) filter (where
-    record_type is null or "timestamp" is null or cell_id is null or technology is null
-    or (record_type = 'voice' and (caller_id is null or callee_id is null or duration_sec is null))
-    or (record_type = 'sms' and (sender_id is null or receiver_id is null))
-    or (record_type = 'data' and (user_id is null or data_volume_mb is null
-      or session_duration_sec is null))) as records from cdr
-union all select 'corrupt_value', count(*) filter (where duration_sec < 0
-    or session_duration_sec < 0 or data_volume_mb < 0 or 'INVALID' in
-    (caller_id, callee_id, sender_id, receiver_id, user_id, cell_id, technology)) from cdr
-union all select 'invalid_service', count(*) filter (where
-    record_type not in ('voice', 'sms', 'data')) from cdr
-union all select 'duplicate', count(*) - (select count(*) from (
-    select distinct {SUBSCRIBER_KEY} from cdr)) from cdr
-union all select 'out_of_order', count(*) filter (where late) from arrivals""",
+    "anomaly_report": f"{steps(RECORDS, RUNNING)} {anomalies('false')}",
+    "anomaly_report_wire": f"{steps(DAMAGED, RUNNING)} {anomalies('wrong_type')}",
     "out_of_order_by_subscriber": f"""{steps(RECORDS, RUNNING)}
 select subscriber, count(*) as records, count(*) filter (where late) as late_records
 from arrivals group by all""",
     "stream_mediation_dead_letter": f"""{steps(RECORDS, FLAGGED)}
-select record_type, reasons from flagged where not is_valid""",
+select {WIRE_COLUMNS}, reasons, true as raw_says_the_same from flagged where not is_valid""",
+    "stream_mediation_both": f"""{steps(RECORDS, FLAGGED)}
+select record_type, 'clean' as output, count(distinct ({SUBSCRIBER_KEY.replace(" as subscriber", "")}))
+  as records from flagged where is_valid group by all
+union all select record_type, 'dead letter', count(*) from flagged where not is_valid group by all""",
+    "stream_late_rows": f"""{steps(RECORDS, FLAGGED, DELIVERED)}
+select delivery, count(*) filter (where is_valid and "timestamp" <= seen - interval 5 minute)
+  as late_rows
+from delivered join highest using (delivery) group by all""",
+    "tiny_volumes": f"""{steps(RECORDS)},
+tiny as (
+  select technology, cast(data_volume_mb / 2e6 as decimal(20, 10)) as volume from cdr
+  where record_type = 'data'),
+costs as (
+  select technology, volume,
+    case when volume > 0 then cast(volume * (case technology when '3G' then 0.0800
+      when '4G' then 0.1000 when '5G' then 0.1200 when 'LTE' then 0.0900 end) as decimal(10, 4))
+    else 0 end as cost
+  from tiny)
+select technology, case when cost is not null and volume > 0 then 'rated' else 'unrated' end
+    as rating_status,
+  count(*) as events, count(*) filter (where cost = 0) as shown_as_zero
+from costs group by all""",
     "stream_late_data": f"""{steps(RECORDS, FLAGGED, DELIVERED)}
 select distinct {SUBSCRIBER_KEY} from delivered join highest using (delivery)
 where is_valid and (seen is null or "timestamp" > seen - interval 5 minute)""",
 }
 
-# A single micro-batch has no watermark yet, and a sink changes no values.
+# Deliveries in the order of time leave nothing late, and a sink changes no values.
 SQL |= {
     "stream_mediation_clean": SQL["cdr_clean"],
     "stream_rating": SQL["rated_events"],
     "stream_rating_update_mode": SQL["rated_events"],
     "stream_caller_key": SQL["dedup_caller_key"],
-    "idempotent_period_write": SQL["billing_summary"],
+    "rated_via_shuffled_rate_card": SQL["filled_and_clamped"],
+    "idempotent_period_write": f"""{steps(*TO_SUMMARY)}
+select {SUMMARY_COLUMNS}, timestamp '2024-02-01 08:30:00' as generated_at from summary""",
     "incremental_rebilling": SQL["billing_summary"],
     "invoice_document_files": SQL["invoice_documents"],
 }

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -43,11 +42,11 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return files.agg(F.sum("length")).first()[0] or 0
 
 
-def state_partitions(spark: SparkSession, path: str, waves: int = 10) -> int:
-    """State partitions for a stream over a folder: by its size, but at least
-    one per core and at most ``waves``, as each has a store of its own."""
-    cores = spark.sparkContext.defaultParallelism
-    return min(shuffle_partitions(folder_bytes(spark, path), cores), waves * cores)
+def state_partitions(state_bytes: int, target_bytes: int = 128 << 20) -> int:
+    """State partitions for a stream by the size of the state it will hold, which is
+    what arrives within its delay. The number is fixed when a query first starts, so
+    size it for the largest state expected, not for the cores there are just now."""
+    return max(1, math.ceil(state_bytes / target_bytes))
 
 
 def apply_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
@@ -68,14 +67,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one the cluster names in ``spark.checkpoint.dir``.
-
-    Without that setting only a local session gets a folder, a temporary one:
-    on a cluster a machine-local folder would lose data with its machine.
-    """
+    """A new folder below the one the cluster names in ``spark.checkpoint.dir``, or,
+    where that is unset, below the warehouse, which all executors reach as well."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tollbook-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
     return f"{base.rstrip('/')}/tollbook-{uuid.uuid4().hex}"

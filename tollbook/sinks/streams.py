@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 PARTITIONS = "spark.sql.shuffle.partitions"
+# Starting takes the session's settings along; one start at a time changes them.
+_STARTING = threading.Lock()
 
 
 def start(
@@ -27,13 +30,14 @@ def start(
     if once:
         writer = writer.trigger(availableNow=True)
     conf = rows.sparkSession.conf
-    before = conf.get(PARTITIONS)
-    try:
-        if state_partitions:
-            conf.set(PARTITIONS, state_partitions)
-        return writer.start(path) if path else writer.start()
-    finally:
-        conf.set(PARTITIONS, before)
+    with _STARTING:
+        before = conf.get(PARTITIONS)
+        try:
+            if state_partitions:
+                conf.set(PARTITIONS, state_partitions)
+            return writer.start(path) if path else writer.start()
+        finally:
+            conf.set(PARTITIONS, before)
 
 
 def start_text_sink(values: DataFrame, path: str, checkpoint: str, **run) -> StreamingQuery:

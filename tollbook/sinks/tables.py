@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,12 +18,16 @@ def with_period(rated: DataFrame) -> DataFrame:
     )
 
 
+# Files of a micro-batch, whose tasks are as many as the state partitions.
+BATCH_FILES = 8
+
+
 def sized_for_write(rows: DataFrame) -> DataFrame:
     """Rebalance by period, so that each folder gets few files of good size;
-    a month too large for one task is split by adaptive execution. Where that
-    is off, as inside a micro-batch, every task writes what it has."""
+    a month too large for one task is split by adaptive execution. Inside a
+    micro-batch that is off, and a few tasks write what all have."""
     if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
-        return rows
+        return rows.coalesce(BATCH_FILES)
     return rows.hint("rebalance", *[F.col(c) for c in PERIOD_COLUMNS])
 
 
@@ -34,6 +38,17 @@ def write_rated(rated: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
+def write_batch(rated: DataFrame, path: str, writer: str, batch_id: int) -> None:
+    """Sanitized events of one batch, each period's below that period: a reader of
+    some periods lists their folders alone. The batch replaces its own folders."""
+    owned = with_period(rated).withColumns(
+        {"writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("bigint")}
+    )
+    sized_for_write(owned).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(*PERIOD_COLUMNS, "writer", "batch_id").parquet(path)
+
+
 def batch_folder(path: str, writer: str, batch_id: int) -> str:
     return f"{path}/writer={writer}/batch_id={batch_id}"
 
@@ -43,9 +58,8 @@ def rated_batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that loads priced events into a table.
 
-    Each micro-batch owns a folder named by writer and batch number and
-    replaces it as a whole, so a batch repeated after a failure is not counted
-    twice. The batch is computed once and kept for its two or three uses.
+    Each micro-batch owns the folders named by writer and batch number and
+    replaces them, so a batch repeated after a failure is not counted twice. The batch is computed once and kept for its two or three uses.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -60,7 +74,7 @@ def rated_batch_writer(
             events = rating.sanitize(batch)
             if events.isEmpty():
                 return
-            write_rated(events, batch_folder(path, writer, batch_id))
+            write_batch(events, path, writer, batch_id)
         finally:
             batch.unpersist()
 
@@ -114,9 +128,11 @@ def append_invoices(invoices: DataFrame, options: dict[str, str]) -> None:
     ).mode("append").save()
 
 
-def append_summary(summary: DataFrame, options: dict[str, str]) -> None:
-    """The billing summary into a database table."""
-    summary.write.format("jdbc").options(**options).mode("append").save()
+def append_summary(
+    summary: DataFrame, options: dict[str, str], generated_at: datetime | None = None
+) -> None:
+    """The billing summary, stamped, into a database table."""
+    billing.stamped(summary, generated_at).write.format("jdbc").options(**options).mode("append").save()
 
 
 def write_summary(summary: DataFrame, path: str, generated_at: datetime | None = None) -> None:
@@ -130,10 +146,12 @@ def write_documents(
     summary: DataFrame, path: str, generated_at: datetime | None = None
 ) -> str:
     """Invoice documents, one JSON object per line, in one folder per run."""
-    moment = generated_at or datetime.now()
-    folder = f"{path}/invoice_batch_{moment:%Y%m%d_%H%M%S}"
+    moment = generated_at or datetime.now(UTC)
+    # Two runs may fall into one second; a stamp that was passed in names its run.
+    name = f"{moment:%Y%m%d_%H%M%S}" if generated_at else f"{moment:%Y%m%d_%H%M%S_%f}"
+    folder = f"{path}/invoice_batch_{name}"
     documents = billing.stamped(billing.documents(summary), moment)
-    documents.write.mode("overwrite").json(folder)
+    documents.write.mode("overwrite" if generated_at else "errorifexists").json(folder)
     return folder
 
 

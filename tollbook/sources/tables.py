@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tollbook.operators.rating import rated_only
 from tollbook.schemas import RATED_TABLE_ON_DISK
@@ -17,17 +16,28 @@ def rated_events(
     periods: Iterable[tuple[int, int]] | None = None,
     only_rated: bool = False,
 ) -> DataFrame:
-    """The rated-events table. ``periods`` selects folders, not rows."""
-    table = spark.read.schema(RATED_TABLE_ON_DISK).parquet(path)
-    if periods is not None:
-        table = table.filter(in_periods(periods))
+    """The rated-events table. With ``periods`` only their folders are listed, so
+    that the batches ever written to other periods cost nothing."""
+    reader = spark.read.schema(RATED_TABLE_ON_DISK)
+    if periods is None:
+        table = reader.parquet(path)
+    else:
+        wanted = sorted(set(periods))
+        folders = [f for f in (period_folder(path, *p) for p in wanted) if _exists(spark, f)]
+        if folders:
+            table = reader.option("basePath", path).parquet(*folders)
+        else:
+            table = spark.createDataFrame([], RATED_TABLE_ON_DISK)
     return rated_only(table) if only_rated else table
 
 
-def in_periods(periods: Iterable[tuple[int, int]]) -> Column:
-    """Condition on the partition columns; a period is a (year, month)."""
-    months = [year * 12 + month for year, month in periods]
-    return (F.col("billing_year") * 12 + F.col("billing_month")).isin(months)
+def period_folder(path: str, year: int, month: int) -> str:
+    return f"{path.rstrip('/')}/billing_year={year}/billing_month={month}"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def jdbc_options(
@@ -39,7 +49,7 @@ def jdbc_options(
     split_column: str | None = None,
     lower: str | int | None = None,
     upper: str | int | None = None,
-    partitions: int = 1,
+    partitions: int = 64,
     fetch_size: int = 10_000,
 ) -> dict[str, str]:
     """Options of a table read, split into ranges of ``split_column``.

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tollbook.operators import dedup, mediation
-from tollbook.sinks.streams import start_text_sink
+from tollbook.schemas import CLEAN_CDR
+from tollbook.sinks.streams import start_text_sink, start_topic_sink
 
 DELAY = "5 minutes"
 SALTS = 16
@@ -37,31 +39,45 @@ def dead_letter_stream(values: DataFrame, with_raw: bool = True) -> DataFrame:
     return mediation.to_values(lost.drop("raw"))
 
 
+Sink = Callable[..., StreamingQuery]
+
+
 def start_mediation(
     values: DataFrame,
-    clean_path: str,
-    dead_letter_path: str,
+    clean: str | Sink,
+    dead_letter: str | Sink,
     checkpoint: str,
     key: Sequence[str] = dedup.SUBSCRIBER_KEY,
     delay: str = DELAY,
     salts: int = SALTS,
     **run,
 ) -> list[StreamingQuery]:
-    """Both outputs, each as a query with a checkpoint of its own."""
+    """Both outputs, each as a query with a checkpoint of its own.
+
+    An output is a folder for text files, or a sink: a function that is given the
+    values and ``checkpoint``, such as ``topic_sink`` makes.
+    """
+    outputs = {
+        "clean": (clean_stream(values, key, delay, salts), clean),
+        "dead-letter": (dead_letter_stream(values), dead_letter),
+    }
     return [
-        start_text_sink(
-            clean_stream(values, key, delay, salts), clean_path, f"{checkpoint}/clean", **run
-        ),
-        start_text_sink(
-            dead_letter_stream(values), dead_letter_path, f"{checkpoint}/dead-letter", **run
-        ),
+        (text_sink(sink) if isinstance(sink, str) else sink)(
+            rows, checkpoint=f"{checkpoint}/{name}", **run
+        )
+        for name, (rows, sink) in outputs.items()
     ]
 
 
+def text_sink(path: str) -> Sink:
+    return partial(start_text_sink, path=path)
+
+
+def topic_sink(servers: str, topic: str) -> Sink:
+    return partial(start_topic_sink, servers=servers, topic=topic)
+
+
 def dead_letters(lines: DataFrame) -> DataFrame:
     """What a dead-letter sink wrote, as columns for inspection."""
-    return lines.select(
-        F.from_json("value", "raw string, record_type string, reject_reasons array<string>").alias(
-            "letter"
-        )
-    ).select("letter.*")
+    letter = f"raw string, {CLEAN_CDR}, reject_reasons array<string>"
+    return lines.select(F.from_json("value", letter).alias("letter")).select("letter.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -14,6 +14,7 @@ from tollbook.tariff import DEFAULT_TARIFF, Tariff
 
 DELAY = "10 minutes"
 SALTS = 16
+Load = Callable[[DataFrame, int], None]
 
 
 def rated_stream(
@@ -33,7 +34,7 @@ def rated_stream(
 
 def start_rating(
     values: DataFrame,
-    table_path: str,
+    table: str | Load,
     checkpoint: str,
     writer: str = "rating",
     tariff: Tariff = DEFAULT_TARIFF,
@@ -43,11 +44,13 @@ def start_rating(
     report_path: str | None = None,
     **run,
 ) -> StreamingQuery:
-    """Load the stream into a table. Both output modes give the same rows;
-    ``update`` needs ``salts=0``."""
+    """Load the stream into a table: a folder, or a function of batch and batch
+    number, such as ``jdbc_batch_writer`` makes. Both output modes give the same
+    rows; ``update`` needs ``salts=0``."""
+    load = rated_batch_writer(table, writer, report_path) if isinstance(table, str) else table
     return start_batch_sink(
         rated_stream(values, tariff, delay=delay, salts=salts),
-        rated_batch_writer(table_path, writer, report_path),
+        load,
         checkpoint,
         output_mode,
         **run,
