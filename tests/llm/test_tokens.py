@@ -1,0 +1,213 @@
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+from tollbook.llm import bpe, id_files, packing, token_counts, tokens
+from tollbook.llm.common import work_folder
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PARTS = (
+    "a", "b", "the", "ing", " ", " ", "  ", "\n", "\t", "é", "ß", "日本", "😀", "'s", "'ll", "123", "!!",
+    "\x1c", "\x85", "\xa0", " ", "​", "<|endoftext|>", "　", "A", "Z", " th", "\r\n", "\x00",
+    "́", "e", "İ", "Σ", "²", "xyzzy" * 12, "É",
+)
+
+
+def texts(seed, count=3000):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 25))) for _ in range(count)]
+
+
+def in_calls(encode, lot, size=50):
+    return [ids.tolist() for k in range(0, len(lot), size) for ids in encode([t.encode() for t in lot[k : k + size]])]
+
+
+@pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
+def test_encoder_equals_the_library(path):
+    library, lot = Tokenizer.from_file(path), texts(1)
+    expected = [library.encode(t, add_special_tokens=False).ids for t in lot]
+    assert in_calls(tokens.Encoder(path).encode, lot) == expected
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return bpe.codec(RANKS, public_tokenizers.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def reference(codec):
+    return tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={}
+    )
+
+
+def test_transducer_equals_the_library(codec, reference):
+    rng = random.Random(2)
+    lot = texts(3) + ["a" * k for k in range(200)]
+    lot += ["".join(chr(rng.randint(97, 122)) for _ in range(300)) for _ in range(100)]
+    lot += [rng.choice(["ab", "aab", "abab"]) * rng.randint(1, 60) for _ in range(100)]
+    assert in_calls(codec.encode, lot) == [reference.encode_ordinary(t) for t in lot]
+
+
+def test_dropping_states_changes_nothing(codec, reference):
+    small = bpe.Transducer(codec.ranks, max_states=50)
+    for text in texts(4, 200):
+        for piece in codec.split.findall(text):
+            assert small.encode(piece.encode()) == reference.encode_ordinary(piece)
+
+
+def test_a_token_waits_for_bounded_lookahead(codec):
+    """What is pending in a state is never longer than the longest token."""
+    machine = bpe.Transducer(codec.ranks)
+    machine.encode(bytes(random.Random(5).choice(b"aethinos") for _ in range(3000)))
+    longest = max(map(len, codec.ranks))
+    assert all(len(tail) < longest for tail, _ in machine.states)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_utf8_machine_equals_the_standard_decoder(seed):
+    rng = random.Random(seed)
+    for _ in range(300):
+        data = bytes(rng.choice([rng.randrange(256), 0xE2, 0x82, 0xAC, 0xF0, 0x9F, 0x41]) for _ in range(30))
+        machine = bpe.Utf8Machine()
+        parts = [machine.push(data[k : k + 3]) for k in range(0, 30, 3)]
+        assert "".join(parts) + machine.finish() == data.decode("utf-8", "replace")
+
+
+def test_bpe_of_documents(documents, codec, reference):
+    long = "Anatnd, an iner the thshaea 日本 " * 40_000
+    rows = [(1, "ab cd"), (2, None), (3, ""), (None, "x y"), (1, "ab cd"), (5, long), (6, "﻿ 　")]
+    found = bpe.digests(documents(*rows), RANKS, public_tokenizers.PATTERN).collect()
+    expected = []
+    for key, text in rows:
+        ids = reference.encode_ordinary(text or "")
+        expected.append((
+            key, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+            hashlib.sha256((text or "").encode()).hexdigest(),
+        ))
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
+    whole = bpe.encode_documents(documents(*rows), RANKS, public_tokenizers.PATTERN).collect()
+    assert sorted(r.text for r in whole) == sorted(t or "" for _, t in rows)
+    assert bpe.digests(documents(), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_cost_goes_to_the_cheapest_sequence_with_room():
+    lengths = [7, 20, 8, 3, 3, 1, 0, 5]
+    pieces = packing.assign(lengths, 8)
+    for document, length in enumerate(lengths):
+        own = sorted((s, n) for d, s, n, _, _ in pieces if d == document)
+        assert sum(n for _, n in own) == length
+        assert all(s == sum(m for _, m in own[:k]) for k, (s, _) in enumerate(own))
+    sizes = {}
+    for _, _, n, sequence, offset in sorted(pieces, key=lambda p: (p[3], p[4])):
+        assert offset == sizes.get(sequence, 0) and n > 0
+        sizes[sequence] = offset + n
+    assert sorted(sizes) == list(range(len(sizes)))
+    assert all(n == 8 or n & (n - 1) == 0 for n in sizes.values())
+
+
+def test_costs_are_balanced():
+    rng = random.Random(6)
+    lengths = [rng.randint(20, 900) for _ in range(4000)]
+    costs, orders = {}, {}
+    for _, _, n, sequence, _ in packing.assign(lengths, 2048):
+        costs[sequence] = costs.get(sequence, 0) + packing.cost(n)
+    for k, n in enumerate(lengths):
+        orders[k // (len(lengths) // len(costs))] = orders.get(k // (len(lengths) // len(costs)), 0) + packing.cost(n)
+    full = sorted(costs.values())[12:]
+    assert np.std(full) < 0.5 * np.std(list(orders.values()))
+
+
+def test_packing_of_documents(documents):
+    library = Tokenizer.from_file(WORD_BPE)
+    rows = [(k, f"word{k} " * (k * 37 % 900)) for k in range(40)]
+    rows += [(None, "null id"), (3, "again"), (50, None), (51, ""), (52, "long text " * 30_000)]
+    found = packing.pack(documents(*rows).repartition(3), WORD_BPE, tokens_at_once=9000).collect()
+    ids = {}
+    for key, text in rows:
+        whole = [*library.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
+        ids.setdefault((key, len(whole)), []).append(np.array(whole, "<u4"))
+    pieces, sequences = {}, {}
+    for r in found:
+        pieces.setdefault((r.doc_id, r.doc_tokens), []).append(r)
+        sequences.setdefault(r.sequence_id, []).append(r)
+    assert set(pieces) == set(ids)
+    for key, own in pieces.items():
+        at = 0
+        for r in sorted(own, key=lambda r: r.start):
+            assert r.start == at and r.ids_crc32 == zlib.crc32(ids[key][0][at : at + r.length].tobytes())
+            at += r.length
+        assert at == key[1]
+    for own in sequences.values():
+        at = 0
+        for r in sorted(own, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at == own[0].sequence_length and (at == 2048 or at & (at - 1) == 0)
+    assert packing.pack(documents(), WORD_BPE).count() == 0
+
+
+def test_counts_come_from_the_cache(spark, documents, monkeypatch):
+    library = Tokenizer.from_file(BYTE_BPE)
+    rows = [(1, "one two"), (2, "one two"), (3, None), (4, ""), (None, "three <|endoftext|>"), (1, "x " * 5000)]
+    cache = work_folder(spark, "cache")
+    found = token_counts.token_counts(documents(*rows), BYTE_BPE, cache).collect()
+    expected = [
+        (k, len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for k, t in rows
+    ]
+    assert sorted(map(str, [(r.doc_id, r.n_bytes, r.n_tokens) for r in found])) == sorted(map(str, expected))
+    assert all(r.over_limit == (r.n_tokens > 1024) for r in found)
+    assert spark.read.parquet(cache).count() == 4  # distinct texts
+    token_counts.token_counts(documents(*rows, (9, "new")), BYTE_BPE, cache)
+    assert spark.read.parquet(cache).count() == 5
+    # Counts of another tokenizer are not used.
+    monkeypatch.setattr(token_counts, "tokenizer_digest", lambda path: "other")
+    token_counts.fill_cache(documents((9, "new")), BYTE_BPE, cache)
+    assert spark.read.parquet(cache).count() == 6
+    assert token_counts.token_counts(documents(), BYTE_BPE, work_folder(spark, "cache")).count() == 0
+
+
+@pytest.mark.parametrize("count", [0, 1, 2, 50, 5000])
+def test_perfect_hash_is_minimal(count):
+    keys = np.random.default_rng(count).choice(10**12, count, replace=False).astype(np.uint64)
+    index = id_files.PerfectHash.build(keys)
+    assert sorted(index.numbers(keys).tolist()) == list(range(count))
+
+
+def test_id_files_round_trip(spark, documents):
+    library = Tokenizer.from_file(WORD_BPE)
+    rows = [(k * 7 % 101, f"some words {k} " * (k % 9)) for k in range(100)]
+    rows += [(None, "b"), (None, "a"), (7, "again"), (7, ""), (200, None), (-5, "minus"), (201, "long " * 60_000)]
+    folder = work_folder(spark, "ids")
+    # Else so few documents would be put into one shard.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = id_files.write_shards(documents(*rows).repartition(5), WORD_BPE, folder)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found = sorted(id_files.read_documents(manifest, folder).collect(), key=lambda r: r.start)
+    assert manifest.count() > 1
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    start = 0
+    for (key, text), r in zip(ordered, found, strict=True):
+        ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (key, start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    path = manifest.orderBy("shard").first().path
+    inside = id_files.fetch(folder, path, [-5, 7, 10**9])
+    assert set(inside) <= {-5, 7} and -5 in inside and inside[-5][0][-1] == 1
+    empty = id_files.write_shards(documents(), WORD_BPE, work_folder(spark, "ids"))
+    assert empty.count() == 0 and id_files.read_documents(empty, folder).count() == 0
+
+
+def test_packing_adds_no_shuffle(documents):
+    plan = packing.pack(documents((1, "x")), WORD_BPE)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "MapInArrow" in plan

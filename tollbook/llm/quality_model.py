@@ -216,7 +216,7 @@ def agreement(votes: np.ndarray, n: np.ndarray, rounds: int = 40) -> tuple[np.nd
     """
     against, content = votes > 0, votes < 0
     bad, good = np.full(votes.shape[1], ACCUSES_BAD), np.full(votes.shape[1], ACCUSES_GOOD)
-    share, posterior, held = BAD, np.zeros(len(n)), BELIEF * n.sum()
+    share, posterior, held = BAD, np.zeros(len(n)), max(BELIEF * n.sum(), 1e-9)
     for _ in range(rounds):
         log_bad = np.log(share) + against @ np.log(bad) + content @ np.log(1 - bad)
         log_good = np.log(1 - share) + against @ np.log(good) + content @ np.log(1 - good)
