@@ -10,7 +10,7 @@ entry, and frequent shingles are entries in pairs. Pairs are taken within classe
 of the frequent shingles, so that there are few, at the price of one more shingle a
 class. Classes depend on the size of a set; one that could be similar to smaller
 sets with other classes is indexed under theirs too. Similar sets thus share an
-entry. Sets that share entries are verified, each against a few of those it shares
+entry. Sets that share entries are verified, each against some of those it shares
 an entry with, until every two of an entry are connected or were compared.
 """
 
@@ -36,8 +36,8 @@ SMALL = 8
 #: documents to be frequent; and how many are held frequent at most. Which ones are
 #: has no bearing on the result, only on the number of comparisons.
 BLOCK, REPORTED, FREQUENT, MOST_FREQUENT = 2_000_000, 4, 16, 300_000
-#: Sets that the members of an entry are compared with in a round.
-HUBS = 4
+#: Sets that the members of an entry are compared with in the first round, and in any.
+HUBS, MOST_HUBS = 4, 256
 
 
 def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -178,27 +178,33 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Enough links for the components of all similar pairs that share an entry.
 
-    In each round the members of an entry are compared with up to HUBS of them, unless
-    they are connected already; those hubs are then done with there, and so is an entry
-    whose members are all connected. Copies of one text settle in the first round,
-    however many they are; each later round has fewer members.
+    In each round the members of an entry are compared with some of them, its hubs,
+    unless they are connected already; the hubs are then done with there, and so is an
+    entry whose members are all connected. Copies of one text settle in the first
+    round, however many they are. Hubs are taken from the components with the fewest
+    members in the entry, so that a few strangers among many copies are soon through,
+    and each round takes four times as many as the one before.
     """
-    links = None
+    links, found, hubs = None, None, HUBS
     while True:
-        if links is None:
+        if found is None:
             placed = members.withColumn("component", F.col("node"))
         else:
-            found = clusters(links)
             placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        place = F.pmod(F.xxhash64("node"), F.lit(HUBS))
-        hub = F.struct("node", "n", "component")
-        per_entry = placed.groupBy("sig").agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.array_compact(F.array(*[F.min(F.when(place == k, hub)) for k in range(HUBS)])).alias("hubs"),
+        # Counted per component and then per place, so no entry's members meet in one task.
+        parts = placed.groupBy("sig", "component").agg(
+            F.count("*").alias("m"), F.min(F.struct("node", "n")).alias("hub")
+        )
+        place = F.pmod(F.xxhash64("component"), F.lit(hubs))
+        least = parts.groupBy("sig", place.alias("place")).agg(
+            F.count("*").alias("components"), F.min(F.struct("m", "hub", "component")).alias("least")
         )
-        open_ = stored(per_entry.filter("low != high").select("sig", "hubs"), "hubs")
-        waiting = stored(placed.join(open_, "sig"), "waiting")
+        chosen = least.groupBy("sig").agg(
+            F.sum("components").alias("components"),
+            F.collect_list(F.struct("least.hub.node", "least.hub.n", "least.component")).alias("hubs"),
+        )
+        chosen = chosen.filter("components > 1").select("sig", "hubs")
+        waiting = stored(placed.join(chosen, "sig"), "waiting")
         pairs = waiting.select("node", "n", "component", F.explode("hubs").alias("hub")).filter(
             (F.col("component") != F.col("hub.component"))
             & (BELOW * F.least("n", "hub.n") >= ABOVE * F.greatest("n", "hub.n"))
@@ -211,6 +217,9 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
         members = stored(left.select("sig", "node", "n").join(alone, "sig", "left_semi"), "members")
         if members.limit(1).count() == 0:
             return links
+        if found is None or new.limit(1).count():
+            found = clusters(links)
+        hubs = min(4 * hubs, MOST_HUBS)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
