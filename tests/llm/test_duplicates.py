@@ -107,6 +107,17 @@ def test_similar_sets_always_share_an_entry(seed):
             assert any(len(np.intersect1d(a, b)) for a, b in zip(one, two))
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_parities_differ_in_no_more_than_the_sets(seed):
+    rng = np.random.default_rng(seed)
+    for _ in range(300):
+        one = np.unique(rng.integers(1, 2**63, int(rng.integers(1, 3000)), dtype=np.uint64))
+        two = np.unique(np.append(one[rng.random(len(one)) > 0.3], rng.integers(1, 2**63, 50, dtype=np.uint64)))
+        a, b = ngram_join.parities(one), ngram_join.parities(two)
+        apart = len(np.setxor1d(one, two))
+        assert len(a) == 16 and sum(int(x).bit_count() for x in (a ^ b).view(np.uint64)) <= apart
+
+
 def test_components_without_a_key_of_their_own(documents):
     text = brute.prose(brute.rng(8), 50)
     rows = [(5, text), (5, text), (None, text), (None, "quite other words in here"), (7, None)]

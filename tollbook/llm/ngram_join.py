@@ -38,6 +38,8 @@ SMALL = 8
 BLOCK, REPORTED, FREQUENT, MOST_FREQUENT = 2_000_000, 4, 16, 300_000
 #: Sets that the members of an entry are compared with in the first round, and in any.
 HUBS, MOST_HUBS = 4, 256
+#: Bits of a set's parities, as a power of two, and how many sets' numbers may be broadcast.
+PLACES, MOST_NEEDED = 10, 1_000_000
 
 
 def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -142,16 +144,31 @@ def _indexed(texts: DataFrame, frequent, which: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "sig long, node long, n int")
 
 
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """Two to the PLACES bits: of the shingles that fall to each, whether they are odd in number."""
+    place = (mix(tokens + np.uint64(0x5851F42D4C957F2D)) >> np.uint64(64 - PLACES)).astype(np.int64)
+    odd = (np.bincount(place, minlength=1 << PLACES) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def _sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The shingles of the given nodes, from the rows that stand for them."""
+    """The shingles of the given nodes, and their parities, from the rows that stand for
+    them."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, raw in read(batches):
-            found = [s.tobytes() for s in sets_of(raw)]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.binary())], names=["node", "set"])
+            found = sets_of(raw)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys, pa.int64()),
+                    pa.array([parities(s) for s in found], pa.list_(pa.int64())),
+                    pa.array([s.tobytes() for s in found], pa.binary()),
+                ],
+                names=["node", "bits", "set"],
+            )
 
     texts = rows.join(nodes, rows["_row"] == nodes["node"], "left_semi").select("_row", "text")
-    return stored(texts.mapInArrow(run, "node long, set binary"), "sets")
+    return stored(texts.mapInArrow(run, "node long, bits array<long>, set binary"), "sets")
 
 
 def similar(left: np.ndarray, right: np.ndarray) -> bool:
@@ -159,6 +176,19 @@ def similar(left: np.ndarray, right: np.ndarray) -> bool:
     return BELOW * common >= ABOVE * (len(left) + len(right) - common)
 
 
+def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``, their sizes' sum ``n``) that parities allow: sets differ
+    in at least as many shingles as parities differ, and similar ones in at most a
+    seventh of their sizes' sum."""
+    left = sets.select(F.col("node").alias("a"), F.col("bits").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("bits").alias("right"))
+    differ = F.aggregate(
+        F.zip_with("left", "right", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
+    )
+    most = (BELOW - ABOVE) * F.col("n") / (BELOW + ABOVE)
+    return pairs.join(left, "a").join(right, "b").filter(differ <= most).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``) whose sets are similar."""
 
@@ -169,6 +199,11 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             )
             yield batch.select([0, 1]).filter(pa.array([similar(x, y) for x, y in zip(one, two, strict=True)], pa.bool_()))
 
+    pairs = stored(_possible(pairs, sets), "pairs")
+    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    if needed.limit(MOST_NEEDED + 1).count() <= MOST_NEEDED:
+        # Few sets: the others need not be shuffled to find them.
+        sets = sets.join(F.broadcast(needed), "node", "left_semi")
     left = sets.select(F.col("node").alias("a"), F.col("set").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("set").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
@@ -209,7 +244,11 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
             (F.col("component") != F.col("hub.component"))
             & (BELOW * F.least("n", "hub.n") >= ABOVE * F.greatest("n", "hub.n"))
         )
-        pairs = pairs.select(F.greatest("node", "hub.node").alias("a"), F.least("node", "hub.node").alias("b")).distinct()
+        pairs = pairs.select(
+            F.greatest("node", "hub.node").alias("a"),
+            F.least("node", "hub.node").alias("b"),
+            (F.col("n") + F.col("hub.n")).alias("n"),
+        ).distinct()
         new = stored(_verified(pairs, sets), "links")
         links = new if links is None else links.union(new)
         left = waiting.filter(~F.exists("hubs", lambda h: h["node"] == F.col("node")))
