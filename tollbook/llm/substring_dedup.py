@@ -226,13 +226,15 @@ def repeated_spans(rows: DataFrame, size: int = WINDOW) -> DataFrame:
     covers, for the rows (``_row``, ``text``) that have any."""
     # Occurrences of anchors that occur again; the others are in no repeated window.
     segments = _segments(rows, size)
+    # Stored, so that the joins below can be split where one anchor has very many rows.
     again = segments.groupBy("h").agg(F.count("*").alias("in_all")).filter("in_all > 1")
-    occurrences = stored(segments.join(again.select("h"), "h", "left_semi"), "occurrences")
+    again = stored(again.select("h"), "anchors")
+    occurrences = stored(segments.join(again, "h", "left_semi"), "occurrences")
     distinct = occurrences.groupBy("h", "seg").agg(
         F.count("*").alias("n"), F.min(F.struct("_row", "first", "windows")).alias("one")
     )
     distinct = stored(distinct, "segments")
-    variety = distinct.groupBy("h").agg(F.count("*").alias("variants"))
+    variety = stored(distinct.groupBy("h").agg(F.count("*").alias("variants")), "variety")
     distinct = distinct.join(variety, "h")
     # An anchor whose occurrences all have the same segment needs no automaton.
     same = distinct.filter("variants = 1").select("h", "seg", F.lit(0).alias("lo"), F.col("one.windows").alias("hi"))
