@@ -37,7 +37,7 @@ SMALL = 8
 #: has no bearing on the result, only on the number of comparisons.
 BLOCK, REPORTED, FREQUENT, MOST_FREQUENT = 2_000_000, 4, 16, 300_000
 #: Sets that the members of an entry are compared with in the first round, and in any.
-HUBS, MOST_HUBS = 4, 256
+HUBS, MOST_HUBS = 1, 256
 #: Bits of a set's parities, as a power of two, and how many sets' numbers may be broadcast.
 PLACES, MOST_NEEDED = 10, 1_000_000
 
