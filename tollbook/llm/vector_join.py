@@ -23,7 +23,9 @@ from pyspark.sql import types as T
 from tollbook.llm.common import clusters, lookup, stored, with_row
 
 #: Blocks, gridded coordinates of a block, and vectors of a cell that meet in one task.
-BLOCKS, GRIDDED, TILE = 4, 2, 1500
+BLOCKS, GRIDDED, TILE = 4, 2, 8000
+#: Vectors of a tile that are compared with the other tile at once.
+STRIP = 500
 #: Against rounding: budgets are larger by this, and verified pairs are exact anyway.
 SLACK = 1e-9
 PLACED = "block int, cell string, mine int, theirs int, home boolean, tile int, node long, n long, vector binary"
@@ -122,12 +124,7 @@ def _compare(group: pd.DataFrame, cosine: float) -> pd.DataFrame:
             continue
         right = left if triangle else np.stack([np.frombuffer(v, np.float64) for v in other["vector"]])
         right_turned = right @ turn
-        a, b = left_turned[:, parts[number]], right_turned[:, parts[number]]
-        apart = (a * a).sum(1)[:, None] + (b * b).sum(1)[None] - 2 * (a @ b.T)
-        near = apart <= budget + SLACK
-        i, j = np.nonzero(np.triu(near, 1) if triangle else near)
-        for begin in range(0, len(i), 200_000):
-            x, y = i[begin : begin + 200_000], j[begin : begin + 200_000]
+        for x, y in _in_range(left_turned[:, parts[number]], right_turned[:, parts[number]], budget, triangle):
             exact = (left[x] * right[y]).sum(axis=1) >= cosine
             x, y = x[exact], y[exact]
             squares = (left_turned[x] - right_turned[y]) ** 2
@@ -140,6 +137,21 @@ def _compare(group: pd.DataFrame, cosine: float) -> pd.DataFrame:
     return _summed(group, found)
 
 
+def _in_range(a: np.ndarray, b: np.ndarray, budget: float, triangle: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows within the squared distance, some at a time; with ``triangle`` of
+    one matrix with itself, each pair once."""
+    b_squares = (b * b).sum(axis=1)
+    for begin in range(0, len(a), STRIP):
+        strip = a[begin : begin + STRIP]
+        apart = (strip * strip).sum(axis=1)[:, None] + b_squares[None] - 2 * (strip @ b.T)
+        i, j = np.nonzero(apart <= budget + SLACK)
+        i += begin
+        if triangle:
+            i, j = i[j > i], j[j > i]
+        for k in range(0, len(i), 200_000):
+            yield i[k : k + 200_000], j[k : k + 200_000]
+
+
 def _summed(group: pd.DataFrame, found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
     """Per vector how many it is linked to, and one link to the least vector that links
     found here reach, so that no more rows leave than came."""
@@ -181,24 +193,22 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embeddi
     valid = units.filter("vector IS NOT NULL")
     nodes = valid.groupBy("vector").agg(F.min("_row").alias("node"), F.min("key").alias("low"), F.count("*").alias("n"))
     nodes = stored(nodes, "vectors")
-    placed = stored(_placed(nodes.select("node", "n", "vector"), cosine), "placed")
+    placed = _placed(nodes.select("node", "n", "vector"), cosine)
     sizes = placed.groupBy("block", "cell").agg(
         F.count("*").alias("rows"), F.sum(F.col("home").cast("int")).alias("homes")
     )
+    sizes = stored(sizes, "cells")
     # A cell without anybody at home has no pairs. In a large one every tile meets every
-    # other, each two in a task of their own.
+    # other, each two in a task of their own: those at home meet later tiles once, and
+    # guests meet those at home in every tile.
     tiles = F.ceil(F.col("rows") / TILE).cast("int")
     dealt = placed.join(sizes.filter("homes > 0 AND rows > 1").select("block", "cell", tiles.alias("tiles")), ["block", "cell"])
     dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     every = F.sequence(F.lit(0), F.col("tiles") - 1)
-    meets = F.when(F.col("tiles") == 1, F.array(F.struct(F.lit(0).alias("mine"), F.lit(0).alias("theirs")))).otherwise(
-        F.array_distinct(
-            F.concat(
-                F.transform(every, lambda t: F.struct(F.col("tile").alias("mine"), t.alias("theirs"))),
-                F.transform(every, lambda t: F.struct(t.alias("mine"), F.col("tile").alias("theirs"))),
-            )
-        )
-    )
+    as_host = F.transform(every, lambda t: F.struct(F.col("tile").alias("mine"), t.alias("theirs")))
+    as_other = F.transform(every, lambda t: F.struct(t.alias("mine"), F.col("tile").alias("theirs")))
+    earlier = F.filter(as_other, lambda m: m["mine"] < m["theirs"])
+    meets = F.when(F.col("home"), F.concat(as_host, earlier)).otherwise(as_other)
     dealt = dealt.select("block", "cell", "home", "tile", "node", "n", "vector", F.explode(meets).alias("m"))
     dealt = dealt.select(
         "block", "cell", F.col("m.mine").alias("mine"), F.col("m.theirs").alias("theirs"), "home", "tile", "node", "n", "vector"
