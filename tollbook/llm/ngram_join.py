@@ -151,24 +151,31 @@ def parities(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(odd).view(np.int64)
 
 
-def _sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The shingles of the given nodes, and their parities, from the rows that stand for
-    them."""
+def _texts_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``_row`` and text of the given nodes, from the rows that stand for them. Few nodes
+    are broadcast as numbers, so that the texts of others are not shuffled to find them."""
+    wanted = nodes.select(F.col("node").alias("_row"))
+    if wanted.limit(MOST_NEEDED + 1).count() <= MOST_NEEDED:
+        wanted = F.broadcast(wanted)
+    return rows.select("_row", "text").join(wanted, "_row", "left_semi")
+
 
+def _parities(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, raw in read(batches):
-            found = sets_of(raw)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys, pa.int64()),
-                    pa.array([parities(s) for s in found], pa.list_(pa.int64())),
-                    pa.array([s.tobytes() for s in found], pa.binary()),
-                ],
-                names=["node", "bits", "set"],
-            )
+            bits = pa.array([parities(s) for s in sets_of(raw)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), bits], names=["node", "bits"])
+
+    return stored(_texts_of(rows, nodes).mapInArrow(run, "node long, bits array<long>"), "parities")
+
+
+def _sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, raw in read(batches):
+            found = pa.array([s.tobytes() for s in sets_of(raw)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), found], names=["node", "set"])
 
-    texts = rows.join(nodes, rows["_row"] == nodes["node"], "left_semi").select("_row", "text")
-    return stored(texts.mapInArrow(run, "node long, bits array<long>, set binary"), "sets")
+    return stored(_texts_of(rows, nodes).mapInArrow(run, "node long, set binary"), "sets")
 
 
 def similar(left: np.ndarray, right: np.ndarray) -> bool:
@@ -176,12 +183,12 @@ def similar(left: np.ndarray, right: np.ndarray) -> bool:
     return BELOW * common >= ABOVE * (len(left) + len(right) - common)
 
 
-def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``, their sizes' sum ``n``) that parities allow: sets differ
     in at least as many shingles as parities differ, and similar ones in at most a
     seventh of their sizes' sum."""
-    left = sets.select(F.col("node").alias("a"), F.col("bits").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("bits").alias("right"))
+    left = bits.select(F.col("node").alias("a"), F.col("bits").alias("left"))
+    right = bits.select(F.col("node").alias("b"), F.col("bits").alias("right"))
     differ = F.aggregate(
         F.zip_with("left", "right", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
     )
@@ -189,7 +196,7 @@ def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(differ <= most).select("a", "b")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``) whose sets are similar."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,18 +206,15 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             )
             yield batch.select([0, 1]).filter(pa.array([similar(x, y) for x, y in zip(one, two, strict=True)], pa.bool_()))
 
-    pairs = stored(_possible(pairs, sets), "pairs")
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    if needed.limit(MOST_NEEDED + 1).count() <= MOST_NEEDED:
-        # Few sets: the others need not be shuffled to find them.
-        sets = sets.join(F.broadcast(needed), "node", "left_semi")
+    pairs = stored(_possible(pairs, bits), "pairs")
+    sets = _sets(rows, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
     left = sets.select(F.col("node").alias("a"), F.col("set").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("set").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
     return both.mapInArrow(run, "a long, b long")
 
 
-def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _links(members: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
     """Enough links for the components of all similar pairs that share an entry.
 
     In each round the members of an entry are compared with some of them, its hubs,
@@ -249,7 +253,7 @@ def _links(members: DataFrame, sets: DataFrame) -> DataFrame:
             F.least("node", "hub.node").alias("b"),
             (F.col("n") + F.col("hub.n")).alias("n"),
         ).distinct()
-        new = stored(_verified(pairs, sets), "links")
+        new = stored(_verified(pairs, rows, bits), "links")
         links = new if links is None else links.union(new)
         left = waiting.filter(~F.exists("hubs", lambda h: h["node"] == F.col("node")))
         alone = left.groupBy("sig").agg(F.count("*").alias("c")).filter("c > 1").select("sig")
@@ -286,7 +290,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     paired = _indexed(texts, frequent, 1)
     counted = paired.groupBy("sig").agg(F.count("*").alias("c")).filter("c > 1").select("sig")
     members = stored(single.union(paired.join(counted, "sig", "left_semi")), "members")
-    links = _links(members, _sets(rows, members.select("node").distinct()))
+    links = _links(members, rows, _parities(rows, members.select("node").distinct()))
     found = clusters(links)
     labelled = copies.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lows = labelled.groupBy("component").agg(F.min("low").alias("component_id"), F.min("node").alias("stands"))
