@@ -1,13 +1,14 @@
 import json
 from datetime import datetime, timedelta
 
+import compare
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from samples import SMS, VOICE, changed, values
 from tollbook.operators import dedup, mediation
-from tollbook.plans import catalogue
+from tollbook.plans import catalogue, oracle
 from tollbook.session import folder_bytes, shared_folder, shuffle_partitions, state_partitions
 from tollbook.sinks.streams import start_batch_sink, start_text_sink
 from tollbook.sources import streams, tables
@@ -190,6 +191,15 @@ def test_state_is_evicted_as_the_stream_goes(spark):
     assert len(batches) >= 10 and peak < distinct / 4
 
 
+def test_rating_takes_all_files_of_a_mediated_delivery(spark, monkeypatch):
+    """Three state partitions make three clean files of each delivery; rated one by
+    one, the first would make the others late."""
+    folder = "/root/testdata/sf0.001"
+    monkeypatch.setattr(catalogue, "state_partitions", lambda size: 3)
+    expected = compare.sql_result(compare.connect(folder), oracle.SQL["stream_rating"])
+    assert compare.spark_result(catalogue.stream_rating(spark, folder)) == expected
+
+
 def test_the_first_failure_ends_all(spark, tmp_path):
     """A failing query beside one that never ends."""
     deliver(spark, tmp_path / "in", call(0))

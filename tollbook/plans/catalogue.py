@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +29,7 @@ from tollbook.sources import tables as table_sources
 from tollbook.streaming import billing as billing_job
 from tollbook.streaming import mediation as mediation_job
 from tollbook.streaming import rating as rating_job
-from tollbook.streaming.lifecycle import counting_late_rows, run_to_end
+from tollbook.streaming.lifecycle import SuccessiveRuns, counting_late_rows, run_to_end
 from tollbook.tariff import BillingTerms
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -408,17 +408,19 @@ DELIVERIES = 10
 FILES = 1
 
 
-def deliver(wire: DataFrame, work: str) -> str:
+def deliver(wire: DataFrame, work: str) -> Iterator[tuple[int, DataFrame]]:
     """Write wire text once by its column ``delivery``, then hand the deliveries over
-    one after the other, each in ``FILES`` files, as a file stream takes files in the
-    order of their times. Returns the folder they arrive in."""
+    one after the other. After each comes its number and a stream of all that arrived:
+    an availableNow run of it without a file limit takes the delivery as one
+    micro-batch, in however many files it is. A micro-batch of some files only would
+    move the watermark past the rest of the same delivery."""
     spark = wire.sparkSession
     wire.write.partitionBy("delivery").text(f"{work}/staged")
     staged = spark.read.text(f"{work}/staged")
     for number in _delivered(staged):
         arrived = staged.filter(F.col("delivery") == number).select("value")
         arrived.coalesce(FILES).write.mode("append").text(f"{work}/in")
-    return f"{work}/in"
+        yield number, streams.text_stream(spark, f"{work}/in")
 
 
 def _delivered(staged: DataFrame) -> list[int]:
@@ -435,19 +437,26 @@ def _ordered_wire(rows: DataFrame) -> DataFrame:
     return event_log.to_wire(numbered, "delivery")
 
 
-def _arrivals(spark: SparkSession, folder: str, work: str) -> DataFrame:
-    path = deliver(_ordered_wire(records(spark, folder)), work)
-    return streams.text_stream(spark, path, max_files_per_trigger=FILES)
+def _arrivals(spark: SparkSession, folder: str, work: str) -> Iterator[DataFrame]:
+    for _, arrived in deliver(_ordered_wire(records(spark, folder)), work):
+        yield arrived
 
 
-def _start_clean(spark: SparkSession, folder: str, work: str, **options) -> StreamingQuery:
-    return start_text_sink(
-        mediation_job.clean_stream(_arrivals(spark, folder, work), **options),
-        f"{work}/clean",
-        f"{work}/checkpoint/clean",
-        once=True,
-        state_partitions=_partitions(spark, folder),
-    )
+def _clean_runs(spark: SparkSession, folder: str, work: str, **options) -> Iterator[StreamingQuery]:
+    """The mediation's clean output, a run a delivery; each must end before the next."""
+    partitions = _partitions(spark, folder)
+    for arrived in _arrivals(spark, folder, work):
+        yield start_text_sink(
+            mediation_job.clean_stream(arrived, **options),
+            f"{work}/clean",
+            f"{work}/checkpoint/clean",
+            once=True,
+            state_partitions=partitions,
+        )
+
+
+def _start_clean(spark: SparkSession, folder: str, work: str, **options) -> SuccessiveRuns:
+    return SuccessiveRuns(_clean_runs(spark, folder, work, **options))
 
 
 def _partitions(spark: SparkSession, folder: str) -> int:
@@ -473,16 +482,17 @@ def stream_mediation_dead_letter(spark: SparkSession, folder: str) -> DataFrame:
     """Both outputs of one mediation job; of the dead letters every field, and
     whether their text, read again, says the same."""
     work = shared_folder(spark)
-    run_to_end(
-        *mediation_job.start_mediation(
-            _arrivals(spark, folder, work),
-            f"{work}/clean",
-            f"{work}/dead-letter",
-            f"{work}/checkpoint",
-            once=True,
-            state_partitions=_partitions(spark, folder),
+    for arrived in _arrivals(spark, folder, work):
+        run_to_end(
+            *mediation_job.start_mediation(
+                arrived,
+                f"{work}/clean",
+                f"{work}/dead-letter",
+                f"{work}/checkpoint",
+                once=True,
+                state_partitions=_partitions(spark, folder),
+            )
         )
-    )
     letters = mediation_job.dead_letters(spark.read.text(f"{work}/dead-letter"))
     again = F.from_json("raw", RAW_CDR)
     same = [
@@ -502,16 +512,17 @@ def stream_mediation_dead_letter(spark: SparkSession, folder: str) -> DataFrame:
 def stream_mediation_both(spark: SparkSession, folder: str) -> DataFrame:
     """One mediation job, its two outputs counted per service."""
     work = shared_folder(spark)
-    run_to_end(
-        *mediation_job.start_mediation(
-            _arrivals(spark, folder, work),
-            mediation_job.text_sink(f"{work}/clean"),
-            mediation_job.text_sink(f"{work}/dead-letter"),
-            f"{work}/checkpoint",
-            once=True,
-            state_partitions=_partitions(spark, folder),
+    for arrived in _arrivals(spark, folder, work):
+        run_to_end(
+            *mediation_job.start_mediation(
+                arrived,
+                mediation_job.text_sink(f"{work}/clean"),
+                mediation_job.text_sink(f"{work}/dead-letter"),
+                f"{work}/checkpoint",
+                once=True,
+                state_partitions=_partitions(spark, folder),
+            )
         )
-    )
     clean = mediation.parse_clean(spark.read.text(f"{work}/clean"))
     dead = mediation_job.dead_letters(spark.read.text(f"{work}/dead-letter"))
     both = clean.select("record_type", F.lit("clean").alias("output")).union(
@@ -520,10 +531,11 @@ def stream_mediation_both(spark: SparkSession, folder: str) -> DataFrame:
     return both.groupBy("record_type", "output").agg(F.count("*").alias("records"))
 
 
-def _rate(spark: SparkSession, folder: str, work: str, source: str, **options) -> DataFrame:
+def _rate(spark: SparkSession, folder: str, work: str, values: DataFrame, **options) -> None:
+    """Rate all that arrived since the run before, as one micro-batch."""
     run_to_end(
         rating_job.start_rating(
-            streams.text_stream(spark, source, FILES, ignore_missing_files=True),
+            values,
             f"{work}/rated",
             f"{work}/checkpoint/rating",
             once=True,
@@ -531,15 +543,17 @@ def _rate(spark: SparkSession, folder: str, work: str, source: str, **options) -
             **options,
         )
     )
-    return _rated_rows(spark, f"{work}/rated")
 
 
 @query
 def stream_rating(spark: SparkSession, folder: str) -> DataFrame:
-    """Mediation to a clean folder, then rating from it, each to its end."""
+    """Mediation to a clean folder, then rating from it, a delivery at a time: the
+    clean files of one are hash parts of the same span of time and are rated together."""
     work = shared_folder(spark)
-    run_to_end(_start_clean(spark, folder, work))
-    return _rate(spark, folder, work, f"{work}/clean")
+    for mediated in _clean_runs(spark, folder, work):
+        run_to_end(mediated)
+        _rate(spark, folder, work, streams.text_stream(spark, f"{work}/clean", ignore_missing_files=True))
+    return _rated_rows(spark, f"{work}/rated")
 
 
 @query
@@ -547,8 +561,9 @@ def stream_rating_update_mode(spark: SparkSession, folder: str) -> DataFrame:
     """Accepted records straight from the table, without salts, in update mode."""
     work = shared_folder(spark)
     valid = mediation.accepted(mediation.flag_valid(records(spark, folder)))
-    source = deliver(_ordered_wire(valid), work)
-    return _rate(spark, folder, work, source, salts=0, output_mode="update")
+    for _, arrived in deliver(_ordered_wire(valid), work):
+        _rate(spark, folder, work, arrived, salts=0, output_mode="update")
+    return _rated_rows(spark, f"{work}/rated")
 
 
 @query
@@ -566,15 +581,11 @@ def _late_deliveries(spark: SparkSession, folder: str, work: str) -> list[tuple[
     day = F.dayofmonth("timestamp")
     delivery = F.floor((day - 1) / 8) + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
     rows = records(spark, folder).withColumn("delivery", delivery.cast("int"))
-    event_log.to_wire(rows, "delivery").write.partitionBy("delivery").text(f"{work}/staged")
-    staged = spark.read.text(f"{work}/staged")
     dropped = []
     with counting_late_rows(spark) as late:
-        for number in _delivered(staged):
-            arrived = staged.filter(F.col("delivery") == number).select("value")
-            arrived.coalesce(FILES).write.mode("append").text(f"{work}/in")
+        for number, arrived in deliver(event_log.to_wire(rows, "delivery"), work):
             query = start_text_sink(
-                mediation_job.clean_stream(streams.text_stream(spark, f"{work}/in")),
+                mediation_job.clean_stream(arrived),
                 f"{work}/clean",
                 f"{work}/checkpoint",
                 once=True,

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 POLL_SECONDS = 0.2
 
 
-def run_to_end(*queries: StreamingQuery) -> None:
+def run_to_end(*queries: StreamingQuery | SuccessiveRuns) -> None:
     """Wait for queries that stop when caught up. The first failure of any of them
     is raised at once and stops the others, endless ones too."""
     waiting = list(queries)
@@ -36,6 +36,32 @@ def run_forever(spark: SparkSession) -> None:
             query.stop()
 
 
+class SuccessiveRuns:
+    """Runs of one query one after the other, each started when the one before has
+    ended; to ``run_to_end`` they are one query. ``recentProgress`` has the reports
+    of all of them."""
+
+    def __init__(self, runs: Iterator[StreamingQuery]) -> None:
+        self.runs = runs
+        self.reports: list = []
+        self.query = next(runs, None)
+
+    @property
+    def recentProgress(self) -> list:
+        return self.reports + (self.query.recentProgress if self.query else [])
+
+    def awaitTermination(self, seconds: float) -> bool:
+        """Whether the last run has ended."""
+        if self.query and self.query.awaitTermination(seconds):
+            self.reports += self.query.recentProgress
+            self.query = next(self.runs, None)
+        return self.query is None
+
+    def stop(self) -> None:
+        if self.query:
+            self.query.stop()
+
+
 class LateRows(StreamingQueryListener):
     """Counts the rows each query run drops as late, report by report, so that the
     count is complete however many reports a run makes."""
