@@ -200,6 +200,25 @@ def test_rating_takes_all_files_of_a_mediated_delivery(spark, monkeypatch):
     assert compare.spark_result(catalogue.stream_rating(spark, folder)) == expected
 
 
+@pytest.mark.parametrize("name", ["stream_mediation_clean", "stream_late_rows"])
+def test_a_delivery_is_written_by_many_tasks(spark, tmp_path, monkeypatch, name):
+    """Deliveries of several files each, and no row is lost or late for that."""
+    folder = "/root/testdata/sf0.001"
+    monkeypatch.setattr(catalogue, "shared_folder", lambda spark: str(tmp_path))
+    small = {"spark.sql.files.maxPartitionBytes": 8192, "spark.sql.files.openCostInBytes": 0}
+    before = {key: spark.conf.get(key) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        found = compare.spark_result(catalogue.QUERIES[name](spark, folder))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert found == compare.sql_result(compare.connect(folder), oracle.SQL[name])
+    deliveries = len(list((tmp_path / "staged").glob("delivery=*")))
+    assert len(list((tmp_path / "in").glob("part-*"))) >= 2 * deliveries
+
+
 def test_the_first_failure_ends_all(spark, tmp_path):
     """A failing query beside one that never ends."""
     deliver(spark, tmp_path / "in", call(0))

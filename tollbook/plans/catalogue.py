@@ -405,21 +405,21 @@ def out_of_order_by_subscriber(spark: SparkSession, folder: str) -> DataFrame:
 
 # Deliveries the records come in, in the order of their times; one micro-batch each.
 DELIVERIES = 10
-FILES = 1
 
 
 def deliver(wire: DataFrame, work: str) -> Iterator[tuple[int, DataFrame]]:
     """Write wire text once by its column ``delivery``, then hand the deliveries over
-    one after the other. After each comes its number and a stream of all that arrived:
-    an availableNow run of it without a file limit takes the delivery as one
-    micro-batch, in however many files it is. A micro-batch of some files only would
-    move the watermark past the rest of the same delivery."""
+    one after the other, each with as many tasks and files as its bytes need. After
+    each comes its number and a stream of all that arrived: an availableNow run of it
+    without a file limit takes the delivery as one micro-batch, in however many files
+    it is. A micro-batch of some files only would move the watermark past the rest of
+    the same delivery."""
     spark = wire.sparkSession
     wire.write.partitionBy("delivery").text(f"{work}/staged")
     staged = spark.read.text(f"{work}/staged")
     for number in _delivered(staged):
         arrived = staged.filter(F.col("delivery") == number).select("value")
-        arrived.coalesce(FILES).write.mode("append").text(f"{work}/in")
+        arrived.write.mode("append").text(f"{work}/in")
         yield number, streams.text_stream(spark, f"{work}/in")
 
 
