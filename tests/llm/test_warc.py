@@ -2,6 +2,7 @@ import base64
 import hashlib
 import struct
 
+import numpy as np
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -87,6 +88,23 @@ def test_archives_carry_their_dictionary(spark, tmp_path):
         assert sum(1 for _ in warc.records_of(stream)) == 300
 
 
+@pytest.mark.parametrize("sizes", [[4 << 20], [100_000], [8 << 20, *[3000] * 100], [70_000, 500]])
+def test_long_records_have_a_dictionary(tmp_path, sizes):
+    """Few but long records give samples enough, from all of their length."""
+    rng = np.random.default_rng(5)
+    words = np.array([f"word{k} " for k in range(5000)])
+    writer = warc.ArchiveWriter(f"file://{tmp_path}", 0)
+    for k, size in enumerate(sizes):
+        body = "".join(rng.choice(words, size // 5)).encode()[:size]
+        writer.add(warc.record(k, "http://x", body, warc.digest(body), len(body), None))
+    writer.close()
+    ((path, count, _),) = writer.done
+    with open(path, "rb") as stream:
+        assert struct.unpack("<I", stream.read(4))[0] == warc.DICTIONARY_FRAME
+        stream.seek(0)
+        assert sum(1 for _ in warc.records_of(stream)) == count == len(sizes)
+
+
 def test_archives_are_closed_at_their_size(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "ARCHIVE", 10_000)
     writer = warc.ArchiveWriter(f"file://{tmp_path}", 0)

@@ -29,9 +29,12 @@ DATE = "2024-01-01T00:00:00Z"
 #: Upper half of the record ids; the lower half is the page's number.
 RECORD_SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "warc-record").int >> 64 << 64
 
-#: Bytes of records that are held to build an archive's dictionary from, the
-#: dictionary's size, and the uncompressed size past which an archive is closed.
+#: Bytes of samples that an archive's dictionary is built from, the dictionary's size,
+#: and the uncompressed size past which an archive is closed.
 SAMPLE, DICTIONARY, ARCHIVE = 4 << 20, 64 << 10, 64 << 20
+#: Records are sampled in pieces of so many bytes, so many of one record at most; and
+#: so many bytes of records are held at most while samples are waited for.
+PIECE, PIECES, HELD = 4 << 10, 64, 16 << 20
 #: What is too small for a dictionary goes without.
 LEAST_SAMPLE = 64 << 10
 
@@ -102,8 +105,9 @@ def parse(raw: bytes) -> tuple:
 class ArchiveWriter:
     """Archives in one folder, written under names of their own until they are whole.
 
-    The dictionary is built from the first SAMPLE bytes of an archive's own records;
-    it bears on size alone, never on content.
+    The dictionary is built from the archive's own first records, until they give
+    SAMPLE bytes of samples or HELD bytes are held; it bears on size alone, never on
+    content.
     """
 
     def __init__(self, folder: str, task: int):
@@ -114,7 +118,7 @@ class ArchiveWriter:
 
     def _open(self) -> None:
         self.waiting: list[bytes] = []
-        self.size = self.count = 0
+        self.size = self.count = self.sampled = 0
         self.out = None
 
     def add(self, raw: bytes) -> None:
@@ -122,7 +126,8 @@ class ArchiveWriter:
         self.count += 1
         if self.out is None:
             self.waiting.append(raw)
-            if self.size >= SAMPLE:
+            self.sampled += min(len(raw), PIECE * PIECES)
+            if self.sampled >= SAMPLE or self.size >= HELD:
                 self._begin()
         else:
             self.out.write(self.compressor.compress(raw))
@@ -147,9 +152,14 @@ class ArchiveWriter:
         self.waiting = []
 
     def _dictionary(self) -> zstandard.ZstdCompressionDict | None:
-        # Training wants many samples, so long records are cut; a few cannot train.
-        samples = [raw[k : k + 8192] for raw in self.waiting for k in range(0, min(len(raw), 1 << 16), 8192)]
-        if sum(map(len, samples)) < LEAST_SAMPLE or len(samples) < 16:
+        # Training wants many samples, so long records are cut, into pieces from all of
+        # their length; a few cannot train.
+        samples = [
+            raw[k : k + PIECE]
+            for raw in self.waiting
+            for k in range(0, len(raw), max(PIECE, -(-len(raw) // PIECES)))
+        ]
+        if sum(map(len, samples)) < LEAST_SAMPLE:
             return None
         try:
             return zstandard.train_dictionary(DICTIONARY, samples, threads=0)
