@@ -17,6 +17,7 @@ from tollbook.llm import (
     quality_rules,
     substring_dedup,
     token_counts,
+    tree_bpe,
     vector_join,
     warc,
 )
@@ -95,3 +96,8 @@ def op9_id_files(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_vector_join(spark: SparkSession, folder: str) -> DataFrame:
     return vector_join.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query
+def op12_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return tree_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
