@@ -18,6 +18,7 @@ from tollbook.llm import (
     substring_dedup,
     token_counts,
     tree_bpe,
+    turn_repair,
     vector_join,
     warc,
 )
@@ -101,3 +102,8 @@ def op10_vector_join(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op12_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return tree_bpe.digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.repair_conversations(table(spark, folder, "conversations"))
