@@ -13,6 +13,7 @@ from tollbook.llm import (
     id_files,
     ngram_join,
     packing,
+    prefix_trie,
     quality_model,
     quality_rules,
     substring_dedup,
@@ -107,3 +108,8 @@ def op12_tree_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
     return turn_repair.repair_conversations(table(spark, folder, "conversations"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
