@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import UTC, datetime
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tollbook.operators import billing, rating
 from tollbook.schemas import PERIOD_COLUMNS
+from tollbook.sources import live
 
 
 def with_period(rated: DataFrame) -> DataFrame:
@@ -18,17 +20,25 @@ def with_period(rated: DataFrame) -> DataFrame:
     )
 
 
-# Files of a micro-batch, whose tasks are as many as the state partitions.
-BATCH_FILES = 8
+# Rows that a task of a micro-batch writes, about.
+TASK_ROWS = 1_000_000
 
 
-def sized_for_write(rows: DataFrame) -> DataFrame:
+def sized_for_write(rows: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     """Rebalance by period, so that each folder gets few files of good size;
     a month too large for one task is split by adaptive execution. Inside a
-    micro-batch that is off, and a few tasks write what all have."""
-    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
-        return rows.coalesce(BATCH_FILES)
-    return rows.hint("rebalance", *[F.col(c) for c in PERIOD_COLUMNS])
+    micro-batch that is off: there the rows of each period are counted, from the
+    batch that is kept, and spread over as many tasks as they need."""
+    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return rows.hint("rebalance", *[F.col(c) for c in PERIOD_COLUMNS])
+    counts = rows.groupBy(*PERIOD_COLUMNS).count().collect()
+    tasks = {tuple(row[:2]): math.ceil(row["count"] / task_rows) for row in counts}
+    shares = F.lit(1)
+    for (year, month), number in tasks.items():
+        here = F.col("billing_year").eqNullSafe(F.lit(year)) & F.col("billing_month").eqNullSafe(F.lit(month))
+        shares = F.when(here, number).otherwise(shares) if number > 1 else shares
+    share = F.pmod(F.xxhash64(*[c for c in rows.columns if c not in PERIOD_COLUMNS]), shares)
+    return rows.withColumn("_share", share).repartition(max(1, sum(tasks.values())), *PERIOD_COLUMNS, "_share").drop("_share")
 
 
 def write_rated(rated: DataFrame, path: str) -> None:
@@ -40,13 +50,28 @@ def write_rated(rated: DataFrame, path: str) -> None:
 
 def write_batch(rated: DataFrame, path: str, writer: str, batch_id: int) -> None:
     """Sanitized events of one batch, each period's below that period: a reader of
-    some periods lists their folders alone. The batch replaces its own folders."""
+    some periods lists their folders alone. The batch replaces its own folders, those
+    of periods that it no longer has as well, and its rows in compacted files."""
+    spark = rated.sparkSession
     owned = with_period(rated).withColumns(
         {"writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("bigint")}
     )
+    folders = live.Folders(spark, path)
+    before = {
+        period: place
+        for period in live.periods_of(folders)
+        for batch, place in live.batches_of(folders, period).items()
+        if batch == (writer, batch_id)
+    }
+    if before:
+        now = {tuple(row) for row in owned.select(*PERIOD_COLUMNS).distinct().collect()}
+        gone = [place for period, place in before.items() if period not in now]
     sized_for_write(owned).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*PERIOD_COLUMNS, "writer", "batch_id").parquet(path)
+    live.hide_rewritten(spark, path, (writer, batch_id))
+    for place in gone if before else []:
+        folders.remove(place)
 
 
 def batch_folder(path: str, writer: str, batch_id: int) -> str:

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tollbook.operators.rating import rated_only
 from tollbook.schemas import RATED_TABLE_ON_DISK
+from tollbook.sources import live
 
 
 def rated_events(
@@ -17,20 +20,53 @@ def rated_events(
     only_rated: bool = False,
 ) -> DataFrame:
     """The rated-events table. With ``periods`` only their folders are listed, so
-    that the batches ever written to other periods cost nothing."""
+    that the batches ever written to other periods cost nothing. Where batches were
+    compacted, the committed lists say which files count."""
     reader = spark.read.schema(RATED_TABLE_ON_DISK)
-    if periods is None:
+    folders = live.Folders(spark, path)
+    if live.has_lists(folders):
+        table = _listed(spark, folders, live.wanted_periods(folders, periods))
+    elif periods is None:
         table = reader.parquet(path)
     else:
         wanted = sorted(set(periods))
-        folders = [f for f in (period_folder(path, *p) for p in wanted) if _exists(spark, f)]
-        if folders:
-            table = reader.option("basePath", path).parquet(*folders)
+        found = [f for f in (period_folder(path, *p) for p in wanted) if _exists(spark, f)]
+        if found:
+            table = reader.option("basePath", path).parquet(*found)
         else:
             table = spark.createDataFrame([], RATED_TABLE_ON_DISK)
     return rated_only(table) if only_rated else table
 
 
+def _listed(spark: SparkSession, folders: live.Folders, periods: list[tuple[int, int]]) -> DataFrame:
+    """Live batch folders and compacted files of some periods."""
+    plain, compacted, hidden = [], [], []
+    for period in periods:
+        held = live.current_list(folders, period)
+        plain += live.live_folders(folders, period, held).values()
+        if held.generation:
+            compacted.append(live.compacted_folder(period, held.generation))
+            hidden += [(*period, *batch) for batch in sorted(held.hidden)]
+    parts = [batch_rows(spark, folders.root, plain)]
+    if compacted:
+        base = f"{folders.root}/_compacted"
+        files = spark.read.schema(RATED_TABLE_ON_DISK).option("basePath", base)
+        rows = files.parquet(*[f"{folders.root}/{place}" for place in compacted])
+        for year, month, writer, batch_id in hidden:
+            same = (F.col("billing_year") == year) & (F.col("billing_month") == month)
+            rows = rows.filter(~(same & (F.col("writer") == writer) & (F.col("batch_id") == batch_id)))
+        parts.append(rows.select(*parts[0].columns))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def batch_rows(spark: SparkSession, path: str, places: Iterable[str]) -> DataFrame:
+    """The rows of batch folders, named by their places below the table, and no others."""
+    found = [f"{path.rstrip('/')}/{place}" for place in places]
+    if not found:
+        return spark.createDataFrame([], RATED_TABLE_ON_DISK)
+    return spark.read.schema(RATED_TABLE_ON_DISK).option("basePath", path).parquet(*found)
+
+
 def period_folder(path: str, year: int, month: int) -> str:
     return f"{path.rstrip('/')}/billing_year={year}/billing_month={month}"
 
