@@ -26,13 +26,20 @@ def service_pivot(rated: DataFrame, invoice_date: date | None = None) -> DataFra
     )
 
 
-def monthly_usage(rated: DataFrame) -> DataFrame:
-    """Usage and cost per subscriber, month and service."""
+USAGE_KEY = ("user_identifier", "billing_year", "billing_month", "record_type")
+# Sums of the roll-up; each is the sum of the sums of any parts of the events.
+USAGE_SUMS = ("total_duration_sec", "total_data_mb", "total_cost", "event_count")
+
+
+def monthly_usage(rated: DataFrame, *per: str) -> DataFrame:
+    """Usage and cost per subscriber, month and service, and per columns named in
+    ``per``."""
     return rated.groupBy(
         "user_identifier",
         F.year("event_time").alias("billing_year"),
         F.month("event_time").alias("billing_month"),
         "record_type",
+        *per,
     ).agg(
         F.sum("duration_sec").alias("total_duration_sec"),
         F.sum("data_volume_mb").alias("total_data_mb"),
@@ -41,6 +48,12 @@ def monthly_usage(rated: DataFrame) -> DataFrame:
     )
 
 
+def merged_usage(parts: DataFrame) -> DataFrame:
+    """The roll-up of all events from those of parts of them, with its types."""
+    kinds = dict(parts.dtypes)
+    return parts.groupBy(*USAGE_KEY).agg(*[F.sum(name).cast(kinds[name]).alias(name) for name in USAGE_SUMS])
+
+
 def apply_allowance(usage: DataFrame, terms: BillingTerms = DEFAULT_TERMS) -> DataFrame:
     """Voice is free within the allowance and charged per minute above it,
     whatever it was rated at; everything else keeps its cost."""
@@ -69,15 +82,19 @@ def apply_tax(usage: DataFrame, terms: BillingTerms = DEFAULT_TERMS) -> DataFram
     return usage.withColumn("final_cost", taxed.try_cast(MONEY))
 
 
+def bill_usage(usage: DataFrame, terms: BillingTerms = DEFAULT_TERMS) -> DataFrame:
+    return apply_tax(apply_discounts(apply_allowance(usage, terms), terms), terms)
+
+
 def bill(rated: DataFrame, terms: BillingTerms = DEFAULT_TERMS) -> DataFrame:
-    return apply_tax(apply_discounts(apply_allowance(monthly_usage(rated), terms), terms), terms)
+    return bill_usage(monthly_usage(rated), terms)
 
 
-def summary(billed: DataFrame) -> DataFrame:
+def summary(billed: DataFrame, *beside: str) -> DataFrame:
     """Bills under the column names of the billing summary."""
     return billed.withColumnsRenamed(
         {"user_identifier": "customer_id", "record_type": "service"}
-    ).select(*SUMMARY_COLUMNS)
+    ).select(*SUMMARY_COLUMNS, *beside)
 
 
 def _stamp(generated_at: datetime | None) -> Column:

@@ -22,12 +22,14 @@ from tollbook.schemas import (
     SUMMARY_COLUMNS,
 )
 from tollbook.session import folder_bytes, prepare, shared_folder, state_partitions
+from tollbook.sinks import compaction
 from tollbook.sinks import tables as table_sinks
 from tollbook.sinks.streams import start_text_sink
 from tollbook.sources import streams
 from tollbook.sources import tables as table_sources
 from tollbook.streaming import billing as billing_job
 from tollbook.streaming import mediation as mediation_job
+from tollbook.streaming import partials
 from tollbook.streaming import rating as rating_job
 from tollbook.streaming.lifecycle import SuccessiveRuns, counting_late_rows, run_to_end
 from tollbook.tariff import BillingTerms
@@ -625,6 +627,14 @@ def idempotent_period_write(spark: SparkSession, folder: str) -> DataFrame:
     return plain_times(spark.read.parquet(path).select(*SUMMARY_COLUMNS, "generated_at"))
 
 
+def _rebill(spark: SparkSession, work: str) -> None:
+    run_to_end(
+        billing_job.start_partial_rebilling(
+            spark, f"{work}/rated", f"{work}/sums", f"{work}/summary", f"{work}/checkpoint"
+        )
+    )
+
+
 @query
 def incremental_rebilling(spark: SparkSession, folder: str) -> DataFrame:
     """Two halves of a month loaded, billing run after each and once more."""
@@ -635,14 +645,55 @@ def incremental_rebilling(spark: SparkSession, folder: str) -> DataFrame:
     for number, part in enumerate(parts):
         if part is not None:
             table_sinks.write_batch(loaded.filter(part), f"{work}/rated", "load", number)
-        run_to_end(
-            billing_job.start_rebilling(
-                spark, f"{work}/rated", f"{work}/summary", f"{work}/checkpoint"
-            )
-        )
+        _rebill(spark, work)
     return spark.read.parquet(f"{work}/summary").select(*SUMMARY_COLUMNS)
 
 
+@query
+def rebilling_replaced_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """Three loads, of which the second has wrong prices and lacks some events; after
+    its sums were merged with others' it is written again, and bills follow."""
+    work = shared_folder(spark)
+    loaded = stored_rated(spark, folder)
+    day = F.dayofmonth("event_time")
+    wrong = loaded.withColumn("cost", (F.col("cost") * 2).cast("decimal(10,4)")).filter("duration_sec % 7 != 0")
+    loads = [
+        (0, loaded.filter(day <= 10)),
+        (1, wrong.filter((day > 10) & (day <= 20))),
+        (2, loaded.filter(day > 20)),
+        (1, loaded.filter((day > 10) & (day <= 20))),
+    ]
+    for place, (number, rows) in enumerate(loads):
+        table_sinks.write_batch(rows, f"{work}/rated", "load", number)
+        _rebill(spark, work)
+        if place == 2:
+            partials.merge_sums(spark, f"{work}/sums")
+    return spark.read.parquet(f"{work}/summary").select(*SUMMARY_COLUMNS)
+
+
+@query
+def compacted_rated_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Batches of three days each, compacted, one of them written again, more loaded,
+    compacted anew, and the replaced folders deleted."""
+    path = f"{shared_folder(spark)}/rated"
+    loaded = stored_rated(spark, folder)
+    batch = F.floor(F.dayofmonth("event_time") / 3).cast("int")
+
+    def load(number: int, rows: DataFrame) -> None:
+        table_sinks.write_batch(rows.filter(batch == number), path, "load", number)
+
+    for number in range(6):
+        # The third one lacks a service until it is written again.
+        load(number, loaded if number != 2 else loaded.filter("record_type != 'sms'"))
+    compaction.compact(spark, path)
+    load(2, loaded)
+    for number in range(6, 11):
+        load(number, loaded)
+    compaction.compact(spark, path)
+    compaction.remove_replaced(spark, path)
+    return _rated_rows(spark, path)
+
+
 @query
 def invoice_document_files(spark: SparkSession, folder: str) -> DataFrame:
     documents = chains.billing_summary(records(spark, folder))

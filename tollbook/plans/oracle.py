@@ -477,5 +477,7 @@ SQL |= {
     "idempotent_period_write": f"""{steps(*TO_SUMMARY)}
 select {SUMMARY_COLUMNS}, timestamp '2024-02-01 08:30:00' as generated_at from summary""",
     "incremental_rebilling": SQL["billing_summary"],
+    "rebilling_replaced_batch": SQL["billing_summary"],
+    "compacted_rated_events": SQL["rated_events"],
     "invoice_document_files": SQL["invoice_documents"],
 }

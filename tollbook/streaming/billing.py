@@ -10,6 +10,7 @@ from tollbook.schemas import PERIOD_COLUMNS, RATED_TABLE_ON_DISK
 from tollbook.sinks.streams import start_batch_sink
 from tollbook.sinks.tables import write_summary
 from tollbook.sources.tables import rated_events
+from tollbook.streaming import partials
 from tollbook.tariff import DEFAULT_TERMS, BillingTerms
 
 
@@ -47,3 +48,31 @@ def start_rebilling(
 
     arrivals = spark.readStream.schema(RATED_TABLE_ON_DISK).parquet(table_path)
     return start_batch_sink(arrivals, load, checkpoint, once=True)
+
+
+def start_partial_rebilling(
+    spark: SparkSession,
+    table_path: str,
+    partials_path: str,
+    summary_path: str,
+    checkpoint: str,
+    terms: BillingTerms = DEFAULT_TERMS,
+    buckets: int = partials.BUCKETS,
+) -> StreamingQuery:
+    """The same from sums kept by batch: a run reads the batches that arrived since the
+    last one, replaces their sums and bills the buckets of subscribers that they touch.
+
+    Events of other batches are not read. The driver gets the arrived batches and the
+    changed buckets, both from folder names. The summary is kept by month and bucket.
+    A run repeated after a failure ends in the same state.
+    """
+
+    def load(batch: DataFrame, number: int) -> None:
+        arrived = sorted(map(tuple, batch.select(*partials.BATCH_COLUMNS).distinct().collect()))
+        if arrived:
+            noted = f"{checkpoint.rstrip('/')}/changed/{number}"
+            changes = partials.update_sums(spark, table_path, partials_path, arrived, noted, buckets)
+            partials.write_changed_bills(partials.changed_bills(spark, partials_path, changes, terms), summary_path, changes)
+
+    arrivals = spark.readStream.schema(RATED_TABLE_ON_DISK).option("ignoreMissingFiles", "true").parquet(table_path)
+    return start_batch_sink(arrivals, load, checkpoint, once=True)
