@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,14 +27,16 @@ from tollbook.sinks import tables as table_sinks
 from tollbook.sinks.streams import start_text_sink
 from tollbook.sources import streams
 from tollbook.sources import tables as table_sources
+from tollbook.sources.live import Folders
 from tollbook.streaming import billing as billing_job
 from tollbook.streaming import mediation as mediation_job
 from tollbook.streaming import partials
 from tollbook.streaming import rating as rating_job
-from tollbook.streaming.lifecycle import SuccessiveRuns, counting_late_rows, run_to_end
+from tollbook.streaming.lifecycle import counting_late_rows, run_to_end
 from tollbook.tariff import BillingTerms
 
 Query = Callable[[SparkSession, str], DataFrame]
+Start = Callable[..., StreamingQuery | list[StreamingQuery]]
 QUERIES: dict[str, Query] = {}
 
 
@@ -405,24 +407,29 @@ def out_of_order_by_subscriber(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams, run to their end ---------------------------------------------
 
 
-# Deliveries the records come in, in the order of their times; one micro-batch each.
-DELIVERIES = 10
+# Deliveries the records come in, about a week's each, in the order of their times; one
+# micro-batch each.
+DELIVERIES = 4
 
 
-def deliver(wire: DataFrame, work: str) -> Iterator[tuple[int, DataFrame]]:
-    """Write wire text once by its column ``delivery``, then hand the deliveries over
-    one after the other, each with as many tasks and files as its bytes need. After
-    each comes its number and a stream of all that arrived: an availableNow run of it
-    without a file limit takes the delivery as one micro-batch, in however many files
-    it is. A micro-batch of some files only would move the watermark past the rest of
-    the same delivery."""
-    spark = wire.sparkSession
+def staged(wire: DataFrame, work: str) -> list[int]:
+    """Write wire text once by its column ``delivery``, each with as many files as its
+    bytes need; returns the deliveries there are, from folder names."""
     wire.write.partitionBy("delivery").text(f"{work}/staged")
-    staged = spark.read.text(f"{work}/staged")
-    for number in _delivered(staged):
-        arrived = staged.filter(F.col("delivery") == number).select("value")
-        arrived.write.mode("append").text(f"{work}/in")
-        yield number, streams.text_stream(spark, f"{work}/in")
+    return _delivered(wire.sparkSession.read.text(f"{work}/staged"))
+
+
+def hand_over(spark: SparkSession, work: str, number: int) -> None:
+    """Let a delivery arrive: its folder moves as a whole, so that a running query takes
+    all of its files as one micro-batch. One with some files only would move the
+    watermark past the rest of the delivery."""
+    Folders(spark, work).move(f"staged/delivery={number}", f"in/{number}")
+
+
+def arrivals(spark: SparkSession, work: str) -> DataFrame:
+    """A stream of what is handed over."""
+    Folders(spark, work).make("in")
+    return streams.text_stream(spark, f"{work}/in/*")
 
 
 def _delivered(staged: DataFrame) -> list[int]:
@@ -439,31 +446,57 @@ def _ordered_wire(rows: DataFrame) -> DataFrame:
     return event_log.to_wire(numbered, "delivery")
 
 
-def _arrivals(spark: SparkSession, folder: str, work: str) -> Iterator[DataFrame]:
-    for _, arrived in deliver(_ordered_wire(records(spark, folder)), work):
-        yield arrived
+def _deliver(
+    spark: SparkSession, folder: str, work: str, numbers: list[int], *starts: Start, idle_batches: bool = False
+) -> list[StreamingQuery]:
+    """Start each query once and let deliveries arrive: all queries, in the order given,
+    take one before the next one comes. A start gets the stream of arrivals and settings.
+
+    Without idle batches a delivery is measured by the watermark of the last but one;
+    where rows come late on purpose, one after each delivery moves it on.
+    """
+    arrived, how = arrivals(spark, work), {"state_partitions": _partitions(spark, folder), "idle_batches": idle_batches}
+    queries: list[StreamingQuery] = []
+    try:
+        for begin in starts:
+            started = begin(arrived, **how)
+            queries += started if isinstance(started, list) else [started]
+        for number in numbers:
+            hand_over(spark, work, number)
+            for query in queries:
+                query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    return queries
+
+
+def _clean(work: str, **options) -> Start:
+    """The mediation's clean output."""
+
+    def begin(arrived: DataFrame, **how) -> StreamingQuery:
+        return start_text_sink(
+            mediation_job.clean_stream(arrived, **options), f"{work}/clean", f"{work}/checkpoint/clean", **how
+        )
 
+    return begin
 
-def _clean_runs(spark: SparkSession, folder: str, work: str, **options) -> Iterator[StreamingQuery]:
-    """The mediation's clean output, a run a delivery; each must end before the next."""
-    partitions = _partitions(spark, folder)
-    for arrived in _arrivals(spark, folder, work):
-        yield start_text_sink(
-            mediation_job.clean_stream(arrived, **options),
-            f"{work}/clean",
-            f"{work}/checkpoint/clean",
-            once=True,
-            state_partitions=partitions,
-        )
 
+def _rating(work: str, clean: bool = True, **options) -> Start:
+    """Rating from the clean folder, whose commit log shows it whole micro-batches, or
+    from what arrives."""
 
-def _start_clean(spark: SparkSession, folder: str, work: str, **options) -> SuccessiveRuns:
-    return SuccessiveRuns(_clean_runs(spark, folder, work, **options))
+    def begin(arrived: DataFrame, **how) -> StreamingQuery:
+        spark = arrived.sparkSession
+        values = streams.text_stream(spark, f"{work}/clean", ignore_missing_files=True) if clean else arrived
+        return rating_job.start_rating(values, f"{work}/rated", f"{work}/checkpoint/rating", **how, **options)
+
+    return begin
 
 
 def _partitions(spark: SparkSession, folder: str) -> int:
-    """The state holds a delivery at most, a tenth of the input; as rows it is about
-    ten times as large as in the columns of the table."""
+    """The state holds a few deliveries at most, about the input; as rows it is some
+    times as large as in the columns of the table."""
     return state_partitions(folder_bytes(spark, f"{folder}/events.parquet"))
 
 
@@ -472,10 +505,23 @@ def _rated_rows(spark: SparkSession, path: str) -> DataFrame:
     return plain_times(table.drop("writer", "batch_id", *PERIOD_COLUMNS))
 
 
+def _records_arrive(spark: SparkSession, folder: str, work: str, *starts: Start) -> None:
+    _deliver(spark, folder, work, staged(_ordered_wire(records(spark, folder)), work), *starts)
+
+
+def _both(work: str) -> Start:
+    """One mediation job with both outputs, to folders."""
+
+    def begin(arrived: DataFrame, **how) -> list[StreamingQuery]:
+        return mediation_job.start_mediation(arrived, f"{work}/clean", f"{work}/dead-letter", f"{work}/checkpoint", **how)
+
+    return begin
+
+
 @query
 def stream_mediation_clean(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark)
-    run_to_end(_start_clean(spark, folder, work))
+    _records_arrive(spark, folder, work, _clean(work))
     return plain_times(mediation.parse_clean(spark.read.text(f"{work}/clean")))
 
 
@@ -484,17 +530,7 @@ def stream_mediation_dead_letter(spark: SparkSession, folder: str) -> DataFrame:
     """Both outputs of one mediation job; of the dead letters every field, and
     whether their text, read again, says the same."""
     work = shared_folder(spark)
-    for arrived in _arrivals(spark, folder, work):
-        run_to_end(
-            *mediation_job.start_mediation(
-                arrived,
-                f"{work}/clean",
-                f"{work}/dead-letter",
-                f"{work}/checkpoint",
-                once=True,
-                state_partitions=_partitions(spark, folder),
-            )
-        )
+    _records_arrive(spark, folder, work, _both(work))
     letters = mediation_job.dead_letters(spark.read.text(f"{work}/dead-letter"))
     again = F.from_json("raw", RAW_CDR)
     same = [
@@ -510,51 +546,30 @@ def stream_mediation_dead_letter(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
-def stream_mediation_both(spark: SparkSession, folder: str) -> DataFrame:
-    """One mediation job, its two outputs counted per service."""
-    work = shared_folder(spark)
-    for arrived in _arrivals(spark, folder, work):
-        run_to_end(
-            *mediation_job.start_mediation(
-                arrived,
-                mediation_job.text_sink(f"{work}/clean"),
-                mediation_job.text_sink(f"{work}/dead-letter"),
-                f"{work}/checkpoint",
-                once=True,
-                state_partitions=_partitions(spark, folder),
-            )
-        )
-    clean = mediation.parse_clean(spark.read.text(f"{work}/clean"))
-    dead = mediation_job.dead_letters(spark.read.text(f"{work}/dead-letter"))
+def _per_output(clean: DataFrame, dead: DataFrame) -> DataFrame:
     both = clean.select("record_type", F.lit("clean").alias("output")).union(
         dead.select("record_type", F.lit("dead letter"))
     )
     return both.groupBy("record_type", "output").agg(F.count("*").alias("records"))
 
 
-def _rate(spark: SparkSession, folder: str, work: str, values: DataFrame, **options) -> None:
-    """Rate all that arrived since the run before, as one micro-batch."""
-    run_to_end(
-        rating_job.start_rating(
-            values,
-            f"{work}/rated",
-            f"{work}/checkpoint/rating",
-            once=True,
-            state_partitions=_partitions(spark, folder),
-            **options,
-        )
+@query
+def stream_mediation_both(spark: SparkSession, folder: str) -> DataFrame:
+    """One mediation job, its two outputs counted per service."""
+    work = shared_folder(spark)
+    _records_arrive(spark, folder, work, _both(work))
+    return _per_output(
+        mediation.parse_clean(spark.read.text(f"{work}/clean")),
+        mediation_job.dead_letters(spark.read.text(f"{work}/dead-letter")),
     )
 
 
 @query
 def stream_rating(spark: SparkSession, folder: str) -> DataFrame:
-    """Mediation to a clean folder, then rating from it, a delivery at a time: the
-    clean files of one are hash parts of the same span of time and are rated together."""
+    """Mediation to a clean folder and rating from it, a delivery at a time: the clean
+    files of one are hash parts of the same span of time and are rated together."""
     work = shared_folder(spark)
-    for mediated in _clean_runs(spark, folder, work):
-        run_to_end(mediated)
-        _rate(spark, folder, work, streams.text_stream(spark, f"{work}/clean", ignore_missing_files=True))
+    _records_arrive(spark, folder, work, _clean(work), _rating(work))
     return _rated_rows(spark, f"{work}/rated")
 
 
@@ -563,45 +578,31 @@ def stream_rating_update_mode(spark: SparkSession, folder: str) -> DataFrame:
     """Accepted records straight from the table, without salts, in update mode."""
     work = shared_folder(spark)
     valid = mediation.accepted(mediation.flag_valid(records(spark, folder)))
-    for _, arrived in deliver(_ordered_wire(valid), work):
-        _rate(spark, folder, work, arrived, salts=0, output_mode="update")
+    numbers = staged(_ordered_wire(valid), work)
+    _deliver(spark, folder, work, numbers, _rating(work, clean=False, salts=0, output_mode="update"))
     return _rated_rows(spark, f"{work}/rated")
 
 
 @query
 def stream_caller_key(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark)
-    run_to_end(_start_clean(spark, folder, work, key=dedup.CALLER_KEY))
+    _records_arrive(spark, folder, work, _clean(work, key=dedup.CALLER_KEY))
     unique = mediation.parse_clean(spark.read.text(f"{work}/clean"))
     return plain_times(unique.select(*dedup.CALLER_KEY))
 
 
-def _late_deliveries(spark: SparkSession, folder: str, work: str) -> list[tuple[int, int]]:
+def _late_wire(spark: SparkSession, folder: str) -> DataFrame:
     """The month arrives in deliveries of eight days, a tenth of the records one
-    delivery late; most of those are behind the watermark by then. Each delivery is a
-    run of its own; returns its number and how many rows were dropped as late."""
+    delivery late; most of those are behind the watermark by then."""
     day = F.dayofmonth("timestamp")
     delivery = F.floor((day - 1) / 8) + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
-    rows = records(spark, folder).withColumn("delivery", delivery.cast("int"))
-    dropped = []
-    with counting_late_rows(spark) as late:
-        for number, arrived in deliver(event_log.to_wire(rows, "delivery"), work):
-            query = start_text_sink(
-                mediation_job.clean_stream(arrived),
-                f"{work}/clean",
-                f"{work}/checkpoint",
-                once=True,
-                state_partitions=_partitions(spark, folder),
-            )
-            run_to_end(query)
-            dropped.append((number, late.of(query)))
-    return dropped
+    return event_log.to_wire(records(spark, folder).withColumn("delivery", delivery.cast("int")), "delivery")
 
 
 @query
 def stream_late_data(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark)
-    _late_deliveries(spark, folder, work)
+    _deliver(spark, folder, work, staged(_late_wire(spark, folder), work), _clean(work), idle_batches=True)
     kept = mediation.parse_clean(spark.read.text(f"{work}/clean"))
     return plain_times(
         kept.withColumn("subscriber", fields.subscriber()).select(*dedup.SUBSCRIBER_KEY)
@@ -610,8 +611,14 @@ def stream_late_data(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """How many accepted records each delivery brought too late."""
-    dropped = _late_deliveries(spark, folder, shared_folder(spark))
+    """How many accepted records each delivery brought too late; a run each, as the
+    listener counts by run."""
+    work = shared_folder(spark)
+    dropped = []
+    with counting_late_rows(spark) as late:
+        for number in staged(_late_wire(spark, folder), work):
+            query = _deliver(spark, folder, work, [number], _clean(work), idle_batches=True)[0]
+            dropped.append((number, late.of(query)))
     return spark.createDataFrame(dropped, "delivery int, late_rows bigint")
 
 

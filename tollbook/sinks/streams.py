@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 PARTITIONS = "spark.sql.shuffle.partitions"
+IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 # Starting takes the session's settings along; one start at a time changes them.
 _STARTING = threading.Lock()
 
@@ -19,25 +20,32 @@ def start(
     checkpoint: str,
     once: bool = False,
     state_partitions: int | None = None,
+    idle_batches: bool = True,
     path: str | None = None,
 ) -> StreamingQuery:
     """Start a query with its own checkpoint; ``once`` stops when caught up.
 
-    Without ``state_partitions`` the session's shuffle partitions apply. The
-    query takes the session settings with it, so they can be put back at once.
+    Without ``state_partitions`` the session's shuffle partitions apply. Without
+    ``idle_batches`` old state is removed by the next batch with rows instead of by one
+    of its own; deduplication writes the same. The query takes the session settings
+    with it, so they can be put back at once.
     """
     writer = writer.option("checkpointLocation", checkpoint)
     if once:
         writer = writer.trigger(availableNow=True)
     conf = rows.sparkSession.conf
+    wanted = {IDLE_BATCHES: str(idle_batches).lower()}
+    if state_partitions:
+        wanted[PARTITIONS] = str(state_partitions)
     with _STARTING:
-        before = conf.get(PARTITIONS)
+        before = {key: conf.get(key) for key in wanted}
         try:
-            if state_partitions:
-                conf.set(PARTITIONS, state_partitions)
+            for key, value in wanted.items():
+                conf.set(key, value)
             return writer.start(path) if path else writer.start()
         finally:
-            conf.set(PARTITIONS, before)
+            for key, value in before.items():
+                conf.set(key, value)
 
 
 def start_text_sink(values: DataFrame, path: str, checkpoint: str, **run) -> StreamingQuery:

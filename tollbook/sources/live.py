@@ -75,6 +75,14 @@ class Folders:
     def remove(self, *parts: str) -> None:
         self.fs.delete(self.path(*parts), True)
 
+    def make(self, *parts: str) -> None:
+        self.fs.mkdirs(self.path(*parts))
+
+    def move(self, source: str, target: str) -> None:
+        """A file or folder as a whole."""
+        if not self.fs.rename(self.path(source), self.path(target)):
+            raise OSError(f"{source} could not be moved to {target} below {self.root}")
+
     def read(self, *parts: str) -> str:
         stream = self.fs.open(self.path(*parts))
         try:
