@@ -17,7 +17,7 @@ SUBSCRIBER_KEY = ("timestamp", "subscriber", "cell_id", "record_type")
 USAGE_KEY = ("event_time", "user_identifier", "cell_id", "record_type")
 
 
-def _key_column(name: str) -> Column:
+def key_column(name: str) -> Column:
     return fields.subscriber() if name == "subscriber" else F.col(name)
 
 
@@ -29,7 +29,7 @@ def deduplicate(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     others.
     """
     payload = [c for c in rows.columns if c not in key]
-    keys = [_key_column(name).alias(name) for name in key]
+    keys = [key_column(name).alias(name) for name in key]
     if not payload:
         return rows.select(*keys).distinct()
     survivors = rows.groupBy(*keys).agg(F.min(F.struct(*payload)).alias("payload"))
@@ -41,7 +41,7 @@ def deduplicate(rows: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def repeated(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys occurring more than once, with their number of surplus rows."""
-    keys = [_key_column(name).alias(name) for name in key]
+    keys = [key_column(name).alias(name) for name in key]
     return (
         rows.groupBy(*keys)
         .agg((F.count("*") - 1).alias("surplus"))

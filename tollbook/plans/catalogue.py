@@ -30,7 +30,7 @@ from tollbook.sources import tables as table_sources
 from tollbook.sources.live import Folders
 from tollbook.streaming import billing as billing_job
 from tollbook.streaming import mediation as mediation_job
-from tollbook.streaming import partials
+from tollbook.streaming import partials, single_pass
 from tollbook.streaming import rating as rating_job
 from tollbook.streaming.lifecycle import counting_late_rows, run_to_end
 from tollbook.tariff import BillingTerms
@@ -622,6 +622,61 @@ def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(dropped, "delivery int, late_rows bigint")
 
 
+def _single_pass(work: str) -> Start:
+    def begin(arrived: DataFrame, **how) -> StreamingQuery:
+        return single_pass.start_single_pass(arrived, f"{work}/out", f"{work}/checkpoint", **how)
+
+    return begin
+
+
+@query
+def single_pass_both(spark: SparkSession, folder: str) -> DataFrame:
+    """Mediation that reads and parses its input once, its outputs counted per service."""
+    work = shared_folder(spark)
+    _records_arrive(spark, folder, work, _single_pass(work))
+    return _per_output(
+        mediation.parse_clean(single_pass.committed(spark, f"{work}/out", "clean")),
+        mediation_job.dead_letters(single_pass.committed(spark, f"{work}/out", "dead-letter")),
+    )
+
+
+@query
+def single_pass_late_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Every accepted record of late deliveries, once if it came in time and as often as
+    it came if it was late, with the output that it went to."""
+    work = shared_folder(spark)
+    numbers = staged(_late_wire(spark, folder), work)
+    _deliver(spark, folder, work, numbers, _single_pass(work))
+    outputs = [
+        mediation.parse_clean(single_pass.committed(spark, f"{work}/out", name)).withColumn("output", F.lit(name))
+        for name in ("clean", "late")
+    ]
+    return plain_times(outputs[0].unionByName(outputs[1]).select(*CDR_COLUMNS, "output"))
+
+
+@query
+def single_pass_after_resizing(spark: SparkSession, folder: str) -> DataFrame:
+    """Late deliveries of which the first half goes through deduplication with operator
+    state in two partitions, and the rest through the single pass that takes over its
+    keys and watermark: what came out of both."""
+    work = shared_folder(spark)
+    numbers = staged(_late_wire(spark, folder), work)
+    half = len(numbers) // 2
+
+    def in_two(arrived: DataFrame, **how) -> StreamingQuery:
+        return _clean(work)(arrived, **{**how, "state_partitions": 2})
+
+    _deliver(spark, folder, work, numbers[:half], in_two, idle_batches=True)
+    single_pass.continue_from(spark, f"{work}/checkpoint/clean", f"{work}/out", f"{work}/checkpoint/new")
+    _deliver(
+        spark, folder, work, numbers[half:],
+        lambda arrived, **how: single_pass.start_single_pass(arrived, f"{work}/out", f"{work}/checkpoint/new", **how),
+    )
+    both = spark.read.text(f"{work}/clean").union(single_pass.committed(spark, f"{work}/out", "clean"))
+    kept = mediation.parse_clean(both)
+    return plain_times(kept.withColumn("subscriber", fields.subscriber()).select(*dedup.SUBSCRIBER_KEY))
+
+
 # --- sinks -----------------------------------------------------------------
 
 

@@ -462,6 +462,12 @@ select technology, case when cost is not null and volume > 0 then 'rated' else '
     as rating_status,
   count(*) as events, count(*) filter (where cost = 0) as shown_as_zero
 from costs group by all""",
+    "single_pass_late_data": f"""{steps(RECORDS, FLAGGED, DELIVERED)}
+select distinct {WIRE_COLUMNS}, 'clean' as output from delivered join highest using (delivery)
+where is_valid and (seen is null or "timestamp" > seen - interval 5 minute)
+union all
+select {WIRE_COLUMNS}, 'late' from delivered join highest using (delivery)
+where is_valid and "timestamp" <= seen - interval 5 minute""",
     "stream_late_data": f"""{steps(RECORDS, FLAGGED, DELIVERED)}
 select distinct {SUBSCRIBER_KEY} from delivered join highest using (delivery)
 where is_valid and (seen is null or "timestamp" > seen - interval 5 minute)""",
@@ -473,6 +479,8 @@ SQL |= {
     "stream_rating": SQL["rated_events"],
     "stream_rating_update_mode": SQL["rated_events"],
     "stream_caller_key": SQL["dedup_caller_key"],
+    "single_pass_both": SQL["stream_mediation_both"],
+    "single_pass_after_resizing": SQL["stream_late_data"],
     "rated_via_shuffled_rate_card": SQL["filled_and_clamped"],
     "idempotent_period_write": f"""{steps(*TO_SUMMARY)}
 select {SUMMARY_COLUMNS}, timestamp '2024-02-01 08:30:00' as generated_at from summary""",

@@ -83,6 +83,9 @@ class Folders:
         if not self.fs.rename(self.path(source), self.path(target)):
             raise OSError(f"{source} could not be moved to {target} below {self.root}")
 
+    def copy(self, source: str, other: Folders, target: str) -> None:
+        self.hadoop.FileUtil.copy(self.fs, self.path(source), other.fs, other.path(target), False, True, self.conf)
+
     def read(self, *parts: str) -> str:
         stream = self.fs.open(self.path(*parts))
         try:
