@@ -1,3 +1,6 @@
+import itertools
+import random
+
 import numpy as np
 import pytest
 
@@ -129,6 +132,25 @@ def test_components_without_a_key_of_their_own(documents):
     assert ngram_join.near_duplicates(documents()).count() == 0
 
 
+@pytest.mark.parametrize("shape", ["ascending", "shuffled", "star"])
+def test_contractions_grow_with_the_logarithm(spark, monkeypatch, shape):
+    """2,000 links in a chain or from one node, which is not the smallest."""
+    numbers = list(range(2001))
+    if shape == "shuffled":
+        random.Random(1).shuffle(numbers)
+    edges = [(1000, k) for k in numbers if k != 1000] if shape == "star" else list(itertools.pairwise(numbers))
+    made = []
+
+    def counted(*arguments, real=common._contracted):
+        made.append(1)
+        return real(*arguments)
+
+    monkeypatch.setattr(common, "_contracted", counted)
+    found = common.clusters(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert {tuple(r) for r in found} == {(k, 0) for k in range(2001)}
+    assert len(made) <= 15
+
+
 def test_clusters_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(0, 40)] + [(100, 100 + k) for k in range(1, 30)] + [(300, 299), (299, 300), (7, 7)]
     found = common.clusters(spark.createDataFrame(edges, "a long, b long")).collect()

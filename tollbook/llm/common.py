@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 
@@ -30,6 +31,22 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing will read again. Shuffle files go with the last
+    reference to what was shuffled, so that is dropped first."""
+    for table in tables:
+        for path in {file.rpartition("/")[0] for file in table.inputFiles()}:
+            place = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def released(spark: SparkSession) -> None:
+    """Let the driver notice that finished stages' shuffles are no longer referred to;
+    it does so only when it happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def reachable(spark: SparkSession) -> SparkSession:
     """Python workers started from now on find this package where the driver did."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -91,41 +108,35 @@ def lookup(rows: DataFrame, table: DataFrame, keys: list[str], weight: str) -> D
     )
 
 
-def clusters(links: DataFrame, rounds: int = 60) -> DataFrame:
+def clusters(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest node) of an undirected graph, for
     every node of ``links`` (``a``, ``b``, longs).
 
-    Each round every node takes the smallest label among itself and its
-    neighbours, and links are carried over to labels, so that a chain halves.
-    Minima are taken before the shuffle; the labels of a round are a stored table.
+    The graph is contracted until no link is left. Each time every node goes to the
+    least among itself and its neighbours, and on to where that one goes, first by their
+    numbers, which settles stars, then by hashes that are new in every round, which takes
+    at least some share of the nodes of any graph, of a chain in order as well. So rounds
+    grow with the logarithm of a chain's length. Minima are taken before the shuffle;
+    what a contraction no longer needs is deleted.
     """
     edges = stored(
         links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         "edges",
     )
-    parents = None
+    parents, contraction = None, 0
     while True:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        low = stored(low.select(F.col("a").alias("node"), F.col("low")), "low")
-        # From each node's label to the label of that label.
-        label = low.alias("x").join(low.alias("y"), F.col("x.low") == F.col("y.node"), "left").select(
-            F.col("x.node").alias("node"), F.coalesce(F.col("y.low"), F.col("x.low")).alias("low")
-        )
-        label = stored(label, "label")
+        label = _contracted(edges, contraction)
+        moved = label.select(F.col("node").alias("_n"), F.col("low").alias("_low"))
         if parents is None:
-            parents = label
+            parents, done = label, None
         else:
-            moved = label.select(F.col("node").alias("_n"), F.col("low").alias("_low"))
-            parents = stored(
-                parents.join(moved, F.col("low") == F.col("_n"), "left").select(
-                    "node", F.coalesce("_low", "low").alias("low")
-                ),
+            done, parents = parents, stored(
+                parents.join(moved, F.col("low") == F.col("_n"), "left").select("node", F.coalesce("_low", "low").alias("low")),
                 "parents",
             )
         left = label.select(F.col("node").alias("_a"), F.col("low").alias("la"))
         right = label.select(F.col("node").alias("_b"), F.col("low").alias("lb"))
-        edges = stored(
+        rest = stored(
             edges.join(left, F.col("a") == F.col("_a"))
             .join(right, F.col("b") == F.col("_b"))
             .filter("la != lb")
@@ -133,5 +144,29 @@ def clusters(links: DataFrame, rounds: int = 60) -> DataFrame:
             .distinct(),
             "edges",
         )
+        discard(edges, *(x for x in (done, label) if x is not None and x is not parents))
+        edges, contraction = rest, contraction + 1
         if edges.limit(1).count() == 0:
-            return parents.select("node", F.col("low").alias("component"))
+            discard(edges)
+            least = parents.groupBy("low").agg(F.min("node").alias("component"))
+            return parents.join(least, "low").select("node", "component")
+
+
+def _contracted(edges: DataFrame, contraction: int) -> DataFrame:
+    """``node`` and ``low``, the node that it goes to."""
+
+    def rank(column: str) -> Column:
+        by_hash = F.xxhash64(F.lit(contraction), column) if contraction % 2 else F.lit(0).cast("long")
+        return F.struct(by_hash.alias("rank"), F.col(column).alias("node"))
+
+    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.groupBy("a").agg(F.min(rank("b")).alias("near"))
+    low = F.when(F.col("near") < rank("a"), F.col("near.node")).otherwise(F.col("a"))
+    low = stored(near.select(F.col("a").alias("node"), low.alias("low")), "low")
+    # From each node's label to the label of that label.
+    label = low.alias("x").join(low.alias("y"), F.col("x.low") == F.col("y.node"), "left").select(
+        F.col("x.node").alias("node"), F.coalesce(F.col("y.low"), F.col("x.low")).alias("low")
+    )
+    label = stored(label, "label")
+    discard(low)
+    return label

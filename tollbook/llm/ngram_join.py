@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollbook.llm.common import clusters, lookup, stored, text_of, with_row
+from tollbook.llm.common import clusters, discard, lookup, released, stored, text_of, with_row
 from tollbook.llm.words import hashed_words, mix, read, span_hashes, window_hashes
 
 SHINGLE = 5
@@ -38,6 +38,8 @@ SMALL = 8
 BLOCK, REPORTED, FREQUENT, MOST_FREQUENT = 2_000_000, 4, 16, 300_000
 #: Sets that the members of an entry are compared with in the first round, and in any.
 HUBS, MOST_HUBS = 1, 256
+#: Pairs of one node that its set is sent for at a time.
+SHARED = 500
 #: Bits of a set's parities, as a power of two, and how many sets' numbers may be broadcast.
 PLACES, MOST_NEEDED = 10, 1_000_000
 
@@ -197,21 +199,53 @@ def _possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) whose sets are similar."""
+    """The pairs (``a``, ``b``) whose sets are similar.
+
+    Pairs meet at one of their nodes, the one that more pairs have in common: its set is
+    sent once for a share of its pairs and only the other node's with each pair. A node
+    with many pairs is dealt to several shares.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, own, held = None, None, [[], []]
         for batch in batches:
-            one, two = (
-                [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(k)] for k in (2, 3)
-            )
-            yield batch.select([0, 1]).filter(pa.array([similar(x, y) for x, y in zip(one, two, strict=True)], pa.bool_()))
-
-    pairs = stored(_possible(pairs, bits), "pairs")
-    sets = _sets(rows, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-    left = sets.select(F.col("node").alias("a"), F.col("set").alias("left"))
-    right = sets.select(F.col("node").alias("b"), F.col("set").alias("right"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return both.mapInArrow(run, "a long, b long")
+            hubs, shares, others = (batch.column(k).to_pylist() for k in range(3))
+            for k, (hub, share, other) in enumerate(zip(hubs, shares, others, strict=True)):
+                tokens = np.frombuffer(batch.column(3)[k].as_buffer(), np.uint64)
+                if other is None:
+                    at, own = (hub, share), tokens
+                elif (hub, share) == at and similar(own, tokens):
+                    held[0].append(max(hub, other))
+                    held[1].append(min(hub, other))
+            if len(held[0]) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in held], names=["a", "b"])
+                held = [[], []]
+        if held[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in held], names=["a", "b"])
+
+    possible = stored(_possible(pairs, bits), "pairs")
+    ends = possible.select(F.col("a").alias("node")).union(possible.select("b"))
+    degrees = ends.groupBy("node").agg(F.count("*").alias("degree"))
+    sets = _sets(rows, degrees.select("node"))
+    of_a = degrees.select(F.col("node").alias("a"), F.col("degree").alias("da"))
+    of_b = degrees.select(F.col("node").alias("b"), F.col("degree").alias("db"))
+    met = possible.join(of_a, "a").join(of_b, "b")
+    hub = F.when(F.col("da") > F.col("db"), F.col("a")).otherwise(F.col("b"))
+    met = met.select(
+        hub.alias("hub"),
+        F.when(F.col("da") > F.col("db"), F.col("b")).otherwise(F.col("a")).alias("other"),
+        F.greatest("da", "db").alias("degree"),
+    )
+    share = F.pmod(F.xxhash64("other"), F.ceil(F.col("degree") / SHARED))
+    met = stored(met.select("hub", "other", share.alias("share")), "met")
+    each = met.select("hub", "share").distinct().join(sets, F.col("hub") == F.col("node"))
+    others = met.join(sets, F.col("other") == F.col("node"))
+    null = F.lit(None).cast("long")
+    laid = each.select("hub", "share", null.alias("other"), "set").union(others.select("hub", "share", "other", "set"))
+    laid = laid.repartition("hub", "share").sortWithinPartitions("hub", "share", F.col("other").asc_nulls_first())
+    found = stored(laid.mapInArrow(run, "a long, b long"), "links")
+    discard(possible, sets, met)
+    return found
 
 
 def _links(members: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
@@ -222,9 +256,11 @@ def _links(members: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
     entry whose members are all connected. Copies of one text settle in the first
     round, however many they are. Hubs are taken from the components with the fewest
     members in the entry, so that a few strangers among many copies are soon through,
-    and each round takes four times as many as the one before.
+    and each round takes four times as many as the one before. Components grow by each
+    round's links alone, and a round's tables go when it ends.
     """
-    links, found, hubs = None, None, HUBS
+    spark = rows.sparkSession
+    found, hubs = None, HUBS
     while True:
         if found is None:
             placed = members.withColumn("component", F.col("node"))
@@ -242,9 +278,9 @@ def _links(members: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
             F.sum("components").alias("components"),
             F.collect_list(F.struct("least.hub.node", "least.hub.n", "least.component")).alias("hubs"),
         )
-        chosen = chosen.filter("components > 1").select("sig", "hubs")
-        waiting = stored(placed.join(chosen, "sig"), "waiting")
-        pairs = waiting.select("node", "n", "component", F.explode("hubs").alias("hub")).filter(
+        # The hubs are a table of their own, a row an entry, not a column of its members.
+        chosen = stored(chosen.filter("components > 1").select("sig", "hubs"), "hubs")
+        pairs = placed.join(chosen, "sig").select("node", "n", "component", F.explode("hubs").alias("hub")).filter(
             (F.col("component") != F.col("hub.component"))
             & (BELOW * F.least("n", "hub.n") >= ABOVE * F.greatest("n", "hub.n"))
         )
@@ -253,16 +289,34 @@ def _links(members: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
             F.least("node", "hub.node").alias("b"),
             (F.col("n") + F.col("hub.n")).alias("n"),
         ).distinct()
-        new = stored(_verified(pairs, rows, bits), "links")
-        links = new if links is None else links.union(new)
-        left = waiting.filter(~F.exists("hubs", lambda h: h["node"] == F.col("node")))
+        new = _verified(pairs, rows, bits)
+        waiting = members.join(chosen, "sig").filter(~F.exists("hubs", lambda h: h["node"] == F.col("node")))
+        left = stored(waiting.select("sig", "node", "n"), "left")
         alone = left.groupBy("sig").agg(F.count("*").alias("c")).filter("c > 1").select("sig")
-        members = stored(left.select("sig", "node", "n").join(alone, "sig", "left_semi"), "members")
+        rest = stored(left.join(alone, "sig", "left_semi"), "members")
+        grown = _grown(found, new)
+        discard(chosen, left, members, new, *([found] if found is not None else []))
+        members, found, hubs = rest, grown, min(4 * hubs, MOST_HUBS)
+        del placed, parts, least, pairs, waiting, alone
+        released(spark)
         if members.limit(1).count() == 0:
-            return links
-        if found is None or new.limit(1).count():
-            found = clusters(links)
-        hubs = min(4 * hubs, MOST_HUBS)
+            discard(members)
+            return found
+
+
+def _grown(found: DataFrame | None, new: DataFrame) -> DataFrame:
+    """Components (``node``, ``component``) by those found so far and new links: only
+    the components that new links meet are put together."""
+    if found is None:
+        return stored(clusters(new), "components")
+    at = found.select(F.col("node").alias("at"), F.col("component").alias("of"))
+    left = new.join(at, F.col("a") == F.col("at"), "left").select(F.coalesce("of", "a").alias("a"), "b")
+    both = left.join(at, F.col("b") == F.col("at"), "left").select("a", F.coalesce("of", "b").alias("b"))
+    met = stored(clusters(both), "met")
+    moved = met.select(F.col("node").alias("component"), F.col("component").alias("now"))
+    older = found.join(moved, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    # Nodes that were in no component; those that name one are among its nodes already.
+    return stored(older.union(met.join(found.select("node"), "node", "left_anti").select("node", "component")), "components")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -290,8 +344,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     paired = _indexed(texts, frequent, 1)
     counted = paired.groupBy("sig").agg(F.count("*").alias("c")).filter("c > 1").select("sig")
     members = stored(single.union(paired.join(counted, "sig", "left_semi")), "members")
-    links = _links(members, rows, _parities(rows, members.select("node").distinct()))
-    found = clusters(links)
+    del single, paired, counted, texts
+    released(spark)
+    bits = _parities(rows, members.select("node").distinct())
+    found = _links(members, rows, bits)
+    discard(bits)
     labelled = copies.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lows = labelled.groupBy("component").agg(F.min("low").alias("component_id"), F.min("node").alias("stands"))
     labelled = labelled.join(lows, "component").select("k1", "k2", "component_id", "stands", "rows")
