@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tollbook.session import shared_folder
+
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 ROWS_PER_TASK = 5_000_000
@@ -104,3 +106,77 @@ def _divided_join(
         "part", F.explode(F.sequence(F.lit(0), parts - 1))
     )
     return left.drop("parts").join(right.drop("parts"), [*on, "part"], how).drop("part")
+
+
+def overlapping(versions: DataFrame, on: Sequence[str], valid_from: str, valid_to: str) -> DataFrame:
+    """Versions that begin before the one before them of the same key has ended, or with
+    it, and versions without a beginning."""
+    order = Window.partitionBy(*on).orderBy(F.col(valid_from).asc_nulls_first())
+    ended = F.lag(valid_to).over(order)
+    again = F.lag(valid_from).over(order)
+    looked = versions.withColumns({"_ended": ended, "_again": again, "_place": F.row_number().over(order)})
+    return looked.filter(
+        F.col(valid_from).isNull()
+        | ((F.col("_place") > 1) & ((F.col("_again") == F.col(valid_from)) | (F.col("_ended") > F.col(valid_from))))
+    ).drop("_ended", "_again", "_place")
+
+
+def as_of_join(
+    rows: DataFrame,
+    versions: DataFrame,
+    on: Sequence[str],
+    time: str,
+    valid_from: str = "valid_from",
+    valid_to: str = "valid_to",
+    blocks: int | None = None,
+) -> DataFrame:
+    """Each row with the version of its key that is valid at its time: from ``valid_from``
+    on, up to but without ``valid_to``, or to the next version where that is NULL. Rows
+    without a valid version, in a gap or with a NULL in key or time, have NULLs.
+
+    Rows and versions are sorted together and each row takes the last version before it;
+    no row meets more than one version. The order is cut into ranges of about as many
+    rows, so a key with very many is spread over ranges, each of which starts with the
+    version that the key's ranges before it ended with. The ranges are stored, as drawing
+    them again could draw them elsewhere. There are as many as shuffle partitions, or
+    ``blocks``. Versions of a key must not overlap.
+    """
+    spark = rows.sparkSession
+    if not overlapping(versions, on, valid_from, valid_to).isEmpty():
+        raise ValueError("versions of a key overlap, or one has no beginning")
+    added = [c for c in versions.columns if c not in on]
+    version = F.struct(*[F.col(c) for c in added])
+    kind = versions.select(version.alias("v")).schema["v"].dataType
+    row = F.struct(*[F.col(c) for c in rows.columns])
+    row_kind = rows.select(row.alias("r")).schema["r"].dataType
+    keys = [f"_k{k}" for k in range(len(on))]
+    whole = reduce(and_, [F.col(c).isNotNull() for c in (*on, time)])
+    spread = F.xxhash64(*[F.col(c).cast("string") for c in rows.columns])
+    union = rows.filter(whole).select(
+        *[F.col(c).alias(k) for c, k in zip(on, keys, strict=True)], F.col(time).alias("_at"), F.lit(1).alias("_is_row"),
+        spread.alias("_spread"), row.alias("_row"), F.lit(None).cast(kind).alias("_version"),
+    ).union(
+        versions.dropna(subset=list(on)).select(
+            *[F.col(c).alias(k) for c, k in zip(on, keys, strict=True)], F.col(valid_from).alias("_at"), F.lit(0).alias("_is_row"),
+            F.lit(0).cast("long").alias("_spread"), F.lit(None).cast(row_kind).alias("_row"), version.alias("_version"),
+        )
+    )
+    order = ["_at", "_is_row", "_spread"]
+    ranged = union.repartitionByRange(*([blocks] if blocks else []), *keys, *order).withColumn("_block", F.spark_partition_id())
+    path = f"{shared_folder(spark)}/as-of"
+    ranged.write.parquet(path)
+    placed = spark.read.schema(ranged.schema).parquet(path)
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    # At most one row per key and range, whatever the rows.
+    ends = placed.groupBy(*keys, "_block").agg(F.max_by("_version", F.when(F.col("_is_row") == 0, F.col("_at"))).alias("_end"))
+    carried = ends.select(*keys, "_block", F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    running = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = placed.withColumn("_running", F.last("_version", ignorenulls=True).over(running))
+    found = within.join(carried, [*keys, "_block"]).filter("_is_row = 1")
+    last = F.coalesce("_running", "_carried")
+    valid = last[valid_to].isNull() | (F.col("_at") < last[valid_to])
+    joined = found.withColumn("_version", F.when(valid, last)).select(
+        *[F.col("_row")[c].alias(c) for c in rows.columns], *[F.col("_version")[c].alias(c) for c in added]
+    )
+    nulls = [F.lit(None).cast(field.dataType).alias(field.name) for field in kind.fields]
+    return joined.union(rows.filter(~whole).select("*", *nulls))

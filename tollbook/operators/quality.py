@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tollbook.functions import fields, validity
@@ -72,8 +72,8 @@ def _fits(column: str, decimal_type) -> Column:
     return F.col(column).isNull() | F.col(column).try_cast(decimal_type).isNotNull()
 
 
-def constraint_report(rows: DataFrame, table: str) -> DataFrame:
-    """Violations of each declared constraint of a table, zero lines included."""
+def row_rules(table: str) -> dict[str, Column]:
+    """The declared constraints that a row alone can break, and when it does."""
     broken: dict[str, Column] = {
         f"{c} not null": F.col(c).isNull() for c in REQUIRED[table]
     }
@@ -86,7 +86,12 @@ def constraint_report(rows: DataFrame, table: str) -> DataFrame:
     if table == "invoices":
         broken["total_cost not negative"] = F.col("total_cost") < 0
         broken["total_cost fits its column"] = ~_fits("total_cost", COST)
-    counts = {rule: F.count_if(condition) for rule, condition in broken.items()}
+    return broken
+
+
+def constraint_report(rows: DataFrame, table: str) -> DataFrame:
+    """Violations of each declared constraint of a table, zero lines included."""
+    counts = {rule: F.count_if(condition) for rule, condition in row_rules(table).items()}
     surplus = dedup.repeated(rows, PRIMARY_KEY[table]).agg(
         F.coalesce(F.sum("surplus"), F.lit(0)).cast("bigint").alias("violations")
     )
@@ -96,6 +101,20 @@ def constraint_report(rows: DataFrame, table: str) -> DataFrame:
     return report.select(F.lit(table).alias("table_name"), "rule", "violations")
 
 
+def counted_on_the_way(rows: DataFrame, table: str) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The rows, and the violations of each constraint that a row alone can break, which
+    are counted by whatever writes the rows; ask for them when that is done."""
+    rules = row_rules(table)
+    told = Observation()
+    watched = rows.observe(told, *[F.count_if(broken).alias(f"c{k}") for k, broken in enumerate(rules.values())])
+    return watched, lambda: {rule: told.get[f"c{k}"] for k, rule in enumerate(rules)}
+
+
+def ledger_report(ledger: DataFrame) -> DataFrame:
+    """The constraint report of all batches in a quality ledger, without a look at them."""
+    return ledger.groupBy("table_name", "rule").agg(F.sum("violations").alias("violations"))
+
+
 def orphans(items: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Keys without a parent row, with the number of items pointing at them.
 

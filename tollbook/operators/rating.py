@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollbook.functions import fields, pricing
-from tollbook.operators.joins import BROADCAST_ROWS, lookup_join
+from tollbook.operators.joins import BROADCAST_ROWS, as_of_join, lookup_join
 from tollbook.schemas import RATED_COLUMNS, USAGE_COLUMNS, VOLUME
 from tollbook.tariff import DEFAULT_TARIFF, Tariff
 
@@ -61,6 +61,13 @@ def rate_card(spark: SparkSession, tariff: Tariff = DEFAULT_TARIFF) -> DataFrame
     return spark.createDataFrame(lines, RATE_CARD)
 
 
+def _chosen_price() -> Column:
+    above = F.col("data_volume_mb") > F.col("threshold_mb")
+    return F.when((F.col("record_type") == "data") & above, F.col("price_above")).otherwise(
+        F.col("price")
+    )
+
+
 def price_by_card(
     usage: DataFrame,
     card: DataFrame,
@@ -74,10 +81,23 @@ def price_by_card(
     keyed = usage.withColumn("rate_key", rate_key(tariff))
     spread = F.xxhash64(*USAGE_COLUMNS)
     priced = lookup_join(keyed, card, ["rate_key"], spread, max_rows=max_broadcast_rows)
-    above = F.col("data_volume_mb") > F.col("threshold_mb")
-    chosen = F.when((F.col("record_type") == "data") & above, F.col("price_above")).otherwise(
-        F.col("price")
+    chosen = _chosen_price()
+    return (
+        priced.withColumn("cost", pricing.charge(chosen))
+        .withColumn("rating_status", pricing.rating_status(chosen))
+        .select(*RATED_COLUMNS)
     )
+
+
+def price_by_dated_card(
+    usage: DataFrame, card: DataFrame, tariff: Tariff = DEFAULT_TARIFF, blocks: int | None = None
+) -> DataFrame:
+    """Prices from a rate card whose lines hold from ``valid_from`` to before
+    ``valid_to``: an event is priced by the line of its time. One without such a line has
+    no cost and is unrated, and the load filter drops and counts it."""
+    keyed = usage.withColumn("rate_key", rate_key(tariff))
+    priced = as_of_join(keyed, card, ["rate_key"], "event_time", blocks=blocks)
+    chosen = _chosen_price()
     return (
         priced.withColumn("cost", pricing.charge(chosen))
         .withColumn("rating_status", pricing.rating_status(chosen))

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tollbook import jobs
 from tollbook.functions import fields, pricing, validity
-from tollbook.operators import billing, dedup, invoicing, mediation, quality, rating
+from tollbook.operators import billing, dedup, invoicing, joins, lateness, mediation, quality, rating
 from tollbook.plans import chains, event_log
 from tollbook.schemas import (
     CDR_COLUMNS,
@@ -756,6 +756,20 @@ def compacted_rated_events(spark: SparkSession, folder: str) -> DataFrame:
     return _rated_rows(spark, path)
 
 
+@query
+def quality_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Priced records that were neither validated nor sanitized, written in three batches
+    of which one is written again: the constraint report that the ledger adds up to."""
+    work = shared_folder(spark)
+    unchecked = rating.price(rating.to_usage(records(spark, folder)))
+    unchecked.withColumn("event_id", fields.event_key()).write.parquet(f"{work}/unchecked")
+    keyed = spark.read.parquet(f"{work}/unchecked")
+    part = F.coalesce(F.dayofmonth("event_time") % 3, F.lit(0))
+    for number in (0, 1, 2, 1):
+        table_sinks.write_batch(keyed.filter(part == number), f"{work}/rated", "load", number, f"{work}/ledger")
+    return quality.ledger_report(table_sinks.quality_ledger(spark, f"{work}/ledger"))
+
+
 @query
 def invoice_document_files(spark: SparkSession, folder: str) -> DataFrame:
     documents = chains.billing_summary(records(spark, folder))
@@ -765,3 +779,89 @@ def invoice_document_files(spark: SparkSession, folder: str) -> DataFrame:
         "final_cost_MAD double, original_cost double, adjusted_cost double, discounted_cost double"
     )
     return spark.read.schema(layout).json(path)
+
+
+# --- time ------------------------------------------------------------------
+
+
+@query
+def lost_by_delay(spark: SparkSession, folder: str) -> DataFrame:
+    """Of accepted records that come in deliveries, a tenth of them one delivery late: how
+    many each delay would lose per service, counted, and whether the merged sketches of
+    all deliveries say so within their error."""
+    day = F.dayofmonth("timestamp")
+    delivery = F.floor((day - 1) / 8) + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    accepted = mediation.accepted(mediation.flag_valid(records(spark, folder)))
+    late = lateness.late_by(accepted.withColumn("delivery", delivery.cast("int")), "record_type", "delivery", "timestamp")
+    hours = (1, 24, 96, 168)
+    delays = [h * 3_600_000_000 for h in hours]
+    told = lateness.delay_report(lateness.sketches(late, "record_type", "delivery"), "record_type", delays)
+    counted = late.groupBy("record_type").agg(
+        F.count("*").alias("accepted"), *[F.count_if(F.col("late_by") >= d).alias(f"lost_{h}") for d, h in zip(delays, hours, strict=True)]
+    )
+    pairs = ", ".join(f"{d}L, {h}, lost_{h}" for d, h in zip(delays, hours, strict=True))
+    exact = counted.selectExpr("record_type", "accepted", f"stack({len(hours)}, {pairs}) as (delay, hours, lost)")
+    share = F.col("lost") / F.col("accepted")
+    return exact.join(told, ["record_type", "delay"]).select(
+        "record_type",
+        "hours",
+        "accepted",
+        "lost",
+        (F.abs(F.col("share_lost") - share) <= 2 * lateness.ERROR).alias("sketch_agrees"),
+    )
+
+
+# Rate lines with dates: one that changes, one with a gap, one that begins late, one that ends.
+DATED_CARD = (
+    ("voice/peak", "2024-01-01", None, "0.0150"),
+    ("voice/base", "2024-01-01", "2024-01-11", "0.0100"),
+    ("voice/base", "2024-01-11", None, "0.0120"),
+    ("sms/flat", "2024-01-01", "2024-01-08", "0.0500"),
+    ("sms/flat", "2024-01-10", "2024-01-20 12:00:00", "0.0600"),
+    ("data/3G", "2024-01-05", None, "0.0800"),
+    ("data/4G", "2024-01-01", "2024-01-25", "0.1000"),
+    ("data/5G", "2024-01-01", None, "0.1200"),
+)
+
+
+def dated_card(spark: SparkSession) -> DataFrame:
+    rows = [(*line, 1000.0, None) for line in DATED_CARD]
+    card = spark.createDataFrame(rows, "rate_key string, begins string, ends string, rate string, threshold_mb double, none string")
+    price = F.col("rate").cast("decimal(12,8)")
+    return card.select(
+        "rate_key",
+        F.to_timestamp("begins").alias("valid_from"),
+        F.to_timestamp("ends").alias("valid_to"),
+        price.alias("price"),
+        "threshold_mb",
+        (price * F.lit(0.85).cast("decimal(3,2)")).cast("decimal(12,8)").alias("price_above"),
+    )
+
+
+@query
+def dated_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every accepted record, copies too, with the rate line of its time, if there is one."""
+    usage = rating.to_usage(mediation.accepted(mediation.flag_valid(records(spark, folder))))
+    keyed = usage.withColumn("rate_key", rating.rate_key())
+    found = joins.as_of_join(keyed, dated_card(spark), ["rate_key"], "event_time")
+    return plain_times(
+        found.select("event_time", "user_identifier", "rate_key", "valid_from", F.col("price").cast("decimal(10,4)").alias("price"))
+    )
+
+
+@query
+def balanced_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The rated events cut in eight by their duration, which is 0 for many: the rows of
+    all parts, and whether none has more than twice a fair share."""
+    loaded = stored_rated(spark, folder).withColumn("spread", F.xxhash64("event_id") % 1_000_000)
+    conditions = table_sources.balanced_predicates(loaded, "duration_sec", 8, "spread")
+    parts = loaded.agg(*[F.count_if(F.expr(c)).alias(f"p{k}") for k, c in enumerate(conditions)])
+    counts = F.array(*parts.columns)
+    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, b: a + b)
+    return parts.select(total.alias("events"), (F.array_max(counts) * 8 <= total * 2).alias("balanced"))
+
+
+@query
+def service_pivot_today(spark: SparkSession, folder: str) -> DataFrame:
+    """The pivot with the date that it takes where none is given."""
+    return billing.service_pivot(rated(spark, folder))

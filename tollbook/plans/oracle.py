@@ -473,6 +473,47 @@ select distinct {SUBSCRIBER_KEY} from delivered join highest using (delivery)
 where is_valid and (seen is null or "timestamp" > seen - interval 5 minute)""",
 }
 
+SQL |= {
+    "quality_ledger": f"""
+{steps(RECORDS, usage("use", "cdr", "true"), priced("unchecked", "use"),
+       f" keyed as (select *, {EVENT_KEY} as event_id from unchecked)")}
+select table_name, rule, violations from (
+{union(constraint_lines("rated_events", "keyed", EVENT_RULES, "event_id"))})
+where rule <> 'primary key unique'""",
+    "lost_by_delay": f"""{steps(RECORDS, FLAGGED, DELIVERED)},
+tops as (select record_type, delivery, max("timestamp") as top from delivered where is_valid group by all),
+behind as (
+  select d.record_type, d.delivery,
+    epoch_us((select max(top) from tops t where t.record_type = d.record_type and t.delivery < d.delivery))
+      - epoch_us(d."timestamp") as late_by
+  from delivered d where d.is_valid)
+select record_type, hours, count(*) as accepted,
+  count(*) filter (where late_by >= hours * 3600000000) as lost, true as sketch_agrees
+from behind, (values (1), (24), (96), (168)) as delays(hours) group by all""",
+    "dated_rates": f"""{steps(RECORDS, FLAGGED)},
+card(rate_key, valid_from, valid_to, price) as (values
+  ('voice/peak', timestamp '2024-01-01', null, 0.0150),
+  ('voice/base', timestamp '2024-01-01', timestamp '2024-01-11', 0.0100),
+  ('voice/base', timestamp '2024-01-11', null, 0.0120),
+  ('sms/flat', timestamp '2024-01-01', timestamp '2024-01-08', 0.0500),
+  ('sms/flat', timestamp '2024-01-10', timestamp '2024-01-20 12:00:00', 0.0600),
+  ('data/3G', timestamp '2024-01-05', null, 0.0800),
+  ('data/4G', timestamp '2024-01-01', timestamp '2024-01-25', 0.1000),
+  ('data/5G', timestamp '2024-01-01', null, 0.1200)),
+keyed as (
+  select "timestamp" as event_time, coalesce(caller_id, sender_id, user_id) as user_identifier,
+    case record_type
+      when 'voice' then case when extract(hour from "timestamp") between 8 and 11
+        or extract(hour from "timestamp") between 17 and 19 then 'voice/peak' else 'voice/base' end
+      when 'sms' then 'sms/flat' when 'data' then 'data/' || technology end as rate_key
+  from flagged where is_valid)
+select k.event_time, k.user_identifier, k.rate_key, c.valid_from, cast(c.price as decimal(10, 4)) as price
+from keyed k left join card c on c.rate_key = k.rate_key and k.event_time >= c.valid_from
+  and (c.valid_to is null or k.event_time < c.valid_to)""",
+    "balanced_split": f"""{steps(*TO_RATED)} select count(*) as events, true as balanced from rated""",
+    "service_pivot_today": SQL["service_pivot"].replace("date '2024-02-01' as invoice_date", "current_date as invoice_date"),
+}
+
 # Deliveries in the order of time leave nothing late, and a sink changes no values.
 SQL |= {
     "stream_mediation_clean": SQL["cdr_clean"],

@@ -6,10 +6,10 @@ import math
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollbook.operators import billing, rating
+from tollbook.operators import billing, quality, rating
 from tollbook.schemas import PERIOD_COLUMNS
 from tollbook.sources import live
 
@@ -48,10 +48,15 @@ def write_rated(rated: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
-def write_batch(rated: DataFrame, path: str, writer: str, batch_id: int) -> None:
+def write_batch(
+    rated: DataFrame, path: str, writer: str, batch_id: int, ledger_path: str | None = None
+) -> None:
     """Sanitized events of one batch, each period's below that period: a reader of
     some periods lists their folders alone. The batch replaces its own folders, those
-    of periods that it no longer has as well, and its rows in compacted files."""
+    of periods that it no longer has as well, and its rows in compacted files.
+
+    With a ledger, violations of declared constraints are counted by the tasks that
+    write the rows, and the batch's line in the ledger replaces the one it had."""
     spark = rated.sparkSession
     owned = with_period(rated).withColumns(
         {"writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("bigint")}
@@ -66,20 +71,36 @@ def write_batch(rated: DataFrame, path: str, writer: str, batch_id: int) -> None
     if before:
         now = {tuple(row) for row in owned.select(*PERIOD_COLUMNS).distinct().collect()}
         gone = [place for period, place in before.items() if period not in now]
-    sized_for_write(owned).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*PERIOD_COLUMNS, "writer", "batch_id").parquet(path)
+    sized, violations = sized_for_write(owned), None
+    if ledger_path:
+        sized, violations = quality.counted_on_the_way(sized, "rated_events")
+    sized.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *PERIOD_COLUMNS, "writer", "batch_id"
+    ).parquet(path)
+    if violations:
+        lines = [("rated_events", rule, count, writer, batch_id) for rule, count in violations().items()]
+        spark.createDataFrame(lines, LEDGER).coalesce(1).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("writer", "batch_id").parquet(ledger_path)
     live.hide_rewritten(spark, path, (writer, batch_id))
     for place in gone if before else []:
         folders.remove(place)
 
 
+LEDGER = "table_name string, rule string, violations bigint, writer string, batch_id bigint"
+
+
+def quality_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """What each batch was found to violate when it was written."""
+    return spark.read.schema(LEDGER).parquet(ledger_path)
+
+
 def batch_folder(path: str, writer: str, batch_id: int) -> str:
     return f"{path}/writer={writer}/batch_id={batch_id}"
 
 
 def rated_batch_writer(
-    path: str, writer: str, report_path: str | None = None
+    path: str, writer: str, report_path: str | None = None, ledger_path: str | None = None
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that loads priced events into a table.
 
@@ -99,7 +120,7 @@ def rated_batch_writer(
             events = rating.sanitize(batch)
             if events.isEmpty():
                 return
-            write_batch(events, path, writer, batch_id)
+            write_batch(events, path, writer, batch_id, ledger_path)
         finally:
             batch.unpersist()
 

@@ -17,7 +17,8 @@ from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
-Period = tuple[int, int]
+#: Year and month; None where an event has no time.
+Period = tuple[int | None, int | None]
 Batch = tuple[str, int]
 
 
@@ -121,12 +122,24 @@ def of_name(name: str) -> str:
     return unquote(name.partition("=")[2])
 
 
+#: What Spark names the folder of a null (fixed value).
+OF_NULL = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _shown(number: int | None) -> str:
+    return OF_NULL if number is None else str(number)
+
+
+def _number(text: str) -> int | None:
+    return None if text == OF_NULL else int(text)
+
+
 def period_name(period: Period) -> str:
-    return f"billing_year={period[0]}/billing_month={period[1]}"
+    return f"billing_year={_shown(period[0])}/billing_month={_shown(period[1])}"
 
 
 def list_folder(period: Period) -> str:
-    return f"_lists/{period[0]}-{period[1]}"
+    return f"_lists/{_shown(period[0])}-{_shown(period[1])}"
 
 
 def compacted_folder(period: Period, generation: int) -> str:
@@ -162,14 +175,18 @@ def commit(folders: Folders, period: Period, new: LiveList) -> LiveList:
 def periods_of(folders: Folders) -> list[Period]:
     """Periods with batch folders or a list."""
     found = {
-        (int(of_name(year)), int(of_name(month)))
+        (_number(of_name(year)), _number(of_name(month)))
         for year in folders.names()
         if year.startswith("billing_year=")
         for month in folders.names(year)
         if month.startswith("billing_month=")
     }
-    listed = {tuple(map(int, name.split("-"))) for name in folders.names("_lists")}
-    return sorted(found | listed)
+    listed = {tuple(map(_number, name.split("-"))) for name in folders.names("_lists")}
+    return in_order(found | listed)
+
+
+def in_order(periods: Iterable[Period]) -> list[Period]:
+    return sorted(set(periods), key=lambda period: [-1 if x is None else x for x in period])
 
 
 def batches_of(folders: Folders, period: Period) -> dict[Batch, str]:
@@ -211,4 +228,4 @@ def hide_rewritten(spark: SparkSession, path: str, batch: Batch, tries: int = 5)
 
 
 def wanted_periods(folders: Folders, periods: Iterable[Period] | None) -> list[Period]:
-    return periods_of(folders) if periods is None else sorted(set(periods))
+    return periods_of(folders) if periods is None else in_order(periods)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections import Counter
+from collections.abc import Callable, Iterable
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,7 +55,7 @@ def _listed(spark: SparkSession, folders: live.Folders, periods: list[tuple[int,
         files = spark.read.schema(RATED_TABLE_ON_DISK).option("basePath", base)
         rows = files.parquet(*[f"{folders.root}/{place}" for place in compacted])
         for year, month, writer, batch_id in hidden:
-            same = (F.col("billing_year") == year) & (F.col("billing_month") == month)
+            same = F.col("billing_year").eqNullSafe(F.lit(year)) & F.col("billing_month").eqNullSafe(F.lit(month))
             rows = rows.filter(~(same & (F.col("writer") == writer) & (F.col("batch_id") == batch_id)))
         parts.append(rows.select(*parts[0].columns))
     return reduce(DataFrame.unionByName, parts)
@@ -108,6 +110,78 @@ def jdbc_options(
     return options
 
 
+def balanced_predicates(
+    keys: DataFrame, column: str, parts: int, spread: str | None = None, accuracy: int = 10_000
+) -> list[str]:
+    """SQL conditions that cut a table into parts of about as many rows each, from the
+    quantiles of a numeric, date or timestamp column, read once. Each row meets exactly
+    one; a part is off by two parts in ``accuracy`` of all rows at most.
+
+    A value, or NULL, that fills more than a part is taken out, and divided by the
+    remainders of ``spread``, an integer column, where one is given.
+    """
+    shares = [k / parts for k in range(1, parts)]
+    found = keys.agg(
+        F.percentile_approx(column, shares, accuracy).alias("cuts") if shares else F.lit(None).alias("cuts"),
+        F.count("*").alias("rows"),
+        F.count_if(F.col(column).isNull()).alias("nulls"),
+    ).first()
+    times = Counter(found["cuts"] or [])
+    empty_parts = round(parts * found["nulls"] / found["rows"]) if found["rows"] else 0
+    out: list[str] = []
+    lower = None
+    for value in sorted(times):
+        shown = _literal(value)
+        if times[value] > 1:
+            out.append(" AND ".join([*([lower] if lower else []), f"{column} < {shown}"]))
+            out += _divided(f"{column} = {shown}", times[value], spread)
+            lower = f"{column} > {shown}"
+        else:
+            out.append(" AND ".join([*([lower] if lower else []), f"{column} < {shown}"]))
+            lower = f"{column} >= {shown}"
+    out.append(lower or f"{column} IS NOT NULL")
+    missing = f"{column} IS NULL"
+    return [*out, *_divided(missing, max(1, empty_parts), spread)]
+
+
+def _divided(condition: str, parts: int, spread: str | None) -> list[str]:
+    if not spread or parts < 2:
+        return [condition]
+    rest = f"MOD(ABS({spread}), {parts})"
+    return [f"{condition} AND ({rest} = {k}{f' OR {spread} IS NULL' if k == 0 else ''})" for k in range(parts)]
+
+
+def _literal(value) -> str:
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value:%Y-%m-%d %H:%M:%S.%f}'"
+    if isinstance(value, date):
+        return f"DATE '{value:%Y-%m-%d}'"
+    return repr(value) if isinstance(value, float) else str(value)
+
+
+def jdbc_reader(spark: SparkSession, options: dict[str, str], predicates: list[str] | None = None) -> DataFrame:
+    """A table of a database, a task for each predicate."""
+    if predicates is None:
+        return spark.read.format("jdbc").options(**options).load()
+    rest = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=predicates, properties=rest)
+
+
+def balanced_jdbc_events(
+    spark: SparkSession,
+    options: dict[str, str],
+    column: str,
+    parts: int,
+    spread: str | None = None,
+    read: Callable[..., DataFrame] = jdbc_reader,
+) -> DataFrame:
+    """The rated-events table of a database in parts of about as many rows, however its
+    column is distributed: a first pass reads the column alone."""
+    wanted = ", ".join([column, *([spread] if spread else [])])
+    keys = read(spark, {**options, "dbtable": f"(SELECT {wanted} FROM {options['dbtable']}) keys"})
+    return read(spark, options, balanced_predicates(keys, column, parts, spread))
+
+
 def jdbc_rated_events(
     spark: SparkSession, options: dict[str, str], only_rated: bool = False
 ) -> DataFrame:
