@@ -206,3 +206,17 @@ def test_vectors_without_a_key_of_their_own(spark):
         ("3", 2, "3"), ("3", 2, "3"), ("4", 0, "4"), ("5", 0, "5"), ("None", 0, "None"), ("None", 2, "3"),
     ]
     assert vector_join.near_vectors(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_parities_never_overstate_a_difference():
+    """Of sets of any sizes, long ones too, and they show that long ones are far apart."""
+    rng = np.random.default_rng(4)
+    for size in (1, 5, 700, 1024, 1500, 20_000):
+        one = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+        for share in (0.0, 0.1, 0.9, 1.0):
+            other = np.unique(np.append(one[rng.random(len(one)) >= share], rng.integers(0, 1 << 63, int(size * share * 1.3)).astype(np.uint64)))
+            differ = len(np.setxor1d(one, other))
+            least = ngram_join.least_difference(ngram_join.parities(one), ngram_join.parities(other))
+            assert least <= differ and (share > 0 or least == 0)
+            if share == 1.0 and size >= 700:
+                assert 7 * least > len(one) + len(other)

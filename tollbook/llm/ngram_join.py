@@ -40,8 +40,8 @@ BLOCK, REPORTED, FREQUENT, MOST_FREQUENT = 2_000_000, 4, 16, 300_000
 HUBS, MOST_HUBS = 1, 256
 #: Pairs of one node that its set is sent for at a time.
 SHARED = 500
-#: Bits of a set's parities, as a power of two, and how many sets' numbers may be broadcast.
-PLACES, MOST_NEEDED = 10, 1_000_000
+#: Places of a set's parities at least, and how many sets' numbers may be broadcast.
+LEAST_PLACES, MOST_NEEDED = 1024, 1_000_000
 
 
 def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -147,10 +147,23 @@ def _indexed(texts: DataFrame, frequent, which: int) -> DataFrame:
 
 
 def parities(tokens: np.ndarray) -> np.ndarray:
-    """Two to the PLACES bits: of the shingles that fall to each, whether they are odd in number."""
-    place = (mix(tokens + np.uint64(0x5851F42D4C957F2D)) >> np.uint64(64 - PLACES)).astype(np.int64)
-    odd = (np.bincount(place, minlength=1 << PLACES) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64)
+    """Of the shingles that fall to each of some places, whether they are odd in number,
+    as bits in longs. A power of two of places, as many as shingles at least, as fewer
+    could not show that two large sets differ in a seventh of their shingles."""
+    places = max(LEAST_PLACES, 1 << (max(1, len(tokens)) - 1).bit_length())
+    place = (mix(tokens + np.uint64(0x5851F42D4C957F2D)) & np.uint64(places - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=places) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.uint64)
+
+
+def least_difference(left: np.ndarray, right: np.ndarray) -> int:
+    """In how many shingles two sets differ at least, by their parities: the one with
+    more places is folded until both have the same."""
+    while len(left) > len(right):
+        left = left[: len(left) // 2] ^ left[len(left) // 2 :]
+    while len(right) > len(left):
+        right = right[: len(right) // 2] ^ right[len(right) // 2 :]
+    return int(np.bitwise_count(left ^ right).sum())
 
 
 def _texts_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -165,10 +178,10 @@ def _texts_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 def _parities(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, raw in read(batches):
-            bits = pa.array([parities(s) for s in sets_of(raw)], pa.list_(pa.int64()))
+            bits = pa.array([parities(s).tobytes() for s in sets_of(raw)], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), bits], names=["node", "bits"])
 
-    return stored(_texts_of(rows, nodes).mapInArrow(run, "node long, bits array<long>"), "parities")
+    return stored(_texts_of(rows, nodes).mapInArrow(run, "node long, bits binary"), "parities")
 
 
 def _sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -189,13 +202,18 @@ def _possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``, their sizes' sum ``n``) that parities allow: sets differ
     in at least as many shingles as parities differ, and similar ones in at most a
     seventh of their sizes' sum."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = ([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(k)] for k in (3, 4))
+            differ = np.array([least_difference(x, y) for x, y in zip(*both, strict=True)], np.int64)
+            allowed = (BELOW + ABOVE) * differ <= (BELOW - ABOVE) * batch.column(2).to_numpy()
+            yield batch.select([0, 1]).filter(pa.array(allowed))
+
     left = bits.select(F.col("node").alias("a"), F.col("bits").alias("left"))
     right = bits.select(F.col("node").alias("b"), F.col("bits").alias("right"))
-    differ = F.aggregate(
-        F.zip_with("left", "right", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
-    )
-    most = (BELOW - ABOVE) * F.col("n") / (BELOW + ABOVE)
-    return pairs.join(left, "a").join(right, "b").filter(differ <= most).select("a", "b")
+    both = pairs.select("a", "b", F.col("n").cast("long").alias("n")).join(left, "a").join(right, "b")
+    return both.select("a", "b", "n", "left", "right").mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
