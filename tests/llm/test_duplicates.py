@@ -216,7 +216,7 @@ def test_parities_never_overstate_a_difference():
         for share in (0.0, 0.1, 0.9, 1.0):
             other = np.unique(np.append(one[rng.random(len(one)) >= share], rng.integers(0, 1 << 63, int(size * share * 1.3)).astype(np.uint64)))
             differ = len(np.setxor1d(one, other))
-            least = ngram_join.least_difference(ngram_join.parities(one), ngram_join.parities(other))
+            least = ngram_join.least_difference(ngram_join.wide_parities(one), ngram_join.wide_parities(other))
             assert least <= differ and (share > 0 or least == 0)
             if share == 1.0 and size >= 700:
                 assert 7 * least > len(one) + len(other)

@@ -146,16 +146,20 @@ def _indexed(texts: DataFrame, frequent, which: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "sig long, node long, n int")
 
 
-def parities(tokens: np.ndarray) -> np.ndarray:
+def parities(tokens: np.ndarray, places: int = LEAST_PLACES) -> np.ndarray:
     """Of the shingles that fall to each of some places, whether they are odd in number,
-    as bits in longs. A power of two of places, as many as shingles at least, as fewer
-    could not show that two large sets differ in a seventh of their shingles."""
-    places = max(LEAST_PLACES, 1 << (max(1, len(tokens)) - 1).bit_length())
+    as bits in longs. Places are a power of two."""
     place = (mix(tokens + np.uint64(0x5851F42D4C957F2D)) & np.uint64(places - 1)).astype(np.int64)
     odd = (np.bincount(place, minlength=places) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.uint64)
 
 
+def wide_parities(tokens: np.ndarray) -> np.ndarray:
+    """Parities with as many places as shingles at least: fewer could not show that two
+    large sets differ in a seventh of their shingles."""
+    return parities(tokens, max(LEAST_PLACES, 1 << (max(1, len(tokens)) - 1).bit_length()))
+
+
 def least_difference(left: np.ndarray, right: np.ndarray) -> int:
     """In how many shingles two sets differ at least, by their parities: the one with
     more places is folded until both have the same."""
@@ -178,7 +182,7 @@ def _texts_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 def _parities(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, raw in read(batches):
-            bits = pa.array([parities(s).tobytes() for s in sets_of(raw)], pa.binary())
+            bits = pa.array([wide_parities(s).tobytes() for s in sets_of(raw)], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), bits], names=["node", "bits"])
 
     return stored(_texts_of(rows, nodes).mapInArrow(run, "node long, bits binary"), "parities")
