@@ -133,5 +133,21 @@ def test_scores_of_awkward_texts(spark, documents):
     assert quality_model.score(documents(), empty).count() == 0
 
 
+def test_training_is_repeatable(spark, documents):
+    """Repeated numbers, labels that disagree and near copies, in any order."""
+    rng = brute.rng(9)
+    texts = [brute.prose(rng, 60) + (" awful nasty" if k % 4 == 0 else "") for k in range(120)]
+    rows = [(k % 90, t) for k, t in enumerate(texts)] + [(k % 50, t + " more") for k, t in enumerate(texts[:60])]
+    marks = [(k, 1, int(k % 4 == 0)) for k in range(90)] + [(k, 0, 1 - int(k % 4 == 0)) for k in range(0, 90, 7)]
+    models = []
+    for turn in range(2):
+        labels = spark.createDataFrame(marks[::-1] if turn else marks, "doc_id long, quality int, toxic int")
+        docs = documents(*(rows[::-1] if turn else rows)).repartition(3 + turn)
+        models.append(quality_model.train(docs, labels.repartition(1 + turn)))
+    one, two = models
+    assert (one.form == two.form).all() and (one.abuse == two.abuse).all()
+    assert one.accuracy == two.accuracy and (one.form_bias, one.abuse_bias) == (two.form_bias, two.abuse_bias)
+
+
 def test_spaces_are_the_six():
     assert sorted(SPACES) == sorted(chr(c) for c in (0x20, *range(0x09, 0x0E)))

@@ -124,7 +124,9 @@ def abuse_lists(docs: DataFrame, labels: DataFrame, limit: int = LABELLED_TEXTS)
     Without labels the lists are empty and their labellers abstain.
     """
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    marked = sampled(marked.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").dropDuplicates(["doc_id"]), limit)
+    # Of labels that disagree the graver one counts.
+    marked = marked.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marked = sampled(marked, limit)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = texts.join(F.broadcast(marked), "doc_id").select("doc_id", "text", "toxic")
 
@@ -157,7 +159,8 @@ def abuse_lists(docs: DataFrame, labels: DataFrame, limit: int = LABELLED_TEXTS)
 
     # Copies of one toxic text would make all of its words look abusive.
     sketched = chosen.mapInArrow(run, "doc_id long, toxic int, sketch long, words binary")
-    words_of = stored(sketched.dropDuplicates(["sketch", "toxic"]), "labelled")
+    first = sketched.groupBy("sketch", "toxic").agg(F.min(F.struct("doc_id", "words")).alias("first"))
+    words_of = stored(first.select("first.doc_id", "toxic", "sketch", "first.words"), "labelled")
     sizes = words_of.groupBy((F.col("doc_id") % len(ABUSE)).alias("third")).agg(
         F.sum((F.col("toxic") == 1).cast("long")).alias("bad_texts"),
         F.sum((F.col("toxic") != 1).cast("long")).alias("good_texts"),
@@ -295,7 +298,8 @@ def train(docs: DataFrame, labels: DataFrame, texts: int = TRAIN_TEXTS, labelled
         accuracy |= dict(zip(group, right.tolist(), strict=True))
     accused = " OR ".join(f"{x} = 1" for x in names)
     rows = votes.filter("doc_id IS NOT NULL")
-    chosen = sampled(rows, texts // 2).union(sampled(rows.filter(accused), texts // 2)).dropDuplicates(["doc_id"])
+    chosen = sampled(rows, texts // 2).union(sampled(rows.filter(accused), texts // 2))
+    chosen = chosen.groupBy("doc_id").agg(F.min(F.struct(*names)).alias("votes")).select("doc_id", "votes.*")
     inputs = _slim(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", *names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +313,9 @@ def train(docs: DataFrame, labels: DataFrame, texts: int = TRAIN_TEXTS, labelled
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), *votes_], names=["doc_id", "inputs", *names])
 
     schema = "doc_id long, inputs binary, " + ", ".join(f"{n} int" for n in names)
-    sample = sorted(stored(inputs.mapInArrow(run, schema), "inputs").dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])
+    # Of texts with one number the one with the least inputs stands for all.
+    drawn = stored(inputs.mapInArrow(run, schema), "inputs").groupBy("doc_id").agg(F.min(F.struct("inputs", *names)).alias("of"))
+    sample = sorted(drawn.select("doc_id", "of.*").collect(), key=lambda r: r["doc_id"])
     x = [np.frombuffer(r["inputs"], "<u4").astype(np.int64) for r in sample]
     form, form_bias = fit(x, np.array([posterior["form"][tuple(r[k] for k in FORM)] for r in sample]))
     abuse, abuse_bias = fit(x, np.array([posterior["abuse"][tuple(r[k] for k in ABUSE)] for r in sample]))
