@@ -182,6 +182,34 @@ def test_perfect_hash_is_minimal(count):
     assert sorted(index.numbers(keys).tolist()) == list(range(count))
 
 
+def test_keyed_access_over_all_shards(spark, documents):
+    """Keys in any shard, a key that fills several, keys that are not there, and nulls."""
+    rng = random.Random(6)
+    rows = [(rng.randint(-50, 500), f"text {k} of some words") for k in range(300)]
+    rows += [(77, f"{k} many documents of one key {k % 7}") for k in range(400)] + [(None, "no key"), (501, None)]
+    folder = work_folder(spark, "ids")
+    # Else so few documents would be put into one shard.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = id_files.write_shards(documents(*rows).repartition(5), WORD_BPE, folder)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    shards = manifest.orderBy("shard").collect()
+    assert len(shards) > 2 and sum(s.n_docs for s in shards) == len(rows)
+    assert sum(s.first_key is not None and s.first_key <= 77 <= s.last_key for s in shards) > 1
+    asked = [77, -50, 501, 10**9, None, 77, *range(0, 60, 3)]
+    keys = spark.createDataFrame([(k, "x") for k in asked], "doc_id long, path string")
+    library = Tokenizer.from_file(WORD_BPE)
+    wanted = sorted(
+        (k, [*library.encode(t or "", add_special_tokens=False).ids, id_files.END_ID]) for k, t in rows if k is not None and k in asked
+    )
+    found = id_files.lookup_documents(manifest, folder, keys).collect()
+    assert sorted((r.doc_id, list(r.ids)) for r in found) == wanted
+    assert id_files.lookup_documents(manifest, folder, keys.limit(0)).count() == 0
+    empty = id_files.write_shards(documents(), WORD_BPE, work_folder(spark, "ids"))
+    assert id_files.lookup_documents(empty, folder, keys).count() == 0
+
+
 def test_id_files_round_trip(spark, documents):
     library = Tokenizer.from_file(WORD_BPE)
     rows = [(k * 7 % 101, f"some words {k} " * (k % 9)) for k in range(100)]

@@ -24,7 +24,9 @@ from tollbook.llm.tokens import encoder
 from tollbook.llm.words import mix, ranges, read
 
 MAGIC = b"TBIDS\x00\x00\x01"
-MANIFEST = "shard long, path string, n_docs long, n_tokens long"
+MANIFEST = "shard long, path string, n_docs long, n_tokens long, first_key long, last_key long"
+#: Characters of a text by which documents of one key are put in order.
+ORDERED_BY = 64
 END_ID = 1
 
 
@@ -167,30 +169,37 @@ class ShardReader:
 
 def write_shards(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
     """Shards in ascending ``doc_id`` order, and their manifest: ``shard``, ``path``,
-    ``n_docs``, ``n_tokens``.
-
-    Texts are shuffled once, by ranges of ``doc_id``, and encoded where they are
-    written; each range is one shard and each task holds only its index. Documents
-    with a null ``doc_id`` come first, those with equal ones follow each other by
-    text; null and empty texts are the end id alone; an empty table has no shards.
+    ``n_docs``, ``n_tokens``, ``first_key`` and ``last_key`` (null if all are).
+
+    Texts are shuffled once, by ranges, and encoded where they are written, as the
+    tokenizers library would encode them (short plain words are merged here, all else
+    by the library itself); each range is one shard and each task holds only its index.
+    Documents with a null ``doc_id`` come first. Those with equal ones follow each other
+    by the beginning and then by a hash of their texts, and may go on in the next shard,
+    so that a key with very many is shared by tasks; only copies of one document, key and
+    text, stay together. Null and empty texts are the end id alone; an empty table has no
+    shards.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, shard, out = encoder(tokenizer), TaskContext.get().partitionId(), None
+        first = last = None
         kind = np.uint16 if of.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         for keys, texts in read(batches):
             out = out or ShardWriter(folder, shard, kind)
             for key, ids in zip(keys, of.encode(texts), strict=True):
                 out.add(key, np.append(ids, END_ID))
+                first, last = (key if first is None else first), key
         if out:
             n_docs, n_tokens = out.close()
-            row = [[shard], [out.path], [n_docs], [n_tokens]]
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64()]
-            names = ["shard", "path", "n_docs", "n_tokens"]
+            row = [[shard], [out.path], [n_docs], [n_tokens], [first], [last]]
+            kinds = [pa.int64(), pa.string(), *[pa.int64()] * 4]
+            names = [column.split()[0] for column in MANIFEST.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds, strict=True)], names=names)
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = (F.col("doc_id"), F.substring("text", 1, ORDERED_BY), F.xxhash64("text"))
+    ordered = slim.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     return stored(ordered.mapInArrow(run, MANIFEST), "manifest")
 
 
@@ -256,3 +265,44 @@ def fetch(folder: str, path: str, keys: list[int]) -> dict[int, list[np.ndarray]
             document += 1
     shard.close()
     return found
+
+
+def lookup_documents(manifest: DataFrame, folder: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``doc_id`` and ``ids`` of all documents with the given keys, wherever they are; a
+    key that no document has, and a null one, gives no row, a repeated key counts once.
+
+    The shards' first and last keys, two numbers a shard, say which shards a key can be
+    in. Keys are dealt to them, and a task reads of its shards the index and the ids it
+    was asked for.
+    """
+    bounds = manifest.filter("last_key IS NOT NULL").select("first_key", "last_key", "path").orderBy("first_key", "shard").collect()
+    first = np.array([b["first_key"] for b in bounds], np.int64)
+    last = np.array([b["last_key"] for b in bounds], np.int64)
+    paths = np.array([b["path"] for b in bounds], object)
+
+    def dealt(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = batch.column(0).to_numpy()
+            # Shards are in order, so those that can hold a key follow each other.
+            begin, end = np.searchsorted(last, wanted, "left"), np.searchsorted(first, wanted, "right")
+            lengths = np.maximum(0, end - begin)
+            chosen = paths[ranges(begin, lengths)] if len(paths) else []
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(wanted, lengths), pa.int64()), pa.array(list(chosen), pa.string())], names=["doc_id", "path"]
+            )
+
+    def read_(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [x.to_pylist() for x in batch.columns]
+            at = np.flatnonzero([True, *(a != b for a, b in zip(columns[1], columns[1][1:], strict=False))]) if columns[1] else []
+            for begin, end in zip(at, [*at[1:], len(columns[1])], strict=True):
+                found = fetch(folder, columns[1][begin], columns[0][begin:end])
+                pairs = [(k, ids) for k, several in found.items() for ids in several]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k for k, _ in pairs], pa.int64()), pa.array([i.astype(np.int64) for _, i in pairs], pa.list_(pa.int64()))],
+                    names=["doc_id", "ids"],
+                )
+
+    asked = keys.select(F.col(key).cast("long").alias("doc_id")).dropna().distinct()
+    placed = asked.mapInArrow(dealt, "doc_id long, path string").repartition("path").sortWithinPartitions("path", "doc_id")
+    return placed.mapInArrow(read_, "doc_id long, ids array<long>")
