@@ -1,12 +1,14 @@
 """What the physical plans must look like for large inputs."""
 
 import re
+from types import SimpleNamespace
 
 import pytest
 
 import __spark_entry__ as entry
 from tollbook.operators import invoicing, rating
 from tollbook.plans import catalogue, chains
+from tollbook.session import shared_folder
 from tollbook.sinks import tables as sinks
 from tollbook.sources import tables as sources
 
@@ -73,3 +75,14 @@ def test_the_rate_card_is_broadcast_only_if_small(spark, limit, broadcast):
         assert ("SortMergeJoin" not in plan(priced)) is broadcast
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    def session(master, folder):
+        settings = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "/warehouse"}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings[key] or default), sparkContext=SimpleNamespace(master=master))
+
+    assert shared_folder(session("yarn", "s3://here")).startswith("s3://here/")
+    assert shared_folder(session("local[4]", None)).startswith("/warehouse/work/")
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        shared_folder(session("yarn", None))

@@ -68,8 +68,11 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the one the cluster names in ``spark.checkpoint.dir``, or,
-    where that is unset, below the warehouse, which all executors reach as well."""
+    where that is unset, below the warehouse. Off a local master that could be a folder
+    of the driver's own machine, so there the cluster must name one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
     return f"{base.rstrip('/')}/tollbook-{uuid.uuid4().hex}"
