@@ -38,8 +38,8 @@ SMALL = 8
 BLOCK, REPORTED, FREQUENT, MOST_FREQUENT = 2_000_000, 4, 16, 300_000
 #: Sets that the members of an entry are compared with in the first round, and in any.
 HUBS, MOST_HUBS = 1, 256
-#: Pairs of one node that its set is sent for at a time.
-SHARED = 500
+#: Shares that the pairs of one node are dealt to.
+SHARES = 16
 #: Places of a set's parities at least, and how many sets' numbers may be broadcast.
 LEAST_PLACES, MOST_NEEDED = 1024, 1_000_000
 
@@ -223,9 +223,9 @@ def _possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``) whose sets are similar.
 
-    Pairs meet at one of their nodes, the one that more pairs have in common: its set is
-    sent once for a share of its pairs and only the other node's with each pair. A node
-    with many pairs is dealt to several shares.
+    Pairs meet at their smaller node, which is the hub of most: its set is sent once for a
+    share of its pairs and only the other node's with each pair. The pairs of one node are
+    dealt to so many shares, and a task holds two sets at a time, however many there are.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,27 +246,16 @@ def _verified(pairs: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in held], names=["a", "b"])
 
     possible = stored(_possible(pairs, bits), "pairs")
-    ends = possible.select(F.col("a").alias("node")).union(possible.select("b"))
-    degrees = ends.groupBy("node").agg(F.count("*").alias("degree"))
-    sets = _sets(rows, degrees.select("node"))
-    of_a = degrees.select(F.col("node").alias("a"), F.col("degree").alias("da"))
-    of_b = degrees.select(F.col("node").alias("b"), F.col("degree").alias("db"))
-    met = possible.join(of_a, "a").join(of_b, "b")
-    hub = F.when(F.col("da") > F.col("db"), F.col("a")).otherwise(F.col("b"))
-    met = met.select(
-        hub.alias("hub"),
-        F.when(F.col("da") > F.col("db"), F.col("b")).otherwise(F.col("a")).alias("other"),
-        F.greatest("da", "db").alias("degree"),
-    )
-    share = F.pmod(F.xxhash64("other"), F.ceil(F.col("degree") / SHARED))
-    met = stored(met.select("hub", "other", share.alias("share")), "met")
+    sets = _sets(rows, possible.select(F.col("a").alias("node")).union(possible.select("b")).distinct())
+    share = F.pmod(F.xxhash64("a"), F.lit(SHARES))
+    met = possible.select(F.col("b").alias("hub"), F.col("a").alias("other"), share.alias("share"))
     each = met.select("hub", "share").distinct().join(sets, F.col("hub") == F.col("node"))
     others = met.join(sets, F.col("other") == F.col("node"))
     null = F.lit(None).cast("long")
     laid = each.select("hub", "share", null.alias("other"), "set").union(others.select("hub", "share", "other", "set"))
     laid = laid.repartition("hub", "share").sortWithinPartitions("hub", "share", F.col("other").asc_nulls_first())
     found = stored(laid.mapInArrow(run, "a long, b long"), "links")
-    discard(possible, sets, met)
+    discard(possible, sets)
     return found
 
 
@@ -278,7 +267,7 @@ def _links(members: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
     entry whose members are all connected. Copies of one text settle in the first
     round, however many they are. Hubs are taken from the components with the fewest
     members in the entry, so that a few strangers among many copies are soon through,
-    and each round takes four times as many as the one before. Components grow by each
+    and each round takes sixteen times as many as the one before. Components grow by each
     round's links alone, and a round's tables go when it ends.
     """
     spark = rows.sparkSession
@@ -318,7 +307,7 @@ def _links(members: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
         rest = stored(left.join(alone, "sig", "left_semi"), "members")
         grown = _grown(found, new)
         discard(chosen, left, members, new, *([found] if found is not None else []))
-        members, found, hubs = rest, grown, min(4 * hubs, MOST_HUBS)
+        members, found, hubs = rest, grown, min(16 * hubs, MOST_HUBS)
         del placed, parts, least, pairs, waiting, alone
         released(spark)
         if members.limit(1).count() == 0:
