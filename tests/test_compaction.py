@@ -65,6 +65,17 @@ def test_a_compacted_batch_written_again_replaces_itself(spark, loaded):
     assert not live.current_list(live.Folders(spark, loaded), (2024, 1)).hidden
 
 
+def test_a_writer_with_any_name(spark, tmp_path):
+    path, name = str(tmp_path / "rated"), "a/b=c %x:ü"
+    for _ in range(2):
+        load(spark, path, 3, ("u", 1, 10), ("u", 2, 20), writer=name)
+    load(spark, path, 3, ("u", 2, 30), writer=name)
+    assert users(spark, path) == [("u", 2, 30.0, name, 3)]
+    compaction.compact(spark, path, keep=0)
+    load(spark, path, 3, ("u", 2, 40), writer=name)
+    assert users(spark, path) == [("u", 2, 40.0, name, 3)]
+
+
 def test_a_batch_that_leaves_a_period_leaves_no_rows(spark, loaded):
     load(spark, loaded, 4, ("moved", 3, 1))
     assert [r for r in users(spark, loaded) if r[3:] == ("load", 4)] == [("moved", 3, 1.0, "load", 4)]

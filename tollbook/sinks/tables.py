@@ -62,12 +62,8 @@ def write_batch(
         {"writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("bigint")}
     )
     folders = live.Folders(spark, path)
-    before = {
-        period: place
-        for period in live.periods_of(folders)
-        for batch, place in live.batches_of(folders, period).items()
-        if batch == (writer, batch_id)
-    }
+    places = {period: live.batch_place(folders, period, (writer, batch_id)) for period in live.periods_of(folders)}
+    before = {period: place for period, place in places.items() if folders.exists(place)}
     if before:
         now = {tuple(row) for row in owned.select(*PERIOD_COLUMNS).distinct().collect()}
         gone = [place for period, place in before.items() if period not in now]

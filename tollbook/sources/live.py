@@ -201,6 +201,12 @@ def batches_of(folders: Folders, period: Period) -> dict[Batch, str]:
     return found
 
 
+def batch_place(folders: Folders, period: Period, batch: Batch) -> str:
+    """Where a batch's rows of a period lie, if it has any; no listing is needed."""
+    escaped = folders.jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch[0])
+    return f"{period_name(period)}/writer={escaped}/batch_id={batch[1]}"
+
+
 def live_folders(folders: Folders, period: Period, live: LiveList) -> dict[Batch, str]:
     return {b: place for b, place in batches_of(folders, period).items() if live.has_folder(b)}
 

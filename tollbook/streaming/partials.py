@@ -81,8 +81,11 @@ def touched_batches(spark: SparkSession, path: str, arrived: list[Batch]) -> lis
     found = set(arrived)
     for period in live.periods_of(folders):
         held = live.current_list(folders, period)
-        with_folders = live.batches_of(folders, period)
-        found |= {(*period, *batch) for batch in written if batch in with_folders or held.covers(batch)}
+        found |= {
+            (*period, *batch)
+            for batch in written
+            if held.covers(batch) or folders.exists(live.batch_place(folders, period, batch))
+        }
     return sorted(found)
 
 
@@ -101,8 +104,9 @@ def update_sums(
     folders, events = live.Folders(spark, path), live.Folders(spark, table_path)
     batches = touched_batches(spark, path, arrived)
     months = sorted({batch[:2] for batch in batches})
-    sources = {(*m, *b): place for m in months for b, place in live.batches_of(events, m).items()}
-    known = {(*m, *b): place for m in months for b, place in live.batches_of(folders, m).items()}
+    places = {batch: live.batch_place(folders, batch[:2], batch[2:]) for batch in batches}
+    sources = {batch: place for batch, place in places.items() if events.exists(place)}
+    known = {batch: place for batch, place in places.items() if folders.exists(place)}
     merged = {m: live.current_list(folders, m) for m in months}
     anew = sorted({b[:2] for b in batches if merged[b[:2]].covers(b[2:])})
     sums = batch_sums(batch_rows(spark, table_path, [sources[b] for b in batches if b in sources]), buckets).persist()
