@@ -120,7 +120,7 @@ def clusters(links: DataFrame) -> DataFrame:
     numbers, which settles stars, then by hashes that are new in every round, which takes
     at least some share of the nodes of any graph, of a chain in order as well. So rounds
     grow with the logarithm of a chain's length. Minima are taken before the shuffle;
-    what a contraction no longer needs is deleted.
+    what a contraction no longer needs is deleted, and the result is a stored table.
     """
     edges = stored(
         links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
@@ -152,7 +152,9 @@ def clusters(links: DataFrame) -> DataFrame:
         if edges.limit(1).count() == 0:
             discard(edges)
             least = parents.groupBy("low").agg(F.min("node").alias("component"))
-            return parents.join(least, "low").select("node", "component")
+            found = stored(parents.join(least, "low").select("node", "component"), "components")
+            discard(parents)
+            return found
 
 
 def _contracted(edges: DataFrame, contraction: int) -> DataFrame:

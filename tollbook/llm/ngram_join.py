@@ -303,31 +303,46 @@ def _links(members: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
         new = _verified(pairs, rows, bits)
         waiting = members.join(chosen, "sig").filter(~F.exists("hubs", lambda h: h["node"] == F.col("node")))
         left = stored(waiting.select("sig", "node", "n"), "left")
-        alone = left.groupBy("sig").agg(F.count("*").alias("c")).filter("c > 1").select("sig")
-        rest = stored(left.join(alone, "sig", "left_semi"), "members")
+        rest = stored(_different(left), "members")
         grown = _grown(found, new)
-        discard(chosen, left, members, new, *([found] if found is not None else []))
+        discard(chosen, left, members, new, *([found] if found is not None and grown is not found else []))
         members, found, hubs = rest, grown, min(16 * hubs, MOST_HUBS)
-        del placed, parts, least, pairs, waiting, alone
+        del placed, parts, least, pairs, waiting
         released(spark)
         if members.limit(1).count() == 0:
             discard(members)
             return found
 
 
+def _different(members: DataFrame) -> DataFrame:
+    """Without entries that have one member, and one entry of those that have the same
+    members: a passage that documents share is an entry for each of its combinations,
+    all with the same pairs. Entries are told apart by 128 bits of their members."""
+    of_nodes = [F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"x{k}") for k in range(2)]
+    entry = members.groupBy("sig").agg(F.count("*").alias("c"), *of_nodes).filter("c > 1")
+    kept = entry.groupBy("c", "x0", "x1").agg(F.min("sig").alias("sig")).select("sig")
+    return members.join(kept, "sig", "left_semi")
+
+
 def _grown(found: DataFrame | None, new: DataFrame) -> DataFrame:
     """Components (``node``, ``component``) by those found so far and new links: only
-    the components that new links meet are put together."""
+    the components that new links meet are put together, and without new links they
+    stay as they are."""
     if found is None:
-        return stored(clusters(new), "components")
+        return clusters(new)
+    if new.limit(1).count() == 0:
+        return found
     at = found.select(F.col("node").alias("at"), F.col("component").alias("of"))
     left = new.join(at, F.col("a") == F.col("at"), "left").select(F.coalesce("of", "a").alias("a"), "b")
     both = left.join(at, F.col("b") == F.col("at"), "left").select("a", F.coalesce("of", "b").alias("b"))
-    met = stored(clusters(both), "met")
+    met = clusters(both)
     moved = met.select(F.col("node").alias("component"), F.col("component").alias("now"))
     older = found.join(moved, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
     # Nodes that were in no component; those that name one are among its nodes already.
-    return stored(older.union(met.join(found.select("node"), "node", "left_anti").select("node", "component")), "components")
+    newer = met.join(found.select("node"), "node", "left_anti").select("node", "component")
+    grown = stored(older.union(newer), "components")
+    discard(met)
+    return grown
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -354,9 +369,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     single = _indexed(texts, frequent, 0).withColumn("c", of_entry).filter("c > 1").drop("c")
     paired = _indexed(texts, frequent, 1)
     counted = paired.groupBy("sig").agg(F.count("*").alias("c")).filter("c > 1").select("sig")
-    members = stored(single.union(paired.join(counted, "sig", "left_semi")), "members")
+    shared = stored(single.union(paired.join(counted, "sig", "left_semi")), "shared")
     del single, paired, counted, texts
     released(spark)
+    members = stored(_different(shared), "members")
+    discard(shared)
     bits = _parities(rows, members.select("node").distinct())
     found = _links(members, rows, bits)
     discard(bits)
