@@ -265,9 +265,10 @@ def _links(members: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
     In each round the members of an entry are compared with some of them, its hubs,
     unless they are connected already; the hubs are then done with there, and so is an
     entry whose members are all connected. Copies of one text settle in the first
-    round, however many they are. Hubs are taken from the components with the fewest
-    members in the entry, so that a few strangers among many copies are soon through,
-    and each round takes sixteen times as many as the one before. Components grow by each
+    round, however many they are. An entry's members are dealt to as many places as a
+    round takes hubs, and each place gives one, of the component with the fewest members
+    there, so that a few strangers among many copies are soon through. Each round takes
+    up to sixteen times as many as the one before. Components grow by each
     round's links alone, and a round's tables go when it ends.
     """
     spark = rows.sparkSession
@@ -278,19 +279,24 @@ def _links(members: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
         else:
             placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         # Counted per component and then per place, so no entry's members meet in one task.
-        parts = placed.groupBy("sig", "component").agg(
+        # Places are those of nodes: a component that none of the others is similar to
+        # gives many hubs a round.
+        place = F.pmod(F.xxhash64("node"), F.lit(hubs))
+        parts = placed.groupBy("sig", "component", place.alias("place")).agg(
             F.count("*").alias("m"), F.min(F.struct("node", "n")).alias("hub")
         )
-        place = F.pmod(F.xxhash64("component"), F.lit(hubs))
-        least = parts.groupBy("sig", place.alias("place")).agg(
-            F.count("*").alias("components"), F.min(F.struct("m", "hub", "component")).alias("least")
+        least = parts.groupBy("sig", "place").agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.min(F.struct("m", "hub", "component")).alias("least"),
         )
         chosen = least.groupBy("sig").agg(
-            F.sum("components").alias("components"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
             F.collect_list(F.struct("least.hub.node", "least.hub.n", "least.component")).alias("hubs"),
         )
         # The hubs are a table of their own, a row an entry, not a column of its members.
-        chosen = stored(chosen.filter("components > 1").select("sig", "hubs"), "hubs")
+        chosen = stored(chosen.filter("low < high").select("sig", "hubs"), "hubs")
         pairs = placed.join(chosen, "sig").select("node", "n", "component", F.explode("hubs").alias("hub")).filter(
             (F.col("component") != F.col("hub.component"))
             & (BELOW * F.least("n", "hub.n") >= ABOVE * F.greatest("n", "hub.n"))
