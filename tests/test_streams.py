@@ -201,6 +201,17 @@ def test_rating_takes_all_files_of_a_mediated_delivery(spark, monkeypatch):
     assert compare.spark_result(catalogue.stream_rating(spark, folder)) == expected
 
 
+def test_state_is_sized_by_the_records_text(spark, tmp_path, monkeypatch):
+    """Columns of a table take a fraction of what the records in them take as state."""
+    folder, sizes = "/root/testdata/sf0.001", []
+    monkeypatch.setattr(catalogue, "shared_folder", lambda spark: f"{tmp_path}/work")
+    monkeypatch.setattr(catalogue, "state_partitions", lambda size: sizes.append(size) or 3)
+    found = compare.spark_result(catalogue.stream_mediation_clean(spark, folder))
+    assert found == compare.sql_result(compare.connect(folder), oracle.SQL["stream_mediation_clean"])
+    text = folder_bytes(spark, f"{tmp_path}/work/in")
+    assert text > 2 * folder_bytes(spark, f"{folder}/events.parquet") and min(sizes) >= text
+
+
 @pytest.mark.parametrize("name", ["stream_mediation_clean", "stream_late_rows"])
 def test_a_delivery_is_written_by_many_tasks(spark, tmp_path, monkeypatch, name):
     """Deliveries of several files each, from a table of several files, and no row is
