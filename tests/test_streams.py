@@ -234,6 +234,20 @@ def test_a_delivery_is_written_by_many_tasks(spark, tmp_path, monkeypatch, name)
     assert deliveries >= 4 and len(list((tmp_path / "work" / "in").glob("*/part-*"))) >= 2 * deliveries
 
 
+def test_late_rows_of_all_deliveries_are_counted_in_one_run(spark, monkeypatch):
+    """A run each would load all state again for every delivery."""
+    folder, started = "/root/testdata/sf0.001", []
+
+    def start(*args, **how):
+        started.append(start_text_sink(*args, **how))
+        return started[-1]
+
+    monkeypatch.setattr(catalogue, "start_text_sink", start)
+    found = compare.spark_result(catalogue.stream_late_rows(spark, folder))
+    assert found == compare.sql_result(compare.connect(folder), oracle.SQL["stream_late_rows"])
+    assert len(started) == 1
+
+
 def test_the_first_failure_ends_all(spark, tmp_path):
     """A failing query beside one that never ends."""
     deliver(spark, tmp_path / "in", call(0))

@@ -617,14 +617,13 @@ def stream_late_data(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """How many accepted records each delivery brought too late; a run each, as the
-    listener counts by run."""
+    """How many accepted records each delivery brought too late. A delivery is one
+    micro-batch with rows, so one run counts all of them and its state stays where it is."""
     work = shared_folder(spark)
-    dropped = []
+    numbers = staged(_late_wire(spark, folder), work)
     with counting_late_rows(spark) as late:
-        for number in staged(_late_wire(spark, folder), work):
-            query = _deliver(spark, folder, work, [number], _clean(work), idle_batches=True)[0]
-            dropped.append((number, late.of(query)))
+        (query,) = _deliver(spark, folder, work, numbers, _clean(work), idle_batches=True)
+        dropped = list(zip(numbers, late.by_batch(query), strict=True))
     return spark.createDataFrame(dropped, "delivery int, late_rows bigint")
 
 

@@ -42,6 +42,7 @@ class LateRows(StreamingQueryListener):
 
     def __init__(self) -> None:
         self.dropped: dict[str, int] = defaultdict(int)
+        self.batches: dict[str, dict[int, int]] = defaultdict(dict)
         self.ended: set[str] = set()
         self.changed = threading.Condition()
 
@@ -54,7 +55,10 @@ class LateRows(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         late = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
         with self.changed:
-            self.dropped[str(event.progress.runId)] += late
+            run = str(event.progress.runId)
+            self.dropped[run] += late
+            if event.progress.numInputRows:
+                self.batches[run][event.progress.batchId] = late
 
     def onQueryTerminated(self, event) -> None:
         with self.changed:
@@ -64,11 +68,20 @@ class LateRows(StreamingQueryListener):
     def of(self, query: StreamingQuery, seconds: float = 60) -> int:
         """The complete count of an ended run: reports arrive a little later than
         the run ends, and its end is reported last."""
+        run = self._ended(query, seconds)
+        return self.dropped[run]
+
+    def by_batch(self, query: StreamingQuery, seconds: float = 60) -> list[int]:
+        """The complete counts of an ended run's micro-batches with rows, in their order."""
+        run = self._ended(query, seconds)
+        return [late for _, late in sorted(self.batches[run].items())]
+
+    def _ended(self, query: StreamingQuery, seconds: float) -> str:
         run = str(query.runId)
         with self.changed:
             if not self.changed.wait_for(lambda: run in self.ended, seconds):
                 raise TimeoutError(f"the end of run {run} was not reported")
-            return self.dropped[run]
+        return run
 
 
 @contextmanager
