@@ -96,6 +96,38 @@ def test_near_duplicates_equal_all_pairs(documents, monkeypatch, seed, frequent)
     assert [k for k, f in enumerate(first) if f] == sorted(set(components))
 
 
+def test_strangers_in_one_entry_make_no_rows(documents, monkeypatch):
+    """Copies edited so much that few are similar share entries; only pairs that marks
+    allow become rows, not each two of them."""
+    monkeypatch.setattr(ngram_join, "FREQUENT", 2)
+    monkeypatch.setattr(ngram_join, "REPORTED", 2)
+    monkeypatch.setattr(ngram_join, "DEALT", 16)
+    verified, counts = ngram_join._verified, []
+
+    def counting(pairs, rows, bits):
+        counts.append(pairs.count())
+        return verified(pairs, rows, bits)
+
+    monkeypatch.setattr(ngram_join, "_verified", counting)
+    rng = brute.rng(8)
+    base = brute.prose(rng, 150)
+    texts = [base] + [brute.edited(rng, base, rng.choice([2, 9, 10])) for _ in range(70)]
+    sizes, components, _ = joined(documents, texts)
+    assert (sizes, components) == brute.near_duplicates(texts)
+    assert len(set(components)) > 20 and sum(counts) < 4 * len(texts)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_marks_never_show_more_difference_than_there_is(seed):
+    rng = np.random.default_rng(seed)
+    for _ in range(50):
+        tokens = np.unique(rng.integers(1, 2**63, int(rng.choice([1, 40, 900, 5000])), dtype=np.uint64))
+        other = np.unique(np.append(tokens[rng.random(len(tokens)) > 0.1], rng.integers(1, 2**63, 9, dtype=np.uint64)))
+        one, two = (ngram_join.mark(ngram_join.wide_parities(x)) for x in (tokens, other))
+        assert len(one) == len(two) == ngram_join.MARK
+        assert int(np.bitwise_count(one ^ two).sum()) <= len(np.setxor1d(tokens, other))
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_similar_sets_always_share_an_entry(seed):
     rng = np.random.default_rng(seed)

@@ -37,11 +37,15 @@ SMALL = 8
 #: has no bearing on the result, only on the number of comparisons.
 BLOCK, REPORTED, FREQUENT, MOST_FREQUENT = 2_000_000, 4, 16, 300_000
 #: Sets that the members of an entry are compared with in the first round, and in any.
-HUBS, MOST_HUBS = 1, 256
+HUBS, MOST_HUBS = 1, 1024
+#: Members of an entry that are laid beside its hubs at a time.
+DEALT = 512
 #: Shares that the pairs of one node are dealt to.
 SHARES = 16
 #: Places of a set's parities at least, and how many sets' numbers may be broadcast.
 LEAST_PLACES, MOST_NEEDED = 1024, 1_000_000
+#: Longs of a set's mark, which are its parities folded to 512 places.
+MARK = 8
 
 
 def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -125,25 +129,27 @@ def entries(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.nd
     return rare[: lacking + 1], np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.uint64)
 
 
-def _indexed(texts: DataFrame, frequent, which: int) -> DataFrame:
-    """``sig``, ``node``, ``n`` of every entry, single (0) or pair (1)."""
+def _indexed(texts: DataFrame, frequent) -> DataFrame:
+    """``sig``, ``node``, ``n`` of every entry and whether it is a pair, from one pass
+    over the texts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = frequent.value
         for nodes, raw in read(batches):
             sets = sets_of(raw)
-            found = [entries(s, often)[which] for s in sets]
-            counts = [len(x) for x in found]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(found).view(np.int64)),
-                    pa.array(np.repeat(np.array(nodes, np.int64), counts)),
-                    pa.array(np.repeat(np.array([len(s) for s in sets], np.int32), counts)),
-                ],
-                names=["sig", "node", "n"],
-            )
+            for paired, found in enumerate(zip(*(entries(s, often) for s in sets), strict=True)):
+                counts = [len(x) for x in found]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(found).view(np.int64)),
+                        pa.array(np.repeat(np.array(nodes, np.int64), counts)),
+                        pa.array(np.repeat(np.array([len(s) for s in sets], np.int32), counts)),
+                        pa.array(np.full(sum(counts), bool(paired))),
+                    ],
+                    names=["sig", "node", "n", "paired"],
+                )
 
-    return texts.select("node", "text").mapInArrow(run, "sig long, node long, n int")
+    return texts.select("node", "text").mapInArrow(run, "sig long, node long, n int, paired boolean")
 
 
 def parities(tokens: np.ndarray, places: int = LEAST_PLACES) -> np.ndarray:
@@ -160,6 +166,12 @@ def wide_parities(tokens: np.ndarray) -> np.ndarray:
     return parities(tokens, max(LEAST_PLACES, 1 << (max(1, len(tokens)) - 1).bit_length()))
 
 
+def mark(bits: np.ndarray) -> np.ndarray:
+    while len(bits) > MARK:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
 def least_difference(left: np.ndarray, right: np.ndarray) -> int:
     """In how many shingles two sets differ at least, by their parities: the one with
     more places is folded until both have the same."""
@@ -182,10 +194,11 @@ def _texts_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 def _parities(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, raw in read(batches):
-            bits = pa.array([wide_parities(s).tobytes() for s in sets_of(raw)], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), bits], names=["node", "bits"])
+            bits = [wide_parities(s) for s in sets_of(raw)]
+            both = (pa.array([x.tobytes() for x in of], pa.binary()) for of in (bits, map(mark, bits)))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *both], names=["node", "bits", "mark"])
 
-    return stored(_texts_of(rows, nodes).mapInArrow(run, "node long, bits binary"), "parities")
+    return stored(_texts_of(rows, nodes).mapInArrow(run, "node long, bits binary, mark binary"), "parities")
 
 
 def _sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -220,6 +233,38 @@ def _possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     return both.select("a", "b", "n", "left", "right").mapInArrow(run, "a long, b long")
 
 
+def _met(dealt: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``, their sizes' sum ``n``) of ``members`` and ``hubs`` of the
+    same row that are of different components and that sizes and marks allow."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = []
+            for lists in (batch.column("members"), batch.column("hubs")):
+                flat = lists.values
+                marks = np.frombuffer(b"".join(flat.field("mark").to_pylist()), np.uint64).reshape(-1, MARK)
+                numbers = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("node", "n", "component"))
+                sides.append((lists.offsets.to_numpy(), marks, *numbers))
+            found = []
+            for k in range(batch.num_rows):
+                (marks, node, n, of), (hub_marks, hub, m, hub_of) = (
+                    [x[at[k] : at[k + 1]] for x in side] for at, *side in sides
+                )
+                n, m = n.astype(np.int64), m.astype(np.int64)
+                close = BELOW * np.minimum.outer(n, m) >= ABOVE * np.maximum.outer(n, m)
+                x, y = np.nonzero(close & np.not_equal.outer(of, hub_of))
+                differ = np.bitwise_count(marks[x] ^ hub_marks[y]).sum(1, dtype=np.int64)
+                allowed = (BELOW + ABOVE) * differ <= (BELOW - ABOVE) * (n[x] + m[y])
+                x, y = x[allowed], y[allowed]
+                if len(x):
+                    found.append((np.maximum(node[x], hub[y]), np.minimum(node[x], hub[y]), n[x] + m[y]))
+            if found:
+                columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n"])
+
+    return dealt.select("members", "hubs").mapInArrow(run, "a long, b long, n long")
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``) whose sets are similar.
 
@@ -283,37 +328,39 @@ def _links(members: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
         # gives many hubs a round.
         place = F.pmod(F.xxhash64("node"), F.lit(hubs))
         parts = placed.groupBy("sig", "component", place.alias("place")).agg(
-            F.count("*").alias("m"), F.min(F.struct("node", "n")).alias("hub")
+            F.count("*").alias("m"), F.min(F.struct("node", "n", "mark")).alias("hub")
         )
         least = parts.groupBy("sig", "place").agg(
             F.min("component").alias("low"),
             F.max("component").alias("high"),
+            F.sum("m").alias("members"),
             F.min(F.struct("m", "hub", "component")).alias("least"),
         )
         chosen = least.groupBy("sig").agg(
             F.min("low").alias("low"),
             F.max("high").alias("high"),
-            F.collect_list(F.struct("least.hub.node", "least.hub.n", "least.component")).alias("hubs"),
+            F.sum("members").alias("members"),
+            F.collect_list(
+                F.struct("least.hub.node", "least.hub.n", "least.component", "least.hub.mark")
+            ).alias("hubs"),
         )
-        # The hubs are a table of their own, a row an entry, not a column of its members.
-        chosen = stored(chosen.filter("low < high").select("sig", "hubs"), "hubs")
-        pairs = placed.join(chosen, "sig").select("node", "n", "component", F.explode("hubs").alias("hub")).filter(
-            (F.col("component") != F.col("hub.component"))
-            & (BELOW * F.least("n", "hub.n") >= ABOVE * F.greatest("n", "hub.n"))
+        # The hubs are a table of their own, a row an entry, not a column of its members,
+        # which meet them many at a time: only pairs that may be similar become rows.
+        chosen = stored(chosen.filter("low < high").select("sig", "members", "hubs"), "hubs")
+        share = F.pmod(F.xxhash64(F.lit(1), "node"), F.ceil(F.col("members") / DEALT))
+        dealt = placed.join(chosen.select("sig", "members"), "sig").groupBy("sig", share.alias("share")).agg(
+            F.collect_list(F.struct("node", "n", "component", "mark")).alias("members")
         )
-        pairs = pairs.select(
-            F.greatest("node", "hub.node").alias("a"),
-            F.least("node", "hub.node").alias("b"),
-            (F.col("n") + F.col("hub.n")).alias("n"),
-        ).distinct()
+        pairs = _met(dealt.join(chosen.select("sig", "hubs"), "sig").repartition("sig", "share")).distinct()
         new = _verified(pairs, rows, bits)
-        waiting = members.join(chosen, "sig").filter(~F.exists("hubs", lambda h: h["node"] == F.col("node")))
-        left = stored(waiting.select("sig", "node", "n"), "left")
+        done = chosen.select("sig", F.col("hubs.node").alias("done"))
+        waiting = members.join(done, "sig").filter(~F.array_contains("done", F.col("node")))
+        left = stored(waiting.select("sig", "node", "n", "mark"), "left")
         rest = stored(_different(left), "members")
         grown = _grown(found, new)
         discard(chosen, left, members, new, *([found] if found is not None and grown is not found else []))
         members, found, hubs = rest, grown, min(16 * hubs, MOST_HUBS)
-        del placed, parts, least, pairs, waiting
+        del placed, parts, least, dealt, pairs, done, waiting
         released(spark)
         if members.limit(1).count() == 0:
             discard(members)
@@ -372,16 +419,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     # Rare shingles are those that few documents have, so each may go to one task. Others
     # may be had by very many: they are counted, and reduced, before they are shuffled.
     of_entry = F.count("*").over(Window.partitionBy("sig"))
-    single = _indexed(texts, frequent, 0).withColumn("c", of_entry).filter("c > 1").drop("c")
-    paired = _indexed(texts, frequent, 1)
+    indexed = stored(_indexed(texts, frequent), "indexed")
+    del texts
+    released(spark)
+    single = indexed.filter("not paired").drop("paired").withColumn("c", of_entry).filter("c > 1").drop("c")
+    paired = indexed.filter("paired").drop("paired")
     counted = paired.groupBy("sig").agg(F.count("*").alias("c")).filter("c > 1").select("sig")
     shared = stored(single.union(paired.join(counted, "sig", "left_semi")), "shared")
-    del single, paired, counted, texts
+    del single, paired, counted
+    discard(indexed)
     released(spark)
     members = stored(_different(shared), "members")
     discard(shared)
     bits = _parities(rows, members.select("node").distinct())
-    found = _links(members, rows, bits)
+    marked = stored(members.join(bits.select("node", "mark"), "node"), "members")
+    discard(members)
+    found = _links(marked, rows, bits)
     discard(bits)
     labelled = copies.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lows = labelled.groupBy("component").agg(F.min("low").alias("component_id"), F.min("node").alias("stands"))
