@@ -117,6 +117,40 @@ def test_strangers_in_one_entry_make_no_rows(documents, monkeypatch):
     assert len(set(components)) > 20 and sum(counts) < len(texts)
 
 
+@pytest.mark.parametrize("words", [150, 1500])
+def test_two_texts_meet_in_few_entries(documents, monkeypatch, words):
+    """Texts that have a part in common share an entry for each two of its shingles;
+    rows must not grow with these, nor with pairs of long texts that are not similar."""
+    monkeypatch.setattr(ngram_join, "FREQUENT", 2)
+    monkeypatch.setattr(ngram_join, "REPORTED", 2)
+    met, counts = ngram_join._met, []
+
+    def counting(dealt):
+        found = met(dealt)
+        counts.append(found.count())
+        return found
+
+    monkeypatch.setattr(ngram_join, "_met", counting)
+    rng = brute.rng(9)
+    texts = []
+    for _ in range(4):
+        base = brute.prose(rng, words)
+        texts += [brute.edited(rng, base, rng.choice([1, words // 40, words // 12])) for _ in range(20)]
+    sizes, components, _ = joined(documents, texts)
+    assert (sizes, components) == brute.near_duplicates(texts)
+    assert sum(counts) < 5 * len(texts)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_differences_of_many_pairs(monkeypatch, seed):
+    """The same as one by one, for parities of different lengths and a few at a time."""
+    monkeypatch.setattr(ngram_join, "TOGETHER", 100)
+    rng = np.random.default_rng(seed)
+    left, right = ([ngram_join.wide_parities(rng.integers(1, 2**63, int(n), dtype=np.uint64)) for n in rng.choice([1, 900, 1500, 5000], 12)] for _ in range(2))
+    x, y = rng.integers(0, 12, (2, 200))
+    assert ngram_join.least_differences(left, right, x, y).tolist() == [ngram_join.least_difference(left[i], right[j]) for i, j in zip(x, y)]
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_marks_never_show_more_difference_than_there_is(seed):
     rng = np.random.default_rng(seed)

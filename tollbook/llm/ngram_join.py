@@ -10,8 +10,11 @@ entry, and frequent shingles are entries in pairs. Pairs are taken within classe
 of the frequent shingles, so that there are few, at the price of one more shingle a
 class. Classes depend on the size of a set; one that could be similar to smaller
 sets with other classes is indexed under theirs too. Similar sets thus share an
-entry. Sets that share entries are verified, each against some of those it shares
-an entry with, until every two of an entry are connected or were compared.
+entry. Texts that share a passage share an entry for each of its combinations, so
+entries are put together by one of their members: two sets then meet once or a few
+times and not in every combination. Sets that share entries are verified, each
+against some of those it shares an entry with, until every two of an entry are
+connected or were compared.
 """
 
 from __future__ import annotations
@@ -40,12 +43,15 @@ BLOCK, REPORTED, FREQUENT, MOST_FREQUENT = 2_000_000, 4, 16, 300_000
 HUBS, MOST_HUBS = 1, 1024
 #: Members of an entry that are laid beside its hubs at a time.
 DEALT = 512
+#: Longs of parities that are compared at a time.
+TOGETHER = 1 << 19
 #: Shares that the pairs of one node are dealt to.
 SHARES = 16
 #: Places of a set's parities at least, and how many sets' numbers may be broadcast.
 LEAST_PLACES, MOST_NEEDED = 1024, 1_000_000
-#: Longs of a set's mark, which are its parities folded to 512 places.
-MARK = 8
+#: Longs of a set's mark, which are its parities folded to 512 places, and of those
+#: that go with it to its entries at most.
+MARK, CARRIED = 8, 512
 
 
 def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -166,20 +172,42 @@ def wide_parities(tokens: np.ndarray) -> np.ndarray:
     return parities(tokens, max(LEAST_PLACES, 1 << (max(1, len(tokens)) - 1).bit_length()))
 
 
-def mark(bits: np.ndarray) -> np.ndarray:
-    while len(bits) > MARK:
-        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+def folded(bits: np.ndarray, longs: int) -> np.ndarray:
+    """Parities, of one set or of one a row, with so many longs at most."""
+    while bits.shape[-1] > longs:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
     return bits
 
 
+def mark(bits: np.ndarray) -> np.ndarray:
+    return folded(bits, MARK)
+
+
 def least_difference(left: np.ndarray, right: np.ndarray) -> int:
     """In how many shingles two sets differ at least, by their parities: the one with
     more places is folded until both have the same."""
-    while len(left) > len(right):
-        left = left[: len(left) // 2] ^ left[len(left) // 2 :]
-    while len(right) > len(left):
-        right = right[: len(right) // 2] ^ right[len(right) // 2 :]
-    return int(np.bitwise_count(left ^ right).sum())
+    longs = min(len(left), len(right))
+    return int(np.bitwise_count(folded(left, longs) ^ folded(right, longs)).sum())
+
+
+def least_differences(left: list[np.ndarray], right: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The same for ``left[i]`` and ``right[j]`` of each ``i`` and ``j`` in ``x`` and ``y``,
+    for many pairs at a time."""
+    out = np.zeros(len(x), np.int64)
+    wide = np.stack([np.array([len(b) for b in of], np.int64)[at] for of, at in ((left, x), (right, y))])
+    for widths in np.unique(wide, axis=1).T:
+        these = np.flatnonzero((wide == widths[:, None]).all(0))
+        longs, sides = widths.min(), []
+        for of, at in ((left, x[these]), (right, y[these])):
+            own, which = np.unique(at, return_inverse=True)
+            sides.append((folded(np.stack([of[k] for k in own]), longs), which))
+        (one, i), (two, j) = sides
+        step = max(1, TOGETHER // int(longs))
+        for k in range(0, len(these), step):
+            differ = np.bitwise_count(one[i[k : k + step]] ^ two[j[k : k + step]])
+            out[these[k : k + step]] = differ.sum(1, dtype=np.int64)
+    return out
 
 
 def _texts_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -195,10 +223,11 @@ def _parities(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, raw in read(batches):
             bits = [wide_parities(s) for s in sets_of(raw)]
-            both = (pa.array([x.tobytes() for x in of], pa.binary()) for of in (bits, map(mark, bits)))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *both], names=["node", "bits", "mark"])
+            carried = [folded(b, CARRIED) for b in bits]
+            both = (pa.array([x.tobytes() for x in of], pa.binary()) for of in (bits, carried))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *both], names=["node", "bits", "carried"])
 
-    return stored(_texts_of(rows, nodes).mapInArrow(run, "node long, bits binary, mark binary"), "parities")
+    return stored(_texts_of(rows, nodes).mapInArrow(run, "node long, bits binary, carried binary"), "parities")
 
 
 def _sets(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -235,19 +264,21 @@ def _possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
 
 def _met(dealt: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``, their sizes' sum ``n``) of ``members`` and ``hubs`` of the
-    same row that are of different components and that sizes and marks allow."""
+    same row that are of different components and that sizes, marks and, of the pairs left
+    by these, parities allow."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = []
             for lists in (batch.column("members"), batch.column("hubs")):
                 flat = lists.values
-                marks = np.frombuffer(b"".join(flat.field("mark").to_pylist()), np.uint64).reshape(-1, MARK)
+                bits = [np.frombuffer(x, np.uint64) for x in flat.field("carried").to_pylist()]
+                marks = np.array([mark(x) for x in bits]).reshape(-1, MARK)
                 numbers = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("node", "n", "component"))
-                sides.append((lists.offsets.to_numpy(), marks, *numbers))
+                sides.append((lists.offsets.to_numpy(), bits, marks, *numbers))
             found = []
             for k in range(batch.num_rows):
-                (marks, node, n, of), (hub_marks, hub, m, hub_of) = (
+                (bits, marks, node, n, of), (hub_bits, hub_marks, hub, m, hub_of) = (
                     [x[at[k] : at[k + 1]] for x in side] for at, *side in sides
                 )
                 n, m = n.astype(np.int64), m.astype(np.int64)
@@ -256,6 +287,9 @@ def _met(dealt: DataFrame) -> DataFrame:
                 differ = np.bitwise_count(marks[x] ^ hub_marks[y]).sum(1, dtype=np.int64)
                 allowed = (BELOW + ABOVE) * differ <= (BELOW - ABOVE) * (n[x] + m[y])
                 x, y = x[allowed], y[allowed]
+                if len(x):
+                    allowed = (BELOW + ABOVE) * least_differences(bits, hub_bits, x, y) <= (BELOW - ABOVE) * (n[x] + m[y])
+                    x, y = x[allowed], y[allowed]
                 if len(x):
                     found.append((np.maximum(node[x], hub[y]), np.minimum(node[x], hub[y]), n[x] + m[y]))
             if found:
@@ -328,45 +362,56 @@ def _links(members: DataFrame, rows: DataFrame, bits: DataFrame) -> DataFrame:
         # gives many hubs a round.
         place = F.pmod(F.xxhash64("node"), F.lit(hubs))
         parts = placed.groupBy("sig", "component", place.alias("place")).agg(
-            F.count("*").alias("m"), F.min(F.struct("node", "n", "mark")).alias("hub")
+            F.count("*").alias("m"), F.min("node").alias("hub")
         )
         least = parts.groupBy("sig", "place").agg(
             F.min("component").alias("low"),
             F.max("component").alias("high"),
             F.sum("m").alias("members"),
-            F.min(F.struct("m", "hub", "component")).alias("least"),
+            F.min(F.struct("m", "hub")).alias("least"),
         )
         chosen = least.groupBy("sig").agg(
             F.min("low").alias("low"),
             F.max("high").alias("high"),
             F.sum("members").alias("members"),
-            F.collect_list(
-                F.struct("least.hub.node", "least.hub.n", "least.component", "least.hub.mark")
-            ).alias("hubs"),
-        )
-        # The hubs are a table of their own, a row an entry, not a column of its members,
-        # which meet them many at a time: only pairs that may be similar become rows.
-        chosen = stored(chosen.filter("low < high").select("sig", "members", "hubs"), "hubs")
-        share = F.pmod(F.xxhash64(F.lit(1), "node"), F.ceil(F.col("members") / DEALT))
-        dealt = placed.join(chosen.select("sig", "members"), "sig").groupBy("sig", share.alias("share")).agg(
-            F.collect_list(F.struct("node", "n", "component", "mark")).alias("members")
+            F.collect_list("least.hub").alias("hubs"),
         )
-        pairs = _met(dealt.join(chosen.select("sig", "hubs"), "sig").repartition("sig", "share")).distinct()
+        shares = F.ceil(F.col("members") / DEALT).alias("shares")
+        chosen = stored(chosen.filter("low < high").select("sig", shares, "hubs"), "hubs")
+        # Members meet the hubs many at a time: only pairs that may be similar become rows.
+        # Parities join them at last, and then go the one way to where they are compared.
+        met = placed.join(chosen, "sig").select("sig", "shares", "node", "n", "component", F.array_contains("hubs", F.col("node")).alias("hub"))
+        met = met.join(bits.select("node", "carried"), "node")
+        share = F.pmod(F.xxhash64(F.lit(1), "node"), F.col("shares")).alias("share")
+        one = F.collect_list(F.struct("node", "n", "component", "carried"))
+        ahead = met.filter("hub").groupBy("sig", "shares").agg(one.alias("hubs"))
+        ahead = ahead.select("sig", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"), "hubs")
+        dealt = met.groupBy("sig", share).agg(one.alias("members")).join(ahead, ["sig", "share"])
+        pairs = _met(dealt).distinct()
         new = _verified(pairs, rows, bits)
-        done = chosen.select("sig", F.col("hubs.node").alias("done"))
+        done = chosen.select("sig", F.col("hubs").alias("done"))
         waiting = members.join(done, "sig").filter(~F.array_contains("done", F.col("node")))
-        left = stored(waiting.select("sig", "node", "n", "mark"), "left")
+        left = stored(waiting.select("sig", "node", "n"), "left")
         rest = stored(_different(left), "members")
         grown = _grown(found, new)
         discard(chosen, left, members, new, *([found] if found is not None and grown is not found else []))
         members, found, hubs = rest, grown, min(16 * hubs, MOST_HUBS)
-        del placed, parts, least, dealt, pairs, done, waiting
+        del placed, parts, least, met, ahead, dealt, pairs, done, waiting
         released(spark)
         if members.limit(1).count() == 0:
             discard(members)
             return found
 
 
+def _merged(members: DataFrame) -> DataFrame:
+    """One entry of all those with the same first member, by a hash, and in it the members
+    of all. Every two that shared an entry share one, and all of one shared an entry with
+    its first member. Two that share many entries, which are much alike, share few."""
+    rank = F.struct(F.xxhash64(F.lit(2), "node").alias("rank"), "node")
+    first = members.groupBy("sig").agg(F.min(rank).alias("first")).select("sig", F.col("first.node").alias("first"))
+    return members.join(first, "sig").select(F.col("first").alias("sig"), "node", "n").distinct()
+
+
 def _different(members: DataFrame) -> DataFrame:
     """Without entries that have one member, and one entry of those that have the same
     members: a passage that documents share is an entry for each of its combinations,
@@ -429,12 +474,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     del single, paired, counted
     discard(indexed)
     released(spark)
-    members = stored(_different(shared), "members")
+    members = stored(_merged(shared), "members")
     discard(shared)
     bits = _parities(rows, members.select("node").distinct())
-    marked = stored(members.join(bits.select("node", "mark"), "node"), "members")
-    discard(members)
-    found = _links(marked, rows, bits)
+    found = _links(members, rows, bits)
     discard(bits)
     labelled = copies.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lows = labelled.groupBy("component").agg(F.min("low").alias("component_id"), F.min("node").alias("stands"))
