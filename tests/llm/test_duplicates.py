@@ -264,6 +264,65 @@ def test_near_vectors_equal_all_pairs(spark, monkeypatch, seed, tile):
     assert [r.kept for r in rows] == [k == c for k, c in enumerate(components)]
 
 
+def test_vectors_are_sent_a_few_times_in_all_however_many_tiles(spark, monkeypatch):
+    """Without structure, so that each is near to most cells; 400 bytes of each are in the table."""
+    rng, held, store = np.random.default_rng(7), [], vector_join.stored
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    on_disk = lambda: sum(disk.getAllFiles().apply(k).length() for k in range(disk.getAllFiles().size()))
+
+    def measured(rows, label):
+        table = store(rows, label)
+        held.append(on_disk())
+        return table
+
+    frame = spark.createDataFrame(
+        [(k, v.tolist()) for k, v in enumerate(rng.standard_normal((3000, 64)))], "vec_id long, embedding array<float>"
+    )
+    common.released(spark)
+    before = on_disk()
+    monkeypatch.setattr(vector_join, "stored", measured)
+    monkeypatch.setattr(vector_join, "TILE", 300)
+    assert vector_join.near_vectors(frame).agg({"n_links": "sum"}).first()[0] == 0
+    assert max(held) - before < 8 * 400 * 3000
+
+
+def test_dense_groups_of_vectors_equal_all_pairs(spark):
+    """Groups so close that whole strips are near, over a border of cells, some of them copies."""
+    rng = np.random.default_rng(8)
+    middles = rng.standard_normal((3, 16))
+    lot = [(middles[k % 3] + rng.standard_normal(16) * (0.02, 0.15, 0.3)[k % 3]).tolist() for k in range(900)]
+    lot += lot[:40]
+    rows = vector_join.near_vectors(spark.createDataFrame(list(enumerate(lot)), "vec_id long, embedding array<double>"))
+    rows = sorted(rows.collect(), key=lambda r: r.vec_id)
+    links, components = brute.near_vectors(lot)
+    assert [r.n_links for r in rows] == links and [r.component_id for r in rows] == components
+
+
+def test_each_pair_of_vectors_is_taken_once(monkeypatch):
+    """Of two vectors one is the guest, in one block, whether pairs are verified one by one or together."""
+    rng = np.random.default_rng(9)
+    middles = rng.standard_normal((40, 24))
+    raw = np.concatenate([m + rng.standard_normal((30, 24)) * s for m, s in zip(middles, np.linspace(0.01, 0.4, 40))])
+    units, _ = vector_join.units_of(raw)
+    for leaf in (4, 32, 256):
+        monkeypatch.setattr(vector_join, "LEAF", leaf)
+        links = np.zeros(len(raw), np.int64)
+        for number, part in enumerate(vector_join.blocks_of(24)):
+            own = vector_join.turned(units)[:, part].astype(np.float32)
+            signs = vector_join.signs_of(len(raw), own.shape[1])
+            code = (own[:, :signs] > 0) @ (1 << np.arange(signs, dtype=np.int64)[::-1])
+            tiles = [
+                vector_join.Tile(code[at], at, np.ones(len(at), np.int64), own[at], signs, lambda at=at: raw[at])
+                for at in np.array_split(rng.permutation(len(raw)), 3)
+            ]
+            for home, guest in itertools.product(tiles, tiles):
+                found = vector_join.Links(home, guest, 24, number, 0.95)
+                vector_join.compared(home, guest, found)
+                rows = found.rows()
+                np.add.at(links, rows.column(0).to_numpy(), rows.column(1).to_numpy())
+        assert (links == (units @ units.T >= 0.95).sum(axis=1) - 1).all()
+
+
 def test_vectors_without_a_key_of_their_own(spark):
     schema = "vec_id long, embedding array<float>"
     rows = [(3, [1.0, 0.0]), (3, [1.0, 0.0]), (None, [2.0, 0.0]), (None, [0.0, 1.0]), (4, [0.0, 1.0, 0.0]), (5, None)]

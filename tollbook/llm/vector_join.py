@@ -3,35 +3,50 @@ joined by range, and the union of what they find verified.
 
 Unit vectors of cosine c or more lie within a squared distance of 2 - 2 c. Rotated
 and cut into blocks, the squared distances of the blocks add up to that of the
-vectors, so in some block it is at most the block's share of the budget. Each block
-is joined by range on a grid over its first coordinates, with cells as wide as the
-block's budget allows; a pair is verified and counted in the first block that finds
-it.
+vectors, so in some block it is at most the block's share of the budget; a pair is
+counted in the first such block.
+
+A block is joined by range over cells, which are the signs of its first coordinates
+from their means. Of two vectors in range in different cells one is nearer to the
+other's cell than half of the budget: going from one to the other, what each has to go to
+reach the border of its cell adds up to at most the way between them. So a vector is
+compared with the cells that it reaches with half of the budget, itself at most once
+with each other. A block's vectors are stored once, in order of their cells; a task
+holds one tile of them while others stream past, so nothing is sent twice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import product
+import hashlib
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs
+import pyarrow.parquet
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tollbook.llm.common import clusters, lookup, stored, with_row
+from tollbook.llm.common import clusters, discard, lookup, released, stored, with_row
 
-#: Blocks, gridded coordinates of a block, and vectors of a cell that meet in one task.
-BLOCKS, GRIDDED, TILE = 4, 2, 8000
-#: Vectors of a tile that are compared with the other tile at once.
-STRIP = 500
+#: Blocks; vectors and bytes of them that a task holds; vectors of a cell, cells that are
+#: sorted out together, and signs of a cell at most.
+BLOCKS, TILE, TILE_BYTES, LEAF, LEAVES, SIGNS = 4, 200_000, 96 << 20, 256, 32, 20
+#: Vectors that stream past a tile at once, pairs that are compared at once, and verified.
+CHUNK, PAIRS, EXACT = 100_000, 1 << 20, 16_384
+#: Passes in which a block's vectors are shuffled, and vectors by which partitions are cut.
+PASSES, SAMPLE = 4, 40_000
 #: Against rounding: budgets are larger by this, and verified pairs are exact anyway.
 SLACK = 1e-9
-PLACED = "block int, cell string, mine int, theirs int, home boolean, tile int, node long, n long, vector binary"
+#: Sums of products in another order differ by less; where that could decide, they are taken anew.
+CLOSE = 1e-10
+PLACED = "place int, size int, code long, node long, n long, part binary, vector binary"
 FOUND = "node long, links long, root long"
 
 
+@lru_cache(8)
 def rotation(size: int, seed: int = 20240229) -> np.ndarray:
     """An orthogonal matrix, the same on every executor; it spreads what differs over
     all coordinates, so that no block holds most of it."""
@@ -39,143 +54,499 @@ def rotation(size: int, seed: int = 20240229) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def turned(units: np.ndarray) -> np.ndarray:
+    """Rotated one coordinate after the other, so that a vector's bits do not depend on
+    those that it is rotated with."""
+    turn, out = rotation(units.shape[1]), np.zeros_like(units)
+    for column, row in zip(units.T, turn, strict=True):
+        out += column[:, None] * row
+    return out
+
+
 def blocks_of(size: int, blocks: int = BLOCKS) -> list[slice]:
     edges = np.linspace(0, size, min(blocks, size) + 1).round().astype(int)
     return [slice(a, b) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
-def unit(raw: list | None) -> np.ndarray | None:
-    """A vector of length one; none for null, empty, zero or not finite ones."""
-    if raw is None or not len(raw) or any(x is None for x in raw):
-        return None
-    vector = np.asarray(raw, np.float64)
-    if not np.isfinite(vector).all():
-        return None
-    top = np.abs(vector).max()
-    if not top:
-        return None
-    vector = vector / top  # else squares of very large or small components are lost
-    return vector / np.sqrt((vector * vector).sum())
+def budget_of(cosine: float, blocks: int) -> float:
+    """The squared distance of two near vectors, at most, in the block in which they are nearest."""
+    return (2 - 2 * cosine) / blocks + SLACK
+
+
+def slack_of(width: int) -> float:
+    """More than squared distances in single precision can be wrong, of parts no longer than 2."""
+    return 1e-6 * (width + 4)
+
 
+def signs_of(count: int, width: int) -> int:
+    return int(np.clip(np.log2(max(count, 1) / LEAF), 0, min(width, SIGNS)))
 
-def _units(rows: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def units_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of length one, and which rows have one: not zero and not infinite ones."""
+    raw = raw.astype(np.float64)
+    valid = np.isfinite(raw).all(axis=1) & raw.any(axis=1)
+    raw = raw[valid]
+    raw = raw / np.abs(raw).max(axis=1, keepdims=True)  # else squares of very large or small components are lost
+    return raw / np.sqrt((raw * raw).sum(axis=1, keepdims=True)) + 0.0, valid
+
+
+def by_size(column: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The rows of each length and their values; without null and empty lists and those with nulls."""
+    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    offsets, values, usable = column.offsets.to_numpy(), column.values, lengths > 0
+    if values.null_count:
+        nulls = np.concatenate([[0], np.cumsum(values.is_null().to_numpy(zero_copy_only=False))])
+        usable &= nulls[offsets[1:]] == nulls[offsets[:-1]]
+        values = values.fill_null(0)
+    flat = values.to_numpy()
+    for size in np.unique(lengths[usable]).tolist():
+        rows = np.flatnonzero(usable & (lengths == size))
+        yield rows, flat[offsets[rows][:, None] + np.arange(size)]
+
+
+def _digests(rows: DataFrame) -> DataFrame:
+    """``_row``, the key and 128 bits of the unit vector; null without one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            units = [unit(v) for v in batch["vector"]]
-            batch["vector"] = [None if u is None else u.tobytes() for u in units]
-            yield batch[["_row", "key", "vector"]]
+            digests: list[bytes | None] = [None] * batch.num_rows
+            for at, raw in by_size(batch.column(2)):
+                units, valid = units_of(raw)
+                for k, u in zip(at[valid].tolist(), units, strict=True):
+                    digests[k] = hashlib.blake2b(u.tobytes(), digest_size=16).digest()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(digests, pa.binary())], ["_row", "key", "digest"]
+            )
+
+    return rows.select("_row", "key", "vector").mapInArrow(run, "_row long, key long, digest binary")
 
-    return rows.mapInPandas(run, "_row long, key long, vector binary")
 
+class Space:
+    """What is known of the vectors of one length: how many there are, their rotated mean, and
+    some of them with their nodes, by which tiles are cut (only their sizes depend on that)."""
 
-def _placed(nodes: DataFrame, cosine: float) -> DataFrame:
-    """Every vector at home in a cell of every block, and as a guest in the cells that
-    come after it next to that; cells with many vectors are cut into tiles later."""
+    def __init__(self, size: int):
+        self.count, self.total = 0, np.zeros(size)
+        self.nodes, self.sample = np.zeros(0, np.int64), np.zeros((0, size), np.float32)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(self, count: int, total: np.ndarray, nodes: np.ndarray, sample: np.ndarray) -> None:
+        self.count, self.total = self.count + count, self.total + total
+        self.nodes, self.sample = np.concatenate([self.nodes, nodes]), np.concatenate([self.sample, sample])
+
+    def place(self, units: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """The cells of vectors in a block, and what of them is in it."""
+        size = units.shape[1]
+        within, turn = blocks_of(size)[number], rotation(size)
+        part = (units @ turn[:, within] - (self.total / self.count @ turn)[within]).astype(np.float32)
+        signs = part[:, : signs_of(self.count, part.shape[1])] > 0
+        return signs @ (1 << np.arange(signs.shape[1], dtype=np.int64)[::-1]), part
+
+
+def spread(code: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """The order of vectors in tiles, by their cells and within one by a hash."""
+    return code.astype(np.int64) << 32 | (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64)
+
+
+def _spaces(vectors: DataFrame) -> dict[int, Space]:
+    tasks = vectors.rdd.getNumPartitions()
+    most = max(1, SAMPLE // max(1, tasks))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spaces: dict[int, Space] = {}
         for batch in batches:
-            out = []
-            vectors = [np.frombuffer(v, np.float64) for v in batch["vector"]]
-            for size in {len(v) for v in vectors}:
-                at = [k for k, v in enumerate(vectors) if len(v) == size]
-                turned = np.stack([vectors[k] for k in at]) @ rotation(size)
-                for number, block in enumerate(parts := blocks_of(size)):
-                    width = reach(cosine, len(parts))
-                    gridded = turned[:, block][:, :GRIDDED]
-                    cells = np.floor(gridded / width).astype(np.int64)
-                    for step in product((-1, 0, 1), repeat=cells.shape[1]):
-                        home = not any(step)
-                        if home or step > tuple([0] * len(step)):
-                            names = [f"{size}:" + ",".join(map(str, c)) for c in (cells + np.array(step)).tolist()]
-                            out.append(
-                                batch.iloc[at][["node", "n", "vector"]].assign(block=number, cell=names, home=home)
-                            )
-            if out:
-                yield pd.concat(out)[["block", "cell", "home", "node", "n", "vector"]]
-
-    return nodes.mapInPandas(run, "block int, cell string, home boolean, node long, n long, vector binary")
-
-
-def reach(cosine: float, blocks: int) -> float:
-    """How far apart two near vectors can be in the block in which they are nearest."""
-    return float(np.sqrt((2 - 2 * cosine) / blocks + SLACK))
-
-
-def _compare(group: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """The links that this block is the first to find between two tiles of a cell."""
-    first = group.iloc[0]
-    number, same = int(first["block"]), first["mine"] == first["theirs"]
-    stay = group[group["home"] & (group["tile"] == first["mine"])]
-    # Guests are compared with those at home; those at home with each other once.
-    if first["mine"] <= first["theirs"]:
-        come = group[(group["tile"] == first["theirs"]) & (~group["home"] | (not same))]
-    else:
-        come = group[(group["tile"] == first["theirs"]) & ~group["home"]]
-    left = np.stack([np.frombuffer(v, np.float64) for v in stay["vector"]]) if len(stay) else None
-    if left is None:
-        return pd.DataFrame({c.split()[0]: [] for c in FOUND.split(", ")})
-    size = left.shape[1]
-    parts, turn = blocks_of(size), rotation(size)
-    budget = reach(cosine, len(parts)) ** 2
-    left_turned = left @ turn
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    for other, triangle in ((stay, True), (come, False)) if same else ((come, False),):
-        if not len(other):
+            for at, raw in by_size(batch.column(1)):
+                units, _ = units_of(raw)
+                space = spaces.setdefault(raw.shape[1], Space(raw.shape[1]))
+                some = np.arange(0, len(units), max(1, len(units) // most))[: max(1, most - len(space.nodes))]
+                some = some if len(space.nodes) < most else some[:0]
+                nodes = batch.column(0).to_numpy()[at]
+                space.add(len(units), units.sum(axis=0), nodes[some], units[some].astype(np.float32))
+        rows = [
+            {"size": k, "count": s.count, "total": s.total.tobytes(), "nodes": s.nodes.tobytes(), "sample": s.sample.tobytes()}
+            for k, s in spaces.items()
+        ]
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([(n, kinds[k]) for n, k in (c.split() for c in schema.split(", "))]))
+
+    schema = "size long, count long, total binary, nodes binary, sample binary"
+    kinds = {"long": pa.int64(), "binary": pa.binary()}
+    found: dict[int, Space] = {}
+    for row in vectors.select("node", "vector").mapInArrow(run, schema).collect():
+        sample = np.frombuffer(row["sample"], np.float32).reshape(-1, row["size"])
+        total, nodes = np.frombuffer(row["total"]), np.frombuffer(row["nodes"], np.int64)
+        found.setdefault(row["size"], Space(row["size"])).add(row["count"], total, nodes, sample)
+    return found
+
+
+def _borders(spaces: dict[int, Space], number: int, count: int) -> dict[int, tuple[int, np.ndarray]]:
+    """Where to cut the vectors, by length and order, into as many partitions: for each length
+    the first partition, and the first of each later one."""
+    orders = {}
+    for size in sorted(s for s in spaces if number < len(blocks_of(s))):
+        space = spaces[size]
+        orders[size] = np.sort(spread(space.place(space.sample.astype(np.float64), number)[0], space.nodes))
+    weights = {size: spaces[size].count for size in orders}
+    total, before, found = sum(weights.values()), 0, {}
+    for size, order in orders.items():
+        first, after = (x * count // max(1, total) for x in (before, before + weights[size]))
+        first, after = min(first, count - 1), min(after, count - 1)
+        cuts = (np.arange(first + 1, after + 1) * total / count - before) / weights[size]
+        found[size] = first, order[np.clip((cuts * len(order)).astype(int), 0, len(order) - 1)]
+        before += weights[size]
+    return found
+
+
+def _binary(matrix: np.ndarray) -> pa.Array:
+    """The rows' bytes."""
+    matrix = np.ascontiguousarray(matrix)
+    offsets = (np.arange(len(matrix) + 1) * matrix.strides[0]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(matrix), [None, pa.py_buffer(offsets), pa.py_buffer(matrix)])
+
+
+def _placed(vectors: DataFrame, number: int, spaces: dict[int, Space], count: int) -> DataFrame:
+    """Every vector with its cell in a block, with what of it is in that block, and with its
+    partition, in which are those whose cells come next to it."""
+    borders = _borders(spaces, number, count)
+    spaces = {size: _without_sample(space) for size, space in spaces.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, raw in by_size(batch.column(2)):
+                size = raw.shape[1]
+                if size not in borders:
+                    continue
+                code, part = spaces[size].place(units_of(raw)[0], number)
+                first, cuts = borders[size]
+                place = first + np.searchsorted(cuts, spread(code, batch.column(0).to_numpy()[at]), side="right")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(place.astype(np.int32)),
+                        pa.array(np.full(len(at), size, np.int32)),
+                        pa.array(code),
+                        *(batch.column(k).take(pa.array(at)) for k in (0, 1)),
+                        _binary(part),
+                        _binary(raw),
+                    ],
+                    [c.split()[0] for c in PLACED.split(", ")],
+                )
+
+    return vectors.select("node", "n", "vector").mapInArrow(run, PLACED)
+
+
+def _without_sample(space: Space) -> Space:
+    bare = Space(len(space.total))
+    bare.count, bare.total = space.count, space.total
+    return bare
+
+
+class Tile:
+    """Vectors of one length in the order of their cells; what they are verified by is
+    read when it is needed."""
+
+    def __init__(self, code: np.ndarray, node: np.ndarray, n: np.ndarray, part: np.ndarray, signs: int, raw: Callable[[], np.ndarray]):
+        order = np.argsort(code, kind="stable")
+        self.code, self.node, self.n, self.part = code[order], node[order], n[order], part[order]
+        self.signs, self._raw, self._order, self._values = signs, raw, order, None
+
+    def __len__(self) -> int:
+        return len(self.code)
+
+    def units(self, at: np.ndarray) -> np.ndarray:
+        if self._values is None:
+            self._values = self._raw()
+        return units_of(self._values[self._order[at]])[0]
+
+    def apart(self, left: bool) -> np.ndarray:
+        """Of two tiles' products of these, one of them on the left, half of the squared distance, negative."""
+        half = -0.5 * (self.part * self.part).sum(axis=1, keepdims=True)
+        one = np.ones_like(half)
+        return np.hstack([self.part, half, one] if left else [self.part, one, half])
+
+    def ways(self) -> np.ndarray:
+        """The squared way to the border of each coordinate, first of those above it and then of those below."""
+        part = self.part[:, : self.signs]
+        return np.hstack([np.maximum(part, 0) ** 2, np.minimum(part, 0) ** 2])
+
+    def cells(self, start: int, stop: int, limit: int, depth: int = 0) -> list[tuple[int, int, int]]:
+        """Ranges with the same signs, and how many; as few signs as hold the limit."""
+        found, open_ = [], [(start, stop, depth)]
+        while open_:
+            start, stop, depth = open_.pop()
+            if stop - start <= limit or depth == self.signs:
+                found.append((start, stop, depth))
+                continue
+            rest = self.signs - depth - 1
+            border = ((int(self.code[start]) >> (rest + 1)) * 2 + 1) << rest
+            cut = start + int(np.searchsorted(self.code[start:stop], border))
+            open_ += [(a, b, depth + 1) for a, b in ((cut, stop), (start, cut)) if a < b]
+        return found
+
+    def borders(self, cells: list[tuple[int, int, int]]) -> np.ndarray:
+        """What to add up of ``ways`` for the way to each cell."""
+        code = self.code[[c[0] for c in cells]]
+        place = np.arange(self.signs)
+        above = (code[:, None] >> (self.signs - 1 - place)) & 1 == 1
+        counts = place < np.array([c[2] for c in cells])[:, None]
+        return np.hstack([counts & ~above, counts & above]).astype(np.float32)
+
+
+def _tiles(paths: list[str], spaces: dict[int, Space]) -> dict[int, Tile]:
+    """The vectors of some files, by length."""
+
+    def read(*columns: str) -> pa.Table:
+        tables = []
+        for path in paths:
+            files, name = pa.fs.FileSystem.from_uri(path)
+            with files.open_input_file(name) as file:
+                tables.append(pa.parquet.ParquetFile(file).read(list(columns)))
+        return pa.concat_tables(tables)
+
+    def matrix(column: pa.ChunkedArray, at: np.ndarray, kind: str | None, width: int) -> np.ndarray:
+        rows = column.take(pa.array(at)).combine_chunks()
+        rows = pa.concat_arrays(rows.chunks) if isinstance(rows, pa.ChunkedArray) else rows
+        data, offsets = rows.buffers()[2], np.frombuffer(rows.buffers()[1], np.int32)
+        begin, end = offsets[rows.offset], offsets[rows.offset + len(rows)]
+        kind = kind or {4: "f4", 8: "f8"}[(int(end) - int(begin)) // (len(rows) * width)]
+        return np.frombuffer(data, np.uint8)[begin:end].view(kind).reshape(len(rows), width)
+
+    table = read("size", "code", "node", "n", "part")
+    sizes, found = table["size"].to_numpy(), {}
+    for size in np.unique(sizes).tolist():
+        at = np.flatnonzero(sizes == size)
+        bytes_ = len(table["part"][int(at[0])].as_py())
+        part = matrix(table["part"], at, "f4", bytes_ // 4)
+        code, node, n = (table[c].to_numpy()[at] for c in ("code", "node", "n"))
+        raw = lambda at=at, size=size: matrix(read("vector")["vector"], at, None, size)
+        found[size] = Tile(code, node, n, part, signs_of(spaces[size].count, part.shape[1]), raw)
+    return found
+
+
+class Links:
+    """What is found between a tile's vectors and others, of one length and in one block.
+
+    Of each vector how many it is linked to, and one link to the least vector that links
+    found here reach, so that no more rows leave than came.
+    """
+
+    def __init__(self, home: Tile, guest: Tile, size: int, number: int, cosine: float):
+        self.home, self.guest, self.number, self.cosine = home, guest, number, cosine
+        self.parts = blocks_of(size)
+        self.budget = budget_of(cosine, len(self.parts))
+        self.links = np.zeros(len(home) + len(guest), np.int64)
+        self.root = np.arange(len(self.links))
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def add(self, h: np.ndarray, g: np.ndarray) -> None:
+        self.waiting.append((h, g))
+        self.held += len(h)
+        if self.held >= EXACT:
+            self.settle()
+
+    def _way(self, h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The squared ways of pairs to each other's cells: the guest's, and that of the one at home."""
+        home, guest = self.home, self.guest
+        place = home.signs - 1 - np.arange(home.signs)
+        differ = ((home.code[h] ^ guest.code[g])[:, None] >> place) & 1 == 1
+        there, here = (np.where(differ, x[:, : home.signs].astype(np.float64), 0) for x in (guest.part[g], home.part[h]))
+        return (there * there).sum(axis=1), (here * here).sum(axis=1)
+
+    def _comes(self, h: np.ndarray, g: np.ndarray) -> np.ndarray:
+        """Whether it is the guest that comes, not the other one as a guest to the guest's cell."""
+        there, here = self._way(h, g)
+        return (there < here) | ((there == here) & (self.guest.node[g] < self.home.node[h]))
+
+    def settle(self) -> None:
+        """Verify the pairs that wait, and count those that this block is the first to find."""
+        if not self.held:
+            return
+        all_h, all_g = (np.concatenate(x) for x in zip(*self.waiting, strict=True))
+        self.waiting, self.held = [], 0
+        for k in range(0, len(all_h), EXACT):
+            h, g = all_h[k : k + EXACT], all_g[k : k + EXACT]
+            comes = self._comes(h, g)
+            h, g = h[comes], g[comes]
+            if len(h):
+                (of_h, x), (of_g, y) = (np.unique(z, return_inverse=True) for z in (h, g))
+                found = self._exact(self.home.units(of_h), self.guest.units(of_g), x, y)
+                self._count(h[found], g[found])
+
+    def _exact(self, left: np.ndarray, right: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        near = (left[x] * right[y]).sum(axis=1) >= self.cosine
+        left, right = turned(left), turned(right)
+        for k, part in enumerate(self.parts[: self.number + 1]):
+            way = left[x, part] - right[y, part]
+            within = (way * way).sum(axis=1) <= self.budget
+            near &= within if k == self.number else ~within
+        return near
+
+    def _count(self, h: np.ndarray, g: np.ndarray) -> None:
+        g_at = g + len(self.home)
+        np.add.at(self.links, h, self.guest.n[g])
+        np.add.at(self.links, g_at, self.home.n[h])
+        self._join(h, g_at)
+
+    def _join(self, x: np.ndarray, y: np.ndarray) -> None:
+        root = self.root
+        while True:
+            a, b = root[x], root[y]
+            if not (differ := a != b).any():
+                return
+            x, y, a, b = x[differ], y[differ], a[differ], b[differ]
+            np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+            while ((new := root[root]) != root).any():
+                root[:] = new
+
+    def dense(self, h: np.ndarray, g: np.ndarray) -> None:
+        """All of the pairs between some vectors, where many of them are near: by products of
+        matrices, and one by one where rounding could decide."""
+        home, guest = self.home, self.guest
+        left, right = home.units(h), guest.units(g)
+        product = left @ right.T
+        near, unsure = product >= self.cosine, np.abs(product - self.cosine) < CLOSE
+        left_turned, right_turned = turned(left), turned(right)
+        for k, part in enumerate(self.parts[: self.number + 1]):
+            a, b = left_turned[:, part], right_turned[:, part]
+            apart = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * (a @ b.T)
+            within = apart <= self.budget
+            near &= within if k == self.number else ~within
+            unsure |= np.abs(apart - self.budget) < CLOSE
+        there, here = ((t.ways().astype(np.float64)) for t in (_some(guest, g), _some(home, h)))
+        to_home = _some(home, h).borders([(k, k + 1, home.signs) for k in range(len(h))]).astype(np.float64)
+        to_guest = _some(guest, g).borders([(k, k + 1, home.signs) for k in range(len(g))]).astype(np.float64)
+        there, here = to_home @ there.T, here @ to_guest.T
+        same = home.code[h][:, None] == guest.code[g]
+        comes = np.where(same, guest.node[g] < home.node[h][:, None], there < here)
+        unsure |= ~same & (np.abs(there - here) < CLOSE)
+        near &= comes & ~unsure
+        self.links[h] += near @ guest.n[g]
+        self.links[g + len(home)] += home.n[h] @ near
+        x, y = np.nonzero(near & (self.root[h][:, None] != self.root[g + len(home)]))
+        self._join(h[x], g[y] + len(home))
+        x, y = np.nonzero(unsure)
+        if len(x):
+            self.add(h[x], g[y])
+
+    def rows(self) -> pa.RecordBatch:
+        self.settle()
+        at = np.flatnonzero(self.links)
+        node = np.concatenate([self.home.node, self.guest.node])
+        least = np.full(len(node), np.iinfo(np.int64).max)
+        np.minimum.at(least, self.root[at], node[at])
+        columns = node[at], self.links[at], least[self.root[at]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in FOUND.split(", ")])
+
+
+def _some(tile: Tile, at: np.ndarray) -> Tile:
+    some = Tile.__new__(Tile)
+    some.code, some.part, some.signs = tile.code[at], tile.part[at], tile.signs
+    return some
+
+
+def compared(home: Tile, guest: Tile, links: Links) -> int:
+    """Compare guests with the cells that they reach; the number of pairs."""
+    width, pairs = home.part.shape[1], 0
+    reach = np.float32(links.budget / 2 + slack_of(width))
+    least = np.float32(-(links.budget + slack_of(width)) / 2)
+    left, right, ways = home.apart(True), guest.apart(False), guest.ways()
+    groups = home.cells(0, len(home), LEAF * LEAVES)
+    products, nears = np.empty(PAIRS, np.float32), np.empty(PAIRS, bool)
+    for group, comes in zip(groups, home.borders(groups) @ ways.T <= reach, strict=True):
+        some = np.flatnonzero(comes)
+        if not len(some):
             continue
-        right = left if triangle else np.stack([np.frombuffer(v, np.float64) for v in other["vector"]])
-        right_turned = right @ turn
-        for x, y in _in_range(left_turned[:, parts[number]], right_turned[:, parts[number]], budget, triangle):
-            exact = (left[x] * right[y]).sum(axis=1) >= cosine
-            x, y = x[exact], y[exact]
-            squares = (left_turned[x] - right_turned[y]) ** 2
-            earlier = np.zeros(len(x), bool)
-            for part in parts[:number]:
-                earlier |= squares[:, part].sum(axis=1) <= budget
-            own = squares[:, parts[number]].sum(axis=1) <= budget
-            x, y = x[own & ~earlier], y[own & ~earlier]
-            found.append((stay.index.to_numpy()[x], other.index.to_numpy()[y]))
-    return _summed(group, found)
-
-
-def _in_range(a: np.ndarray, b: np.ndarray, budget: float, triangle: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows within the squared distance, some at a time; with ``triangle`` of
-    one matrix with itself, each pair once."""
-    b_squares = (b * b).sum(axis=1)
-    for begin in range(0, len(a), STRIP):
-        strip = a[begin : begin + STRIP]
-        apart = (strip * strip).sum(axis=1)[:, None] + b_squares[None] - 2 * (strip @ b.T)
-        i, j = np.nonzero(apart <= budget + SLACK)
-        i += begin
-        if triangle:
-            i, j = i[j > i], j[j > i]
-        for k in range(0, len(i), 200_000):
-            yield i[k : k + 200_000], j[k : k + 200_000]
-
-
-def _summed(group: pd.DataFrame, found: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
-    """Per vector how many it is linked to, and one link to the least vector that links
-    found here reach, so that no more rows leave than came."""
-    if not sum(len(x) for x, _ in found):
-        return pd.DataFrame({c.split()[0]: [] for c in FOUND.split(", ")})
-    x, y = (np.concatenate(z) for z in zip(*found, strict=True))
-    nodes, counts = group["node"].to_numpy(), group["n"].to_numpy()
-    # A vector can be here twice, at home and as a guest of another of its blocks' cells.
-    names, which = np.unique(nodes, return_inverse=True)
-    links = np.zeros(len(names), np.int64)
-    np.add.at(links, which[x], counts[y])
-    np.add.at(links, which[y], counts[x])
-    root = np.arange(len(names))
-    while True:
-        low = np.minimum(root[which[x]], root[which[y]])
-        new = root.copy()
-        np.minimum.at(new, which[x], low)
-        np.minimum.at(new, which[y], low)
-        new = new[new]
-        if (new == root).all():
-            break
-        root = new
-    linked = links > 0
-    return pd.DataFrame({"node": names[linked], "links": links[linked], "root": names[root[linked]]})
+        cells = home.cells(group[0], group[1], LEAF, group[2])
+        for (start, stop, _), comes in zip(cells, home.borders(cells) @ ways[some].T <= reach, strict=True):
+            others = some[comes]
+            step = max(1, PAIRS // min(stop - start, LEAF * 4))
+            for k in range(0, len(others), step):
+                g = others[k : k + step]
+                strip = right[g].T
+                for begin in range(start, stop, LEAF * 4):
+                    end = min(begin + LEAF * 4, stop)
+                    product = products[: (end - begin) * len(g)].reshape(end - begin, len(g))
+                    near = nears[: product.size].reshape(product.shape)
+                    np.matmul(left[begin:end], strip, out=product)
+                    np.greater_equal(product, least, out=near)
+                    pairs += near.size
+                    rows = np.flatnonzero(near.any(axis=1))
+                    if not len(rows):
+                        continue
+                    x, y = np.nonzero(near[rows])
+                    if len(x) > max(2000, near.size // 20):
+                        links.dense(np.arange(begin, end), g)
+                    else:
+                        links.add(rows[x] + begin, g[y])
+    return pairs
+
+
+def _found(tables: list[DataFrame], number: int, spaces: dict[int, Space], cosine: float, tile: int) -> DataFrame:
+    """The links between the vectors of the stored files: tasks hold some files' vectors
+    and read through a share of all files."""
+    spark = tables[0].sparkSession
+    spaces = {size: _without_sample(space) for size, space in spaces.items()}
+    files: list[tuple[str, int]] = []
+    for table in tables:
+        counts = table.groupBy(F.input_file_name().alias("path")).count().collect()
+        files += [(r["path"], r["count"]) for r in counts]
+    files.sort(key=lambda f: f[0].rpartition("/")[2])  # by partition
+    total, tasks = sum(count for _, count in files), 4 * spark.sparkContext.defaultParallelism
+    homes = _grouped(files, tile)
+    guests = _grouped(files, max(1, min(CHUNK, tile, total // tasks)))
+    shares = min(len(guests), -(-tasks // max(1, len(homes))))
+    work = [(home, guests[k::shares]) for home in homes for k in range(shares)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                at_home = _tiles(work[k][0], spaces)
+                for paths in work[k][1]:
+                    for size, guest in _tiles(paths, spaces).items():
+                        if size in at_home:
+                            links = Links(at_home[size], guest, size, number, cosine)
+                            compared(at_home[size], guest, links)
+                            yield links.rows()
+
+    return spark.range(0, len(work), 1, max(1, len(work))).mapInArrow(run, FOUND)
+
+
+def _grouped(files: list[tuple[str, int]], limit: int) -> list[list[str]]:
+    """Files in their order, together as long as they have no more rows than the limit."""
+    found: list[list[str]] = []
+    held = limit
+    for path, count in files:
+        if held + count > limit or not found:
+            found.append([])
+            held = 0
+        found[-1].append(path)
+        held += count
+    return found
+
+
+def _links(spark: SparkSession, vectors: DataFrame, cosine: float) -> DataFrame | None:
+    """What all blocks find; each in its turn, so that only one block's tiles are on disk."""
+    spaces = _spaces(vectors)
+    if not spaces:
+        return None
+    total, largest = sum(space.count for space in spaces.values()), max(spaces)
+    tile = max(1, min(TILE, TILE_BYTES // (8 * largest)))
+    # Shuffled in passes, each over a share of the vectors, so that a share's shuffle is on disk.
+    passes = min(PASSES, -(-total // tile))
+    files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // min(CHUNK, tile)))
+    files = -(-files // passes)
+    found = None
+    for number in range(min(BLOCKS, largest)):
+        tables = []
+        for k in range(passes):
+            share = vectors if passes == 1 else vectors.filter(F.pmod(F.xxhash64("node"), F.lit(passes)) == k)
+            placed = _placed(share, number, spaces, files)
+            tables.append(stored(placed.repartitionById(files, "place").drop("place"), "tiles"))
+            placed = None
+            released(spark)
+        links = stored(_found(tables, number, spaces, cosine, tile), "links")
+        discard(*tables)
+        found = links if found is None else found.union(links)
+    return found
 
 
 def near_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", cosine: float = 0.95) -> DataFrame:
@@ -184,48 +555,34 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embeddi
 
     Null, empty, zero and not finite vectors are linked with nothing, and vectors of
     different length are not compared. Vectors equal as unit vectors are one until
-    the end, however many there are. Rows with null or equal keys are rows of their
-    own; of equal keys in one component all are kept, and a null key is where its
-    component has no other. Other columns are ignored; an empty table gives no rows.
+    the end, however many there are; they are told apart by 128-bit hashes. Rows with null
+    or equal keys are rows of their own; of equal keys in one component all are kept, and a
+    null key is where its component has no other. Other columns are ignored; an empty table
+    gives no rows.
     """
-    rows = with_row(vectors, key, F.col(column).cast("array<double>").alias("vector"))
-    units = stored(_units(rows.withColumnRenamed(key, "key")), "units")
-    valid = units.filter("vector IS NOT NULL")
-    nodes = valid.groupBy("vector").agg(F.min("_row").alias("node"), F.min("key").alias("low"), F.count("*").alias("n"))
-    nodes = stored(nodes, "vectors")
-    placed = _placed(nodes.select("node", "n", "vector"), cosine)
-    sizes = placed.groupBy("block", "cell").agg(
-        F.count("*").alias("rows"), F.sum(F.col("home").cast("int")).alias("homes")
-    )
-    sizes = stored(sizes, "cells")
-    # A cell without anybody at home has no pairs. In a large one every tile meets every
-    # other, each two in a task of their own: those at home meet later tiles once, and
-    # guests meet those at home in every tile.
-    tiles = F.ceil(F.col("rows") / TILE).cast("int")
-    dealt = placed.join(sizes.filter("homes > 0 AND rows > 1").select("block", "cell", tiles.alias("tiles")), ["block", "cell"])
-    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    every = F.sequence(F.lit(0), F.col("tiles") - 1)
-    as_host = F.transform(every, lambda t: F.struct(F.col("tile").alias("mine"), t.alias("theirs")))
-    as_other = F.transform(every, lambda t: F.struct(t.alias("mine"), F.col("tile").alias("theirs")))
-    earlier = F.filter(as_other, lambda m: m["mine"] < m["theirs"])
-    meets = F.when(F.col("home"), F.concat(as_host, earlier)).otherwise(as_other)
-    dealt = dealt.select("block", "cell", "home", "tile", "node", "n", "vector", F.explode(meets).alias("m"))
-    dealt = dealt.select(
-        "block", "cell", F.col("m.mine").alias("mine"), F.col("m.theirs").alias("theirs"), "home", "tile", "node", "n", "vector"
-    )
-    groups = dealt.groupBy("block", "cell", "mine", "theirs")
-    found = groups.applyInPandas(lambda group: _compare(group.reset_index(drop=True), cosine), _schema(FOUND))
-    found = stored(found, "links")
-    counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-    parts = clusters(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    whole = nodes.join(counts, "node", "left").join(parts, "node", "left")
+    single = vectors.schema[column].dataType.simpleString() == "array<float>"
+    values = F.col(column) if single else F.col(column).cast("array<double>")
+    rows = with_row(vectors, key, values.alias("vector")).withColumnRenamed(key, "key")
+    units = stored(_digests(rows), "units")
+    valid = units.filter("digest IS NOT NULL")
+    nodes = valid.groupBy("digest").agg(F.min("_row").alias("node"), F.min("key").alias("low"), F.count("*").alias("n"))
+    nodes = stored(nodes, "nodes")
+    firsts = rows.join(nodes.select(F.col("node").alias("_row"), "n"), "_row")
+    firsts = stored(firsts.select(F.col("_row").alias("node"), "n", "vector"), "vectors")
+    found = _links(vectors.sparkSession, firsts, cosine)
+    discard(firsts)
+    whole = nodes.select("*", F.lit(None).cast("long").alias("links"), F.lit(None).cast("long").alias("component"))
+    if found is not None:
+        counts = found.groupBy("node").agg(F.sum("links").alias("links"))
+        parts = clusters(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        whole = nodes.join(counts, "node", "left").join(parts, "node", "left")
     whole = whole.withColumn("component", F.coalesce("component", "node"))
     least = whole.groupBy("component").agg(F.min("low").alias("component_id"))
     whole = whole.join(least, "component").select(
-        "vector", "component_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.col("n").alias("rows")
+        "digest", "component_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.col("n").alias("rows")
     )
-    placed_rows = lookup(units, whole, ["vector"], "rows")
-    linked = F.col("vector").isNotNull()
+    placed_rows = lookup(units, whole, ["digest"], "rows")
+    linked = F.col("digest").isNotNull()
     component = F.when(linked, F.col("component_id")).otherwise(F.col("key"))
     return placed_rows.select(
         F.col("key").alias(key),
@@ -233,7 +590,3 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", column: str = "embeddi
         component.alias("component_id"),
         F.col("key").eqNullSafe(component).alias("kept"),
     )
-
-
-def _schema(text: str) -> T.StructType:
-    return T.StructType([T.StructField(n, {"long": T.LongType()}[t]) for n, t in (c.split() for c in text.split(", "))])
