@@ -35,7 +35,9 @@ from tollbook.llm.common import clusters, discard, lookup, released, stored, wit
 #: sorted out together, and signs of a cell at most.
 BLOCKS, TILE, TILE_BYTES, LEAF, LEAVES, SIGNS = 4, 200_000, 96 << 20, 256, 32, 20
 #: Vectors that stream past a tile at once, pairs that are compared at once, and verified.
-CHUNK, PAIRS, EXACT = 100_000, 1 << 20, 16_384
+CHUNK, PAIRS, EXACT = 100_000, 1 << 19, 16_384
+#: Pairs that are verified at once where many are near.
+DENSE = 1 << 16
 #: Passes in which a block's vectors are shuffled, and vectors by which partitions are cut.
 PASSES, SAMPLE = 4, 40_000
 #: Against rounding: budgets are larger by this, and verified pairs are exact anyway.
@@ -289,6 +291,10 @@ class Tile:
         counts = place < np.array([c[2] for c in cells])[:, None]
         return np.hstack([counts & ~above, counts & above]).astype(np.float32)
 
+    def borders_of_all(self) -> np.ndarray:
+        """What to add up of ``ways`` for the way to each vector's cell."""
+        return self.borders([(k, k + 1, self.signs) for k in range(len(self.code))])
+
 
 def _tiles(paths: list[str], spaces: dict[int, Space]) -> dict[int, Tile]:
     """The vectors of some files, by length."""
@@ -402,30 +408,46 @@ class Links:
         matrices, and one by one where rounding could decide."""
         home, guest = self.home, self.guest
         left, right = home.units(h), guest.units(g)
-        product = left @ right.T
-        near, unsure = product >= self.cosine, np.abs(product - self.cosine) < CLOSE
         left_turned, right_turned = turned(left), turned(right)
+        of_h, of_g = _some(home, h), _some(guest, g)
+        here, to_here = of_h.ways().astype(np.float64), of_h.borders_of_all().astype(np.float64)
+        there, to_there = of_g.ways().astype(np.float64), of_g.borders_of_all().astype(np.float64)
+        weights = guest.n[g].astype(np.float64)
+        step = max(1, DENSE // len(g))
+        for k in (slice(at, at + step) for at in range(0, len(h), step)):
+            near, unsure = self._near(left[k], right, left_turned[k], right_turned)
+            if not near.any():
+                continue
+            way, back = to_here[k] @ there.T, here[k] @ to_there.T
+            same = of_h.code[k][:, None] == of_g.code
+            unsure |= near & ~same & (np.abs(way - back) < CLOSE)
+            near &= np.where(same, guest.node[g] < home.node[h[k]][:, None], way < back) & ~unsure
+            counted = near.astype(np.float64)
+            self.links[h[k]] += (counted @ weights).astype(np.int64)
+            self.links[g + len(home)] += (home.n[h[k]].astype(np.float64) @ counted).astype(np.int64)
+            near &= self.root[h[k]][:, None] != self.root[g + len(home)]
+            if near.any():
+                x, y = np.nonzero(near)
+                self._join(h[k][x], g[y] + len(home))
+            if unsure.any():
+                x, y = np.nonzero(unsure)
+                self.add(h[k][x], g[y])
+
+    def _near(self, left: np.ndarray, right: np.ndarray, left_turned: np.ndarray, right_turned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pairs this block is the first to find, and of which of them that is not sure."""
+        near, unsure = np.ones((len(left), len(right)), bool), np.zeros((len(left), len(right)), bool)
         for k, part in enumerate(self.parts[: self.number + 1]):
             a, b = left_turned[:, part], right_turned[:, part]
             apart = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * (a @ b.T)
-            within = apart <= self.budget
-            near &= within if k == self.number else ~within
-            unsure |= np.abs(apart - self.budget) < CLOSE
-        there, here = ((t.ways().astype(np.float64)) for t in (_some(guest, g), _some(home, h)))
-        to_home = _some(home, h).borders([(k, k + 1, home.signs) for k in range(len(h))]).astype(np.float64)
-        to_guest = _some(guest, g).borders([(k, k + 1, home.signs) for k in range(len(g))]).astype(np.float64)
-        there, here = to_home @ there.T, here @ to_guest.T
-        same = home.code[h][:, None] == guest.code[g]
-        comes = np.where(same, guest.node[g] < home.node[h][:, None], there < here)
-        unsure |= ~same & (np.abs(there - here) < CLOSE)
-        near &= comes & ~unsure
-        self.links[h] += near @ guest.n[g]
-        self.links[g + len(home)] += home.n[h] @ near
-        x, y = np.nonzero(near & (self.root[h][:, None] != self.root[g + len(home)]))
-        self._join(h[x], g[y] + len(home))
-        x, y = np.nonzero(unsure)
-        if len(x):
-            self.add(h[x], g[y])
+            close = np.abs(apart - self.budget) < CLOSE
+            near &= ((apart <= self.budget) == (k == self.number)) | close
+            unsure |= close
+            if not near.any():
+                return near, unsure
+        product = left @ right.T
+        close = np.abs(product - self.cosine) < CLOSE
+        near &= (product >= self.cosine) | close
+        return near, (unsure | close) & near
 
     def rows(self) -> pa.RecordBatch:
         self.settle()
